@@ -1,0 +1 @@
+"""Reserved: the reproduced feature set is batch only and has no stream operator."""
