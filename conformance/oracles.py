@@ -360,6 +360,7 @@ ORACLES: dict[str, str] = {
     "publisher_report": _games(PUBLISHERS),
     "top_tags": _votes(_top_tags("tag_votes")),
     "top_tags_left": _votes(_top_tags("all_tag_votes")),
+    "top_tags_long": _votes(_top_tags("tag_votes")),
     "top_tags_wide": _votes(_top_tags("all_tag_votes")),
     "top_reliable": _games(TOP),
     "top_reliable_numbered": _games(

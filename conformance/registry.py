@@ -23,6 +23,7 @@ from ratingloom.operators.reshape import (
     explode_labels,
     join_measures,
     rated_votes,
+    tag_totals,
     unpivot_votes,
     wide_vote_totals,
 )
@@ -354,13 +355,19 @@ def publisher_report(games):
 
 @query("top_tags")
 def top_tags(spark, sf_dir):
-    return R.top_tags(tag_votes(spark, sf_dir), T)
+    totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir))
+    return R.top_tags_from_totals(totals, T)
 
 
 @query("top_tags_left")
 def top_tags_left(spark, sf_dir):
-    votes = rated_votes(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), how="left")
-    return R.top_tags(votes, T)
+    totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), how="left")
+    return R.top_tags_from_totals(totals, T)
+
+
+@query("top_tags_long")
+def top_tags_long(spark, sf_dir):
+    return R.top_tags(tag_votes(spark, sf_dir), T)
 
 
 @query("top_tags_wide")

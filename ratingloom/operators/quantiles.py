@@ -49,7 +49,7 @@ def exact_quantiles(
         F.sum("copies").alias("total"),
     )
     placed = counted.join(small(cuts), group).withColumn(
-        "bucket", F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+        "bucket", F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
     )
     # At most ``buckets`` rows per group.
     by_bucket = Window.partitionBy(*group).orderBy("bucket")

@@ -28,7 +28,13 @@ def numbered(top: DataFrame, order: Sequence[Column | str], alias: str = "positi
 
 
 def dense_rank_within(
-    df: DataFrame, group: str, score: str, *, keep: int, alias: str = "era_rank"
+    df: DataFrame,
+    group: str,
+    score: str,
+    *,
+    keep: int,
+    alias: str = "era_rank",
+    bounded_groups: bool = False,
 ) -> DataFrame:
     """Rows whose score is among the ``keep`` best distinct scores of their group.
 
@@ -47,6 +53,7 @@ def dense_rank_within(
         .select(F.col(group).alias("_group"), F.col(score).alias("_score"), alias)
     )
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(score).eqNullSafe(F.col("_score"))
+    cutoffs = F.broadcast(cutoffs) if bounded_groups else cutoffs
     return df.join(cutoffs, same).drop("_group", "_score")
 
 

@@ -60,18 +60,22 @@ def unpivot_votes(
 ) -> DataFrame:
     """Sparse long form of a vote matrix: one row per positive cell.
 
-    The cells of a row become an array that is thinned before it is exploded, so
-    the empty cells of a wide matrix are never rows.
+    The cells travel as a plain number array and a position; the name of the
+    column is looked up only for the cells that stay.
     """
     columns = list(columns) if columns else value_columns(wide, (key, *keep))
-    cells = F.array(
-        *[
-            F.struct(F.lit(name).alias(label), quoted(name).cast("long").alias(value))
-            for name in columns
-        ]
-    )
-    voted = F.filter(cells, lambda cell: cell[value] > 0)
-    return wide.select(key, *keep, F.inline(voted))
+    cells = _cells(wide, columns, [key, *keep], value).filter(F.col(value) > 0)
+    return cells.select(key, *keep, _name_at(columns, label), value)
+
+
+def _cells(wide: DataFrame, columns: Sequence[str], keep: Sequence[str], value: str) -> DataFrame:
+    numbers = F.array(*[quoted(name).cast("long") for name in columns])
+    return wide.select(*keep, F.posexplode(numbers).alias("_position", value))
+
+
+def _name_at(columns: Sequence[str], label: str) -> Column:
+    names = F.array(*[F.lit(name) for name in columns])
+    return F.element_at(names, F.col("_position") + 1).alias(label)
 
 
 def rated_votes(
@@ -85,9 +89,9 @@ def rated_votes(
 ) -> DataFrame:
     """Long votes with the measures of their item.
 
-    The join runs on the wide rows: one row per item is shuffled instead of one
-    per (item, tag), and Spark broadcasts the smaller side if its measured size
-    allows. ``how="left"`` keeps votes whose item is unknown.
+    The join runs on the wide rows, one per item instead of one per (item, tag),
+    and Spark broadcasts the smaller side if its measured size allows.
+    ``how="left"`` keeps votes whose item is unknown.
     """
     columns = list(columns) if columns else value_columns(wide, key)
     rated = wide.join(facts.select(key, *measures), key, how)
@@ -104,16 +108,46 @@ def wide_vote_totals(
 ) -> DataFrame:
     """Per column: positive cells, sum of cells, mean measure of the positive cells.
 
-    One pass of map-side sums over the wide rows; what is shuffled is one row per
-    map task, whatever the number of items.
+    Unlike the long form this also lists columns nobody voted for, and a repeated
+    item counts once per row. The cells are folded by position as they come out of
+    the row, so a map task sends one row per column to the shuffle; hundreds of
+    columns as separate aggregates would be too many for code generation.
     """
-    per_column = [
-        F.struct(
-            F.lit(name).alias(label),
-            F.count_if(quoted(name) > 0).alias("tagged_games"),
-            F.sum(quoted(name)).alias("total_tag_votes"),
-            F.avg(F.when(quoted(name) > 0, F.col(measure))).alias("mean_rating"),
+    positive = F.col("votes") > 0
+    totals = (
+        _cells(wide, columns, [measure], "votes")
+        .groupBy("_position")
+        .agg(
+            F.count_if(positive).alias("tagged_games"),
+            F.coalesce(F.sum("votes"), F.lit(0).cast("long")).alias("total_tag_votes"),
+            F.avg(F.when(positive, F.col(measure))).alias("mean_rating"),
         )
-        for name in columns
-    ]
-    return wide.agg(F.array(*per_column).alias("totals")).select(F.inline("totals"))
+    )
+    return totals.select(_name_at(columns, label), "tagged_games", "total_tag_votes", "mean_rating")
+
+
+def tag_totals(
+    wide: DataFrame,
+    facts: DataFrame,
+    *,
+    key: str = "appid",
+    measure: str = "rating_pct",
+    columns: Sequence[str] | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Per tag: distinct items, votes, mean measure over the voted cells.
+
+    The cells of one item and tag are combined before the join, map side first, so
+    an item with any number of matrix rows joins at most one row per tag; after
+    that the items of a tag are distinct and are simply counted.
+    """
+    long = unpivot_votes(wide, key=key, columns=columns)
+    combined = long.groupBy(key, "tag").agg(F.sum("votes").alias("votes"), F.count("*").alias("cells"))
+    rated = combined.join(facts.select(key, measure), key, how)
+    weighted = F.sum(F.col(measure) * F.col("cells"))
+    weight = F.sum(F.when(F.col(measure).isNotNull(), F.col("cells")))
+    return rated.groupBy("tag").agg(
+        F.count("*").alias("tagged_games"),
+        F.sum("votes").alias("total_tag_votes"),
+        (weighted / weight).alias("mean_rating"),
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ratingloom.defaults import Thresholds
 from ratingloom.functions.measures import band_position
 from ratingloom.operators.cleaning import clean_catalog
-from ratingloom.operators.reshape import rated_votes
+from ratingloom.operators.reshape import tag_totals
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 from ratingloom.sources import readers, writers
@@ -83,8 +83,8 @@ def run_all(
         )
     if tags_path:
         written["top_tags"] = f"{output_path}/top_tags"
-        votes = rated_votes(readers.read_wide_votes(spark, tags_path), games)
-        writers.write_result(R.top_tags(votes, t), written["top_tags"])
+        totals = tag_totals(readers.read_wide_votes(spark, tags_path), games)
+        writers.write_result(R.top_tags_from_totals(totals, t), written["top_tags"])
     written["summary"] = f"{output_path}/summary"
     writers.write_summary(S.run_summary(raw, games), written["summary"])
     return written

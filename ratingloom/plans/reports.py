@@ -198,7 +198,7 @@ def publisher_report(
 
 
 def top_tags(votes: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Most voted tags: items, votes, mean rate."""
+    """Most voted tags from long votes: distinct items, votes, mean rate."""
     grouped = votes.groupBy("tag").agg(
         F.count_distinct("appid").alias("tagged_games"),
         F.sum("votes").alias("total_tag_votes"),
@@ -208,7 +208,7 @@ def top_tags(votes: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def top_tags_from_totals(totals: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Most voted tags from per-column totals of the wide matrix."""
+    """Most voted tags from totals per tag."""
     rounded = totals.select(
         "tag", "tagged_games", "total_tag_votes", F.round("mean_rating", 2).alias("mean_rating_pct")
     )
@@ -218,7 +218,10 @@ def top_tags_from_totals(totals: DataFrame, t: Thresholds = DEFAULTS) -> DataFra
 def era_champions(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """Best items of each release year; tied items share a rank and are all listed."""
     eligible = evidenced(games, t).filter(F.col("release_year").isNotNull())
-    best = ranking.dense_rank_within(eligible, "release_year", "wilson_score", keep=t.era_ranks)
+    # A date has four-digit years, so there are at most some ten thousand groups.
+    best = ranking.dense_rank_within(
+        eligible, "release_year", "wilson_score", keep=t.era_ranks, bounded_groups=True
+    )
     listed = ["release_year", "era_rank", "appid", "name", "total_reviews", "rating_pct", "wilson_score"]
     return best.select(*listed).orderBy("release_year", "era_rank", "appid")
 
