@@ -2,15 +2,14 @@
 
 A catalogue is derived from ``part``, ``lineitem`` and ``orders``: parts are items,
 their line items are review outcomes. A vote matrix is derived from ``events``.
-Blanks, gaps, bad values and repeated keys are put in by rule, over all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.defaults import CATALOG_SCHEMA, Thresholds, ddl_names
+from ratingloom.defaults import Thresholds
 from ratingloom.operators.cleaning import clean_catalog
 
 # An item has some 30 outcomes at every scale factor, so thresholds are lower here.
@@ -32,11 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def every(n: int, remainder: int = 0) -> Column:
-    """True for one key in ``n``; used to put bad values in, never to leave rows out."""
-    return F.col("p_partkey") % n == remainder
-
-
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome counts per part and the date of its latest order.
 
@@ -57,47 +51,63 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_part.join(dates, F.col("last_order") == F.col("o_orderkey"), "left")
 
 
+# Columns of the raw catalogue over part, its outcome counts and its latest order
+# date, in SQL that reads the same in both engines. A rule on the key puts blanks,
+# gaps and bad values in; every row stays.
+RAW_COLUMNS = {
+    "appid": "p_partkey",
+    "name": "' ' || p_name || ' '",
+    "release_date": "case when p_partkey % 40 <> 0 then cast(o_orderdate as date) end",
+    "english": "1",
+    "developer": "'Studio \"' || p_type || '\", Ltd; '",
+    "publisher": "case when p_partkey % 25 = 0 then '  ' else p_brand end",
+    "platforms": """case when p_partkey % 3 = 0 then 'windows;mac;linux'
+        when p_partkey % 7 = 0 then 'windows; mac ;windows;' else 'windows' end""",
+    "required_age": "p_size",
+    "categories": "p_type || ' ; ' || p_brand",
+    "genres": """case when p_partkey % 7 = 0
+        then replace(p_name, ' ', ' ;; ') || '; ' || replace(p_name, ' ', ';')
+        else replace(p_name, ' ', ';') end""",
+    "community_tags": "case when p_partkey % 9 <> 0 then lower(p_type) end",
+    "achievements": "p_size * 2",
+    "positive_ratings": """case when p_partkey % 11 = 0 then null
+        when p_partkey % 33 = 1 then cast(0 as bigint) else kept end""",
+    "negative_ratings": """case when p_partkey % 13 = 0 then cast(-5 as bigint)
+        when p_partkey % 33 = 1 then cast(0 as bigint) else returned end""",
+    "average_playtime": "p_retailprice",
+    "median_playtime": "p_retailprice / 2",
+    "owners": """case when p_partkey % 60 = 0 then 'n/a'
+        else cast(p_size * 1000 as varchar(20)) || '-' || cast(p_size * 2000 as varchar(20)) end""",
+    "price": """case when p_partkey % 50 = 0 then cast(-1 as double)
+        else cast(p_size - 1 as double) end""",
+}
+
+# Text cells, some of which are no number or date.
+UNTYPED_COLUMNS = {
+    "price": """case when appid % 50 = 0 then 'free' when appid % 33 = 0 then '12f'
+        else cast(price as varchar(30)) end""",
+    "negative_ratings": """case when appid % 11 = 0 then ''
+        else cast(negative_ratings as varchar(30)) end""",
+    "release_date": """case when appid % 40 = 0 then '2001-02-30'
+        else cast(release_date as varchar(30)) end""",
+}
+
+
+def aliased(columns: dict[str, str]) -> list[str]:
+    return [f"{text} as {name}" for name, text in columns.items()]
+
+
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw catalogue rows, untrimmed and with repeated keys (``ver`` tells copies apart)."""
+    """Raw catalogue rows, untrimmed; every twentieth key comes twice.
+
+    ``ver`` tells the copies apart; the second one has one more positive outcome.
+    """
     facts = table(spark, sf_dir, "part").join(
         outcomes(spark, sf_dir), F.col("p_partkey") == F.col("l_partkey"), "left"
     )
-    words = F.replace("p_name", F.lit(" "), F.lit(";"))
-    messy_words = F.concat(F.replace("p_name", F.lit(" "), F.lit(" ;; ")), F.lit("; "), words)
-    size = F.col("p_size")
-    one_version, two_versions = F.array(F.lit(1)), F.array(F.lit(1), F.lit(2))
-    zero = F.lit(0).cast("long")
-    base = facts.select(
-        F.col("p_partkey").alias("appid"),
-        F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("name"),
-        F.when(~every(40), F.col("o_orderdate").cast("date")).alias("release_date"),
-        F.lit(1).alias("english"),
-        F.concat(F.lit('Studio "'), "p_type", F.lit('", Ltd; ')).alias("developer"),
-        F.when(every(25), F.lit("  ")).otherwise(F.col("p_brand")).alias("publisher"),
-        F.when(every(3), "windows;mac;linux")
-        .when(every(7), "windows; mac ;windows;")
-        .otherwise("windows")
-        .alias("platforms"),
-        size.alias("required_age"),
-        F.concat("p_type", F.lit(" ; "), "p_brand").alias("categories"),
-        F.when(every(7), messy_words).otherwise(words).alias("genres"),
-        F.when(~every(9), F.lower("p_type")).alias("community_tags"),
-        (size * 2).alias("achievements"),
-        F.when(every(11), F.lit(None)).when(every(33, 1), zero).otherwise(F.col("kept")).alias("positive"),
-        F.when(every(13), F.lit(-5).cast("long"))
-        .when(every(33, 1), zero)
-        .otherwise(F.col("returned"))
-        .alias("negative_ratings"),
-        F.col("p_retailprice").alias("average_playtime"),
-        (F.col("p_retailprice") / 2).alias("median_playtime"),
-        F.when(every(60), "n/a")
-        .otherwise(F.concat((size * 1000).cast("string"), F.lit("-"), (size * 2000).cast("string")))
-        .alias("owners"),
-        F.when(every(50), F.lit(-1.0)).otherwise((size - 1).cast("double")).alias("price"),
-        F.explode(F.when(every(20), two_versions).otherwise(one_version)).alias("ver"),
-    )
-    counted = base.withColumn("positive_ratings", F.col("positive") + F.col("ver") - 1)
-    return counted.select(*ddl_names(CATALOG_SCHEMA), "ver")
+    copies = "explode(case when p_partkey % 20 = 0 then array(1, 2) else array(1) end) as ver"
+    rows = facts.selectExpr(*aliased(RAW_COLUMNS), copies)
+    return rows.withColumn("positive_ratings", F.expr("positive_ratings + (ver - 1)"))
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,15 +129,8 @@ def wide_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def untyped_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue cells as text, some of which are no number or date."""
-    raw = raw_catalog(spark, sf_dir).withColumn("p_partkey", F.col("appid"))
-    return raw.select(
-        "appid",
-        "ver",
-        F.when(every(50), "free").when(every(33), "12f").otherwise(F.col("price").cast("string")).alias("price"),
-        F.when(every(11), "").otherwise(F.col("negative_ratings").cast("string")).alias("negative_ratings"),
-        F.when(every(40), "2001-02-30").otherwise(F.col("release_date").cast("string")).alias("release_date"),
-    )
+    """Catalogue cells as text."""
+    return raw_catalog(spark, sf_dir).selectExpr("appid", "ver", *aliased(UNTYPED_COLUMNS))
 
 
 def priority_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

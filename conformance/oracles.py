@@ -2,45 +2,23 @@
 
 from __future__ import annotations
 
+from conformance.bindings import RAW_COLUMNS, UNTYPED_COLUMNS, VOTE_TAGS, VOTE_WORTH, aliased
 from conformance.bindings import THRESHOLDS as T
-from conformance.bindings import VOTE_TAGS, VOTE_WORTH
 from ratingloom.defaults import Z_95
 
 _Z = f"cast({Z_95!r} as double)"
 
 # Raw catalogue rows, as derived in ``bindings.raw_catalog``.
-RAW = """
+RAW = f"""
 stats as (
-  select l_partkey k,
-         cast(sum(case when l_returnflag <> 'R' then 1 else 0 end) as bigint) pos,
-         cast(sum(case when l_returnflag = 'R' then 1 else 0 end) as bigint) neg,
-         max_by(o_orderdate, l_orderkey) rd
+  select l_partkey,
+         cast(sum(case when l_returnflag <> 'R' then 1 else 0 end) as bigint) kept,
+         cast(sum(case when l_returnflag = 'R' then 1 else 0 end) as bigint) returned,
+         max_by(o_orderdate, l_orderkey) o_orderdate
   from lineitem join orders on l_orderkey = o_orderkey group by l_partkey),
 raw0 as (
-  select p_partkey appid, ' ' || p_name || ' ' as name,
-    case when p_partkey % 40 = 0 then null else cast(rd as date) end release_date,
-    1 as english,
-    'Studio "' || p_type || '", Ltd; ' as developer,
-    case when p_partkey % 25 = 0 then '  ' else p_brand end publisher,
-    case when p_partkey % 3 = 0 then 'windows;mac;linux'
-         when p_partkey % 7 = 0 then 'windows; mac ;windows;' else 'windows' end platforms,
-    p_size as required_age,
-    p_type || ' ; ' || p_brand as categories,
-    case when p_partkey % 7 = 0
-         then replace(p_name,' ',' ;; ') || '; ' || replace(p_name,' ',';')
-         else replace(p_name,' ',';') end genres,
-    case when p_partkey % 9 <> 0 then lower(p_type) end community_tags,
-    p_size * 2 as achievements,
-    case when p_partkey % 11 = 0 then null
-         when p_partkey % 33 = 1 then cast(0 as bigint) else pos end positive_ratings,
-    case when p_partkey % 13 = 0 then cast(-5 as bigint)
-         when p_partkey % 33 = 1 then cast(0 as bigint) else neg end negative_ratings,
-    p_retailprice as average_playtime, p_retailprice / 2 as median_playtime,
-    case when p_partkey % 60 = 0 then 'n/a'
-         else cast(p_size*1000 as varchar) || '-' || cast(p_size*2000 as varchar) end owners,
-    case when p_partkey % 50 = 0 then cast(-1 as double) else cast(p_size-1 as double) end price,
-    1 as ver
-  from part left join stats on p_partkey = k),
+  select {", ".join(aliased(RAW_COLUMNS))}, 1 as ver
+  from part left join stats on p_partkey = l_partkey),
 raw as (
   select * from raw0
   union all
@@ -223,18 +201,12 @@ def _run(body: str) -> str:
     return f"with {RAW},{GAMES},{LABELS},{VOTES},counts as ({_COUNTS})\n{body}"
 
 
-_CSV_COLUMNS = (
-    "appid name release_date english developer publisher platforms required_age categories genres "
-    "community_tags achievements positive_ratings negative_ratings average_playtime "
-    "median_playtime owners price"
-).split()
-
 ORACLES: dict[str, str] = {
     "land_raw": _raw(
-        "select " + ", ".join(f"cast({c} as varchar) {c}" for c in _CSV_COLUMNS) + " from raw"
+        "select " + ", ".join(f"cast({c} as varchar) {c}" for c in RAW_COLUMNS) + " from raw"
     ),
     "read_catalog_csv": _raw(
-        "select cast(appid as int) appid, " + ", ".join(_CSV_COLUMNS[1:]) + " from raw"
+        "select cast(appid as int) appid, " + ", ".join(list(RAW_COLUMNS)[1:]) + " from raw"
     ),
     "read_wide_votes": "select cast(user_id * 20 as int) appid, "
     + ", ".join(
@@ -248,14 +220,12 @@ ORACLES: dict[str, str] = {
     "dedupe_catalog": _games("select appid, ver, positive_ratings from dd"),
     "dedupe_by_content": _games("select appid, name, positive_ratings from dd"),
     "coerce_types": _raw(
-        """select appid, ver,
-          try_cast(case when appid % 50 = 0 then 'free' when appid % 33 = 0 then '12f'
-                        else cast(price as varchar) end as double) price,
-          try_cast(case when appid % 11 = 0 then ''
-                        else cast(negative_ratings as varchar) end as double) negative_ratings,
-          try_cast(case when appid % 40 = 0 then '2001-02-30'
-                        else cast(release_date as varchar) end as date) release_date
-        from raw"""
+        "select appid, ver, "
+        + ", ".join(
+            f"try_cast({text} as {'date' if name == 'release_date' else 'double'}) {name}"
+            for name, text in UNTYPED_COLUMNS.items()
+        )
+        + " from raw"
     ),
     "wilson_scores": _games(
         "select appid, positive_ratings, total_reviews, rating_pct, wilson_score from games"

@@ -19,6 +19,8 @@ def build_session(
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Column calls need no call-site capture, which costs a few round trips each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Split a hot join key even where that costs the next operator a shuffle.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
