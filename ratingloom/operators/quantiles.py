@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], *, broadcast: bool) -> DataFrame:
+    """Inner join on keys that may be null."""
+    right = right.withColumnsRenamed({name: f"_{name}" for name in keys})
+    same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in keys])
+    right = F.broadcast(right) if broadcast else right
+    return left.join(right, same).drop(*[f"_{name}" for name in keys])
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -33,7 +42,6 @@ def exact_quantiles(
     False for an open set of groups, and Spark picks the join by size.
     """
     group = [*by, "measure"]
-    small = F.broadcast if bounded_groups else (lambda table: table)
     values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     counted = (
         values.unpivot(list(by), list(columns), "measure", "value")
@@ -48,8 +56,9 @@ def exact_quantiles(
         F.percentile_approx("value", cut_points, 10000).alias("cuts"),
         F.sum("copies").alias("total"),
     )
-    placed = counted.join(small(cuts), group).withColumn(
-        "bucket", F.coalesce(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))), F.lit(0))
+    below = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    placed = _join_on(counted, cuts, group, broadcast=bounded_groups).withColumn(
+        "bucket", F.coalesce(below, F.lit(0))
     )
     # At most ``buckets`` rows per group.
     by_bucket = Window.partitionBy(*group).orderBy("bucket")
@@ -67,8 +76,12 @@ def exact_quantiles(
     in_bucket = Window.partitionBy(*group, "bucket").orderBy("value")
     end = F.col("before") + F.sum("copies").over(in_bucket)
     ranked = (
-        placed.select(*group, "bucket", "value", "copies")
-        .join(small(wanted), [*group, "bucket"])
+        _join_on(
+            placed.select(*group, "bucket", "value", "copies"),
+            wanted,
+            [*group, "bucket"],
+            broadcast=bounded_groups,
+        )
         .withColumn("end", end)
         .withColumn("start", F.col("end") - F.col("copies"))
     )
