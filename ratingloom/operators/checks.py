@@ -67,9 +67,11 @@ def label_domain(
 ) -> DataFrame:
     """Labels that are missing from the report or unknown to the declared list."""
     declared = band_dimension(report.sparkSession, labels, label)
-    missing = declared.join(report, label, "left_anti").select(label)
-    unknown = report.join(declared, label, "left_anti").select(label)
-    return _verdict(missing.unionByName(unknown), "label_domain", F.count("*"))
+    both = declared.select(label, F.lit(True).alias("_declared")).join(
+        report.select(label, F.lit(True).alias("_reported")), label, "full"
+    )
+    alone = F.col("_declared").isNull() | F.col("_reported").isNull()
+    return _verdict(both, "label_domain", F.count_if(alone))
 
 
 def label_order(report: DataFrame, label: str = "price_band", labels: Sequence[str] = BAND_LABELS,

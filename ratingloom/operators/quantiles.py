@@ -17,6 +17,16 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], *, broadcas
     return left.join(right, same).drop(*[f"_{name}" for name in keys])
 
 
+def _bucket_of(value: str, cuts: str, first: int, last: int) -> str:
+    """SQL text of a binary search: how many of the sorted cuts lie below the value."""
+    if first == last:
+        return str(first)
+    middle = (first + last) // 2
+    below = _bucket_of(value, cuts, first, middle)
+    above = _bucket_of(value, cuts, middle + 1, last)
+    return f"if({value} <= {cuts}[{middle}], {below}, {above})"
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -38,8 +48,8 @@ def exact_quantiles(
     exact result. The counts are shuffled once and read three times.
 
     ``bounded_groups`` states that ``by`` takes few values (bands, years), which
-    makes the per-group cut table a few kilobytes and safe to broadcast; say
-    False for an open set of groups, and Spark picks the join by size.
+    makes the per-group tables a few kilobytes and safe to broadcast; say False
+    for an open set of groups, and Spark picks the join by size.
     """
     group = [*by, "measure"]
     values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
@@ -50,39 +60,45 @@ def exact_quantiles(
         .agg(F.count("*").alias("copies"))
     )
     cut_points = [i / buckets for i in range(1, buckets)]
-    # The total uses the counts, so all three readers ask for the same columns and
-    # share one shuffle.
+    # The total uses the counts, so all readers ask for the same columns and share
+    # one shuffle.
     cuts = counted.groupBy(*group).agg(
-        F.percentile_approx("value", cut_points, 10000).alias("cuts"),
+        F.percentile_approx("value", cut_points, 8 * buckets).alias("cuts"),
         F.sum("copies").alias("total"),
     )
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
-    placed = _join_on(counted, cuts, group, broadcast=bounded_groups).withColumn(
-        "bucket", F.coalesce(below, F.lit(0))
-    )
-    # At most ``buckets`` rows per group.
+    bucket = F.expr(_bucket_of("value", "cuts", 0, buckets - 1))
+    placed = _join_on(counted, cuts, group, broadcast=bounded_groups).withColumn("bucket", bucket)
+
+    # At most ``buckets`` rows per group from here on.
     by_bucket = Window.partitionBy(*group).orderBy("bucket")
     position = (F.col("total") - 1) * F.lit(float(q))
     wanted = (
         placed.groupBy(*group, "bucket")
-        .agg(F.sum("copies").alias("inside"), F.max("total").alias("total"))
+        .agg(
+            F.sum("copies").alias("inside"),
+            F.max("total").alias("total"),
+            F.min("value").alias("least"),
+            F.max("value").alias("most"),
+        )
         .withColumn("before", F.sum("inside").over(by_bucket) - F.col("inside"))
         .withColumn("low", F.floor(position))
         .withColumn("high", F.ceil(position))
-        .withColumn("fraction", position - F.floor(position))
         .filter((F.col("before") <= F.col("high")) & (F.col("before") + F.col("inside") > F.col("low")))
-        .select(*group, "bucket", "before", "low", "high", "fraction")
+        .groupBy(*group)
+        .agg(
+            F.min("before").alias("before"),
+            F.min("least").alias("least"),
+            F.max("most").alias("most"),
+            F.max("low").alias("low"),
+            F.max("high").alias("high"),
+            F.max(position - F.col("low")).alias("fraction"),
+        )
     )
-    in_bucket = Window.partitionBy(*group, "bucket").orderBy("value")
-    end = F.col("before") + F.sum("copies").over(in_bucket)
+    by_value = Window.partitionBy(*group).orderBy("value")
     ranked = (
-        _join_on(
-            placed.select(*group, "bucket", "value", "copies"),
-            wanted,
-            [*group, "bucket"],
-            broadcast=bounded_groups,
-        )
-        .withColumn("end", end)
+        _join_on(counted, wanted, group, broadcast=bounded_groups)
+        .filter(F.col("value").between(F.col("least"), F.col("most")))
+        .withColumn("end", F.col("before") + F.sum("copies").over(by_value))
         .withColumn("start", F.col("end") - F.col("copies"))
     )
 
