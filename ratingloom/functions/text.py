@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -37,10 +38,17 @@ def to_date(text: ColumnOrName, pattern: str = DATE_FORMAT) -> Column:
 
 
 def split_labels(text: ColumnOrName, separator: str = LABEL_SEPARATOR) -> Column:
-    """Distinct, trimmed, non-blank labels of a separated string, as an array."""
-    parts = F.split(as_column(text), rf"\Q{separator}\E")
-    parts = F.transform(parts, lambda part: F.trim(part))
-    return F.array_distinct(F.filter(parts, lambda part: part != ""))
+    """Distinct, trimmed, non-blank labels of a separated string, as an array.
+
+    Blanks around separators go before the split, so that no per-element lambda is
+    needed and the whole expression is compiled.
+    """
+    if not separator or separator != separator.strip():
+        raise ValueError("a separator is not empty and has no blank at either end")
+    pattern = re.escape(separator)
+    literal = separator.replace("\\", "\\\\").replace("$", "\\$")
+    tight = F.regexp_replace(F.trim(as_column(text)), f" *{pattern} *", literal)
+    return F.array_distinct(F.array_remove(F.split(tight, pattern), ""))
 
 
 def display_label(text: ColumnOrName, fallback: Column | str | None = None) -> Column:

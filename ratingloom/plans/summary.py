@@ -22,11 +22,15 @@ SUMMARY_SCHEMA = """
 """
 
 
-def quality_report(games: DataFrame, key: str = "appid") -> DataFrame:
-    """Rows, distinct keys, missing dates and prices, items without outcomes."""
+def quality_report(games: DataFrame, key: str = "appid", *, approximate: bool = False) -> DataFrame:
+    """Rows, distinct keys, missing dates and prices, items without outcomes.
+
+    The exact distinct count shuffles every key; ``approximate`` shuffles sketches.
+    """
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     return games.agg(
         F.count("*").alias("clean_rows"),
-        F.count_distinct(key).alias("distinct_appids"),
+        distinct(key).alias("distinct_appids"),
         F.count_if(F.col("release_date").isNull()).alias("missing_release_date"),
         F.count_if(F.col("price").isNull()).alias("missing_price"),
         F.count_if(F.col("total_reviews") == 0).alias("zero_review_games"),

@@ -153,7 +153,13 @@ def test_number_texts(spark):
 def test_split_labels(spark):
     text = " Action;; Indie ;Action; ;RPG;"
     assert one(spark, l=X.split_labels(F.lit(text))) == ["Action", "Indie", "RPG"]
-    assert one(spark, l=X.split_labels(F.lit("a|b|a"), "|")) == ["a", "b"]
+    for separator in ("|", "$", "\\", "||", "a.b"):
+        joined = separator.join(["a", " b c ", "", "a", "  "])
+        assert one(spark, l=X.split_labels(F.lit(joined), separator)) == ["a", "b c"]
+    assert one(spark, l=X.split_labels(F.lit("  "))) == []
+    for wrong in ("", ", ", " "):
+        with pytest.raises(ValueError):
+            X.split_labels("text", wrong)
     assert one(spark, l=X.split_labels(F.lit(None).cast("string"))) is None
 
 

@@ -122,7 +122,8 @@ def test_summary(raw, games):
         "median_game_rating_pct": 90.0,
         "median_reviews_per_game": 10,
     }
-    assert tuple(S.quality_report(games).first()) == (6, 6, 1, 1, 1)
+    for approximate in (False, True):
+        assert tuple(S.quality_report(games, approximate=approximate).first()) == (6, 6, 1, 1, 1)
     assert tuple(S.missing_before(raw).first()) == (3, 1, 1, 1)
     shown = S.headline_figures(S.run_summary(raw, games)).first()
     assert (shown["review_outcomes"], shown["weighted_minus_median"]) == (150, 4.67)
