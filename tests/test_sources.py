@@ -209,3 +209,13 @@ def test_whole_run(spark, catalog_csv, tmp_path):
     assert "top_tags" not in without
     with pytest.raises(ValueError):
         full_run.run_all(spark, catalog_csv, curated, str(tmp_path))
+
+
+def test_command_line(spark, catalog_csv, tmp_path):
+    import run
+
+    written = run.main(
+        ["--input", catalog_csv, "--curated", str(tmp_path / "c"), "--output", str(tmp_path / "o")]
+    )
+    assert "top_tags" not in written
+    assert readers.read_result(spark, written["data_quality"]).first()["clean_rows"] == 7
