@@ -34,7 +34,7 @@ def exact_quantiles(
     *,
     by: Sequence[str] = (),
     buckets: int = 128,
-    bounded_groups: bool = True,
+    bounded_groups: bool | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantile ``q`` of each column, per group.
 
@@ -47,10 +47,12 @@ def exact_quantiles(
     only that bucket is sorted. The cuts only balance the work: any cuts give the
     exact result. The counts are shuffled once and read three times.
 
-    ``bounded_groups`` states that ``by`` takes few values (bands, years), which
-    makes the per-group tables a few kilobytes and safe to broadcast; say False
-    for an open set of groups, and Spark picks the join by size.
+    ``bounded_groups`` states that ``by`` takes few values by nature (bands,
+    years), which makes the per-group tables a few kilobytes and safe to broadcast.
+    Without that statement they are broadcast only if there is no ``by``; otherwise
+    Spark picks the join by size.
     """
+    bounded_groups = not by if bounded_groups is None else bounded_groups
     group = [*by, "measure"]
     values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     counted = (

@@ -139,15 +139,20 @@ def tag_totals(
 
     The cells of one item and tag are combined before the join, map side first, so
     an item with any number of matrix rows joins at most one row per tag; after
-    that the items of a tag are distinct and are simply counted.
+    that the items of a tag are distinct and are simply counted. Tags travel as
+    positions and get their name at the end.
     """
-    long = unpivot_votes(wide, key=key, columns=columns)
-    combined = long.groupBy(key, "tag").agg(F.sum("votes").alias("votes"), F.count("*").alias("cells"))
+    columns = list(columns) if columns else value_columns(wide, key)
+    voted = _cells(wide, columns, [key], "votes").filter(F.col("votes") > 0)
+    combined = voted.groupBy(key, "_position").agg(
+        F.sum("votes").alias("votes"), F.count("*").alias("cells")
+    )
     rated = combined.join(facts.select(key, measure), key, how)
     weighted = F.sum(F.col(measure) * F.col("cells"))
     weight = F.sum(F.when(F.col(measure).isNotNull(), F.col("cells")))
-    return rated.groupBy("tag").agg(
+    totals = rated.groupBy("_position").agg(
         F.count("*").alias("tagged_games"),
         F.sum("votes").alias("total_tag_votes"),
         (weighted / weight).alias("mean_rating"),
     )
+    return totals.select(_name_at(columns, "tag"), "tagged_games", "total_tag_votes", "mean_rating")

@@ -129,7 +129,9 @@ def price_band_report(games: DataFrame, *, exact: bool = False, accuracy: int =
     if not exact:
         median = F.percentile_approx("total_reviews", 0.5, accuracy).cast("long")
         return grouped.agg(*measured, median.alias("median_reviews"))
-    medians = exact_quantiles(games, ["total_reviews"], 0.5, by=["price_band"]).select(
+    medians = exact_quantiles(
+        games, ["total_reviews"], 0.5, by=["price_band"], bounded_groups=True
+    ).select(
         F.col("price_band").alias("_band"), F.col("quantile").cast("long").alias("median_reviews")
     )
     same_band = F.col("price_band").eqNullSafe(F.col("_band"))

@@ -123,8 +123,8 @@ def test_to_date(spark, text, date):
 @pytest.mark.parametrize(
     "text, label, table_label",
     [
-        ("Portal", "Portal", "Portal"),
-        ("東方天空璋 ～ Hidden Star.", "Hidden Star", "Hidden Star"),
+        ("Anvil 2", "Anvil 2", "Anvil 2"),
+        ("東方 ～ Bright Star.", "Bright Star", "Bright Star"),
         ("東方", "App 東方", "Non-Latin title"),
         (" ~-. ", "App  ~-. ", "Non-Latin title"),
         ("naïve", "nave", "nave"),

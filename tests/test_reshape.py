@@ -83,3 +83,24 @@ def test_many_columns(spark, facts):
     votes = unpivot_votes(wide).groupBy("tag").agg(F.sum("votes").alias("v"), F.count("*").alias("n"))
     found = {r["tag"]: (r["v"], r["n"]) for r in votes.collect()}
     assert found == {f"t{i}": (2 * (i + 1), 2) for i in range(380)}
+
+
+def test_item_with_a_third_of_the_matrix(spark, executed_plan):
+    """Its cells are combined before the join, so the join key is not hot."""
+    n = 30000
+    wide = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("appid"),
+        F.lit(2).alias("x"),
+        (F.col("id") % 2).alias("y"),
+    )
+    facts = wide.select("appid").distinct().select("appid", F.lit(60.0).alias("rating_pct"))
+    totals = tag_totals(wide, facts)
+    plan = executed_plan(totals)
+    assert "partial_count" in plan and "Join" in plan
+    items = n - n // 3
+    assert sorted(map(tuple, totals.collect())) == [
+        ("x", items + 1, 2 * n, 60.0),
+        ("y", items // 2 + 1, n // 2, 60.0),
+    ]
+    joined = rated_votes(wide, facts).groupBy("tag").agg(F.count("*"), F.count_distinct("appid"))
+    assert sorted(map(tuple, joined.collect())) == [("x", n, items + 1), ("y", n // 2, items // 2 + 1)]
