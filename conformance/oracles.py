@@ -17,13 +17,11 @@ stats as (
          max_by(o_orderdate, l_orderkey) o_orderdate
   from lineitem join orders on l_orderkey = o_orderkey group by l_partkey),
 raw0 as (
-  select {", ".join(aliased(RAW_COLUMNS))}, 1 as ver
+  select {", ".join(aliased(RAW_COLUMNS))},
+    unnest(case when p_partkey % 20 = 0 then [1, 2] else [1] end) as ver
   from part left join stats on p_partkey = l_partkey),
 raw as (
-  select * from raw0
-  union all
-  select * replace (positive_ratings + 1 as positive_ratings, 2 as ver)
-  from raw0 where appid % 20 = 0)"""
+  select * replace (positive_ratings + (ver - 1) as positive_ratings) from raw0)"""
 
 # The cleaned catalogue.
 GAMES = f"""

@@ -6,6 +6,7 @@ import __spark_entry__ as contract
 from conformance import compare
 from conformance.oracles import ORACLES
 from conformance.registry import QUERIES
+from ratingloom.defaults import BAND_LABELS
 
 
 @pytest.fixture(scope="module")
@@ -51,6 +52,7 @@ def test_sql_text_equals_dataframe_form(spark, sf_dir, report):
     assert by_text.columns == by_calls.columns
     rows = by_calls.collect()
     if report == "price_band":
+        assert [r["price_band"] for r in by_text.collect()] == list(BAND_LABELS)
         assert sorted(by_text.collect()) == sorted(rows)
     else:
         assert by_text.collect() == rows

@@ -163,6 +163,16 @@ def test_split_labels(spark):
     assert one(spark, l=X.split_labels(F.lit(None).cast("string"))) is None
 
 
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.text(alphabet="ab ;é", max_size=14), min_size=1, max_size=60))
+def test_split_labels_by_brute_force(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = {r["i"]: r["l"] for r in df.select("i", X.split_labels("t").alias("l")).collect()}
+    for i, text in enumerate(texts):
+        labels = [part.strip(" ") for part in text.split(";")]
+        assert found[i] == list(dict.fromkeys(label for label in labels if label))
+
+
 def test_trimming(spark):
     text = F.lit("\t a b \n")
     assert one(spark, t=X.trimmed(text)) == "\t a b \n"
