@@ -123,6 +123,12 @@ TOP = f"""select appid, name, total_reviews, round(rating_pct, 2) rating_pct,
   from games where total_reviews >= {T.min_reviews}
   order by wilson_score desc nulls last, appid limit {T.top_items}"""
 
+NUMBERED = f"""select cast(row_number() over (order by wilson_score desc, appid) as int) as position,
+    appid, name, total_reviews, round(rating_pct, 2) rating_pct,
+    round(wilson_score * 100, 2) wilson_pct, price
+  from games where total_reviews >= {T.min_reviews}
+  order by wilson_score desc, appid limit {T.top_items}"""
+
 PUBLISHERS = f"""select publisher, count(*) games, cast(sum(total_reviews) as bigint) total_reviews,
     round(avg(wilson_score) * 100, 2) mean_wilson_pct
   from games where publisher is not null and publisher <> '' group by publisher
@@ -270,6 +276,20 @@ ORACLES: dict[str, str] = {
           format('{{:,}}', median_reviews) median_reviews_text
         from ({EXACT_BANDS})"""
     ),
+    "formatted_ranking": _games(
+        f"""select position,
+          coalesce(nullif(trim(regexp_replace(name, '[^\\x00-\\x7F]+', '', 'g'), ' ~-.'), ''),
+                   'Non-Latin title') display_name,
+          format('{{:,}}', total_reviews) reviews_text, printf('%.2f', rating_pct) rating_text,
+          printf('%.2f', wilson_pct) wilson_text
+        from ({NUMBERED}) where position <= 10"""
+    ),
+    "formatted_tags": _votes(
+        f"""select upper(tag[1]) || lower(tag[2:]) as label, format('{{:,}}', tagged_games) games_text,
+          format('{{:,}}', total_tag_votes) votes_text, printf('%.2f', mean_rating_pct) mean_rating_text
+        from (select * from ({_top_tags("tag_votes")}) order by total_tag_votes desc, tag limit 3)"""
+    ),
+    "largest_genres": _labels(f"select * from ({GENRE}) order by total_reviews desc, genre limit 8"),
     "genre_bubble": _labels(
         f"""select *, 80 + 520 * sqrt(total_reviews / cast(max(total_reviews) over () as double))
             marker_size
@@ -331,11 +351,7 @@ ORACLES: dict[str, str] = {
     "top_tags_long": _votes(_top_tags("tag_votes")),
     "top_tags_wide": _votes(_top_tags("all_tag_votes")),
     "top_reliable": _games(TOP),
-    "top_reliable_numbered": _games(
-        f"""select cast(row_number() over (order by wilson_score desc, appid) as int) as position,
-          appid, wilson_score from games where total_reviews >= {T.min_reviews}
-        order by wilson_score desc, appid limit {T.top_items}"""
-    ),
+    "top_reliable_numbered": _games(NUMBERED),
     "top_n_of_result": _games(f"select * from ({TOP}) order by wilson_pct desc, appid limit 8"),
     "era_champions": _games(ERA),
     "sql_yearly": _games(YEARLY),

@@ -28,6 +28,7 @@ from ratingloom.operators.reshape import (
     wide_vote_totals,
 )
 from ratingloom.plans import full_run, sql_reports
+from ratingloom.plans import presentation as P
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 from ratingloom.sources import readers, views, writers
@@ -212,12 +213,27 @@ def pretty_tags(spark, sf_dir):
 
 @query("formatted_kpis")
 def formatted_kpis(spark, sf_dir):
-    return S.headline_figures(run_summary(spark, sf_dir))
+    return P.headline_figures(run_summary(spark, sf_dir))
 
 
 @over_games("formatted_price_bands")
 def formatted_price_bands(games):
-    return S.price_band_text(R.price_band_report(games, exact=True))
+    return P.price_band_text(R.price_band_report(games, exact=True))
+
+
+@over_games("formatted_ranking")
+def formatted_ranking(games):
+    return P.ranking_text(R.top_reliable_numbered(games, T))
+
+
+@query("formatted_tags")
+def formatted_tags(spark, sf_dir):
+    return P.tag_text(top_tags(spark, sf_dir), 3)
+
+
+@over_games("largest_genres")
+def largest_genres(games):
+    return R.largest_genres(R.genre_report(R.game_genres(games), T), 8)
 
 
 @over_games("genre_bubble")
@@ -387,8 +403,7 @@ def top_reliable(games):
 
 @over_games("top_reliable_numbered")
 def top_reliable_numbered(games):
-    best = ranking.top_n(R.evidenced(games, T), T.top_items, "wilson_score", tie=["appid"])
-    return R.numbered_ranking(best, "wilson_score", "appid").select("position", "appid", "wilson_score")
+    return R.top_reliable_numbered(games, T)
 
 
 @query("top_n_of_result")

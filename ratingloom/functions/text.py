@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,10 +79,6 @@ def thousands(value: ColumnOrName, decimals: int = 0) -> Column:
 
 def affixed(value: ColumnOrName, prefix: str = "", suffix: str = "", decimals: int = 2) -> Column:
     """Fixed-point number between literal affixes, e.g. ``12.50%`` or ``GBP 3.00``."""
-    literal = [part.replace("%", "%%") for part in (prefix, suffix)]
-    return F.format_string(f"{literal[0]}%.{decimals}f{literal[1]}", as_column(value).cast("double"))
-
-
-def all_missing_as_blank(columns: Iterable[str]) -> dict[str, Column]:
-    """Replacement map that turns null text into the empty string."""
-    return {name: F.coalesce(F.col(name), F.lit("")) for name in columns}
+    number = as_column(value).cast("double")
+    before, after = (part.replace("%", "%%") for part in (prefix, suffix))
+    return F.when(number.isNotNull(), F.format_string(f"{before}%.{decimals}f{after}", number))

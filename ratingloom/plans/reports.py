@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ratingloom.defaults import BAND_LABELS, Thresholds
 from ratingloom.functions import measures as M
-from ratingloom.functions import text as X
 from ratingloom.operators import ranking
 from ratingloom.operators.cleaning import band_dimension
 from ratingloom.operators.quantiles import exact_quantiles
@@ -107,6 +106,13 @@ def at_least(report: DataFrame, column: str, minimum: int) -> DataFrame:
     return report.filter(F.col(column) >= minimum)
 
 
+def largest_genres(genre: DataFrame, n: int = 12) -> DataFrame:
+    """The most reviewed genres in ascending order of quality."""
+    return ranking.top_then_resort(
+        genre, n, take_by="total_reviews", show_by="mean_wilson_pct", tie=["genre"]
+    )
+
+
 def genre_bubbles(genre: DataFrame, n: int = 12) -> DataFrame:
     """The most reviewed genres in ascending order of quality, with a marker size."""
     largest = ranking.top_n(genre, n, "total_reviews", tie=["genre"])
@@ -167,10 +173,9 @@ def evidenced(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     return at_least(games, "total_reviews", t.min_reviews)
 
 
-def top_reliable(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """Best items by the unrounded lower bound among those with enough outcomes."""
-    best = ranking.top_n(evidenced(games, t), t.top_items, "wilson_score", tie=["appid"])
+def shown_ranking(best: DataFrame, *first: str) -> DataFrame:
     return best.select(
+        *first,
         "appid",
         "name",
         "total_reviews",
@@ -180,9 +185,17 @@ def top_reliable(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
 
 
-def numbered_ranking(top: DataFrame, score: str, tie: str) -> DataFrame:
-    """An already limited ranking with position numbers."""
-    return ranking.numbered(top, [F.col(score).desc_nulls_last(), tie])
+def top_reliable(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """Best items by the unrounded lower bound among those with enough outcomes."""
+    best = ranking.top_n(evidenced(games, t), t.top_items, "wilson_score", tie=["appid"])
+    return shown_ranking(best)
+
+
+def top_reliable_numbered(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """The ranking of the best items with position numbers."""
+    best = ranking.top_n(evidenced(games, t), t.top_items, "wilson_score", tie=["appid"])
+    order = [F.col("wilson_score").desc_nulls_last(), "appid"]
+    return shown_ranking(ranking.numbered(best, order), "position")
 
 
 def publisher_report(
@@ -228,7 +241,7 @@ def era_champions(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     return best.select(*listed).orderBy("release_year", "era_rank", "appid")
 
 
-# -- samples and labels for display -----------------------------------------
+# -- samples -----------------------------------------
 
 
 def uncertainty_sample(games: DataFrame, q: float = 0.995) -> DataFrame:
@@ -237,7 +250,3 @@ def uncertainty_sample(games: DataFrame, q: float = 0.995) -> DataFrame:
     volume = F.col("total_reviews")
     trimmed = games.filter((volume > 0) & (volume <= limit))
     return trimmed.select("appid", F.log10(volume).alias("log_reviews"), "rating_pct")
-
-
-def with_display_names(df: DataFrame, name: str = "name", fallback: Column | str | None = None) -> DataFrame:
-    return df.withColumn("display_name", X.display_label(name, fallback))

@@ -1,4 +1,4 @@
-"""One-row summaries: data quality, missing values, the run, headline figures."""
+"""One-row summaries: data quality, missing values, the run."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.defaults import ddl_names
-from ratingloom.functions import text as X
 from ratingloom.operators.quantiles import exact_quantiles, quantile_row
 
 # The metrics of a run, in order.
@@ -75,30 +74,3 @@ def run_summary(raw: DataFrame, games: DataFrame, key: str = "appid") -> DataFra
     )
     parts = from_raw.unionByName(from_clean, True).unionByName(medians, True)
     return parts.agg(*[F.max(name).alias(name) for name in ddl_names(SUMMARY_SCHEMA)])
-
-
-def headline_figures(summary: DataFrame) -> DataFrame:
-    """The summary's key figures as numbers and as display text."""
-    outcomes = F.col("total_positive_ratings") + F.col("total_negative_ratings")
-    gap = F.round(F.col("overall_weighted_positive_pct") - F.col("median_game_rating_pct"), 2)
-    return summary.select(
-        outcomes.alias("review_outcomes"),
-        gap.alias("weighted_minus_median"),
-        X.thousands("clean_rows").alias("games_text"),
-        X.thousands(outcomes).alias("review_outcomes_text"),
-        X.affixed("overall_weighted_positive_pct", suffix="%").alias("weighted_positive_text"),
-        X.affixed("median_game_rating_pct", suffix="%").alias("median_rating_text"),
-        X.affixed(gap, suffix="-point").alias("gap_text"),
-        X.thousands("median_reviews_per_game").alias("median_reviews_text"),
-    )
-
-
-def price_band_text(report: DataFrame, currency: str = "GBP") -> DataFrame:
-    """A band report as display text, prices with their currency."""
-    return report.select(
-        "price_band",
-        X.thousands("games").alias("games_text"),
-        X.affixed("mean_price", prefix=f"{currency} ").alias("mean_price_text"),
-        X.affixed("mean_rating_pct").alias("mean_rating_text"),
-        X.thousands("median_reviews").alias("median_reviews_text"),
-    )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ratingloom.defaults import BAND_LABELS, Thresholds
 from ratingloom.operators import checks
 from ratingloom.operators.cleaning import clean_catalog
+from ratingloom.plans import presentation as P
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 
@@ -105,6 +106,20 @@ def test_genre_bubbles(games):
     assert max(r["marker_size"] for r in bubbles) == 600.0
 
 
+def test_display_tables(spark, games):
+    shown = P.ranking_text(R.top_reliable_numbered(games, SMALL), 1).collect()
+    assert [tuple(r)[:3] for r in shown] == [(1, "D", "100")]
+    genres = R.largest_genres(R.genre_report(R.game_genres(games), SMALL), 2).collect()
+    assert [r["mean_wilson_pct"] for r in genres] == sorted(r["mean_wilson_pct"] for r in genres)
+    tags = spark.createDataFrame(
+        [("free_to_play", 5, 9000, 70.5), ("2d", 4, 100, None), ("rts", 4, 50, 1.0)],
+        "tag string, tagged_games bigint, total_tag_votes bigint, mean_rating_pct double",
+    )
+    rows = P.tag_text(tags, 2).collect()
+    assert rows[0] == ("Free To Play", "5", "9,000", "70.50") and rows[1]["label"] == "2D"
+    assert rows[1]["mean_rating_text"] is None
+
+
 def test_summary(raw, games):
     summary = S.run_summary(raw, games).first()
     assert summary.asDict() == {
@@ -125,7 +140,7 @@ def test_summary(raw, games):
     for approximate in (False, True):
         assert tuple(S.quality_report(games, approximate=approximate).first()) == (6, 6, 1, 1, 1)
     assert tuple(S.missing_before(raw).first()) == (3, 1, 1, 1)
-    shown = S.headline_figures(S.run_summary(raw, games)).first()
+    shown = P.headline_figures(S.run_summary(raw, games)).first()
     assert (shown["review_outcomes"], shown["weighted_minus_median"]) == (150, 4.67)
     assert (shown["weighted_positive_text"], shown["gap_text"]) == ("94.67%", "4.67-point")
 
