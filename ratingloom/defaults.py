@@ -48,7 +48,7 @@ DATE_FORMAT = "yyyy-MM-dd"
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Evidence thresholds and report sizes."""
+    """Evidence thresholds and report sizes (fixed values)."""
 
     first_year: int = 1997
     last_year: int = 2019

@@ -108,6 +108,15 @@ def missing_any(*columns: ColumnOrName) -> Column:
     return reduce(lambda a, b: a | b, [as_column(c).isNull() for c in columns])
 
 
-def relative_size(value: ColumnOrName, largest: ColumnOrName, base: float = 80, span: float = 520) -> Column:
+# Smallest marker and what the largest one adds to it.
+MARKER_BASE, MARKER_SPAN = 80, 520
+
+
+def relative_size(
+    value: ColumnOrName,
+    largest: ColumnOrName,
+    base: float = MARKER_BASE,
+    span: float = MARKER_SPAN,
+) -> Column:
     """Marker size that grows with the square root of the share of the largest value."""
     return base + span * F.sqrt(as_column(value) / as_column(largest))

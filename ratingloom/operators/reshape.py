@@ -89,14 +89,15 @@ def rated_votes(
 ) -> DataFrame:
     """Long votes with the measures of their item.
 
-    The join runs on the wide rows, one per item instead of one per (item, tag),
-    and Spark broadcasts the smaller side if its measured size allows.
-    ``how="left"`` keeps votes whose item is unknown.
+    Only positive cells travel to the join, as a position and a number; a sparse
+    row of hundreds of columns shrinks to a few of them. Spark broadcasts the
+    smaller side if its measured size allows. ``how="left"`` keeps votes whose item
+    is unknown.
     """
     columns = list(columns) if columns else value_columns(wide, key)
-    rated = wide.join(facts.select(key, *measures), key, how)
-    long = unpivot_votes(rated, key=key, columns=columns, keep=measures)
-    return long.select(key, "tag", "votes", *measures)
+    voted = _cells(wide, columns, [key], "votes").filter(F.col("votes") > 0)
+    rated = voted.join(facts.select(key, *measures), key, how)
+    return rated.select(key, _name_at(columns, "tag"), "votes", *measures)
 
 
 def wide_vote_totals(

@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 RECORDS_PER_FILE = 5_000_000
+TASK_BYTES = "256m"
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def write_curated(
@@ -16,19 +28,22 @@ def write_curated(
     *,
     partition: str = "release_year",
     records_per_file: int = RECORDS_PER_FILE,
+    task_bytes: str = TASK_BYTES,
 ) -> None:
     """Parquet with a folder per partition value.
 
-    The rebalance hint gathers a value's rows into few files of the advisory size,
-    and lets adaptive execution split a value that holds most of the rows.
+    The rebalance hint gathers a value's rows into few tasks of about ``task_bytes``
+    of shuffled rows each, one file per task and value, and lets adaptive execution
+    split a value that holds most of the rows. The size holds for this write only.
     """
-    (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", records_per_file)
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    with _setting(df.sparkSession, ADVISORY_SIZE, task_bytes):
+        (
+            df.hint("rebalance", partition)
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", records_per_file)
+            .partitionBy(partition)
+            .parquet(path)
+        )
 
 
 def write_result(

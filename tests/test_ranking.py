@@ -1,5 +1,4 @@
 import random
-from itertools import groupby
 
 from pyspark.sql import functions as F
 

@@ -109,14 +109,25 @@ def test_curated_partitions_prune_and_push_down(spark, catalog_csv, tmp_path, ex
 
 
 def test_hot_year_is_written_by_several_tasks(spark, tmp_path):
+    """Adaptive execution splits the hot year by size; the row limit is not reached."""
     path = str(tmp_path / "curated")
-    df = spark.range(0, 40000, 1, 8).select(
-        "id", F.when(F.col("id") % 3 > 0, F.lit(2018)).otherwise(2000 + F.col("id") % 5).alias("release_year")
+    before = spark.conf.get(writers.ADVISORY_SIZE)
+    df = spark.range(0, 400000, 1, 16).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") % 3 > 0, F.lit(2018)).otherwise(2000 + F.col("id") % 5).alias("release_year"),
     )
-    writers.write_curated(df, path, records_per_file=5000)
+    writers.write_curated(df, path, task_bytes="4m")
     files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(path).iterdir() if p.is_dir()}
-    assert files["release_year=2018"] >= 5 and files["release_year=2001"] == 1
-    assert spark.read.parquet(path).count() == 40000
+    assert files["release_year=2018"] >= 3 and files["release_year=2001"] <= 2
+    assert spark.read.parquet(path).count() == 400000
+    assert spark.conf.get(writers.ADVISORY_SIZE) == before
+
+
+def test_row_limit_per_file(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    df = spark.range(1000).withColumn("release_year", F.lit(2018))
+    writers.write_curated(df, path, records_per_file=300)
+    assert len(list(Path(path, "release_year=2018").glob("*.parquet"))) == 4
 
 
 def test_results(spark, tmp_path):
