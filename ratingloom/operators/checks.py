@@ -30,7 +30,7 @@ def consistent_totals(
 ) -> DataFrame:
     """Outcome totals that disagree, plus a weighted rate outside (0, 100]."""
     p, n, t = F.sum(positive), F.sum(negative), F.sum(total)
-    rate = F.try_divide(100 * p, t)
+    rate = F.try_divide(100.0 * p, t)
     wrong_total = F.when((p + n).eqNullSafe(t), 0).otherwise(1)
     wrong_rate = F.when((rate > 0) & (rate <= 100), 0).otherwise(1)
     return _verdict(df, "consistent_totals", wrong_total + wrong_rate)

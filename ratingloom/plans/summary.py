@@ -65,7 +65,8 @@ def run_summary(raw: DataFrame, games: DataFrame, key: str = "appid") -> DataFra
         F.count_if(F.col("total_reviews") == 0).alias("zero_review_games"),
         positive.alias("total_positive_ratings"),
         F.sum("negative_ratings").alias("total_negative_ratings"),
-        F.round(F.try_divide(100 * positive, total), 2).alias("overall_weighted_positive_pct"),
+        # Totals may be near the bigint limit, so the factor is not an integer.
+        F.round(F.try_divide(100.0 * positive, total), 2).alias("overall_weighted_positive_pct"),
     )
     measures = ["rating_pct", "total_reviews"]
     medians = quantile_row(exact_quantiles(games, measures, 0.5), measures).select(

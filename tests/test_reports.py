@@ -145,6 +145,15 @@ def test_summary(raw, games):
     assert (shown["weighted_positive_text"], shown["gap_text"]) == ("94.67%", "4.67-point")
 
 
+def test_huge_totals(raw):
+    large = raw.filter("appid < 4").withColumn("positive_ratings", F.lit(5 * 10**16))
+    games = clean_catalog(large)
+    row = S.run_summary(large, games).first()
+    assert row["total_positive_ratings"] == 15 * 10**16
+    assert row["overall_weighted_positive_pct"] == 100.0
+    assert checks.consistent_totals(games).first()["passed"]
+
+
 def test_checks_pass_and_fail(spark, games):
     def verdict(df):
         return tuple(df.first())
