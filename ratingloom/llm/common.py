@@ -96,3 +96,19 @@ def all_salts(key: Column, hot: list, salts: int) -> Column:
     if not hot:
         return one
     return F.when(key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(one)
+
+
+def lookup_join(
+    big: DataFrame, small: DataFrame, key: str, spread: str, *, how: str = "left", salts: int = 32
+) -> DataFrame:
+    """Join a large side to one line per key, both sides with the key under one name.
+
+    Hot keys of the large side are found by an exact count and dealt over ``salts``
+    tasks by the ``spread`` column; only their lines of the small side are repeated.
+    """
+    counts = big.groupBy(key).agg(F.count("*").alias("key_rows"))
+    hot = hot_keys(counts, key, "key_rows")
+    (salt,) = free_names(big, "lookup_salt")
+    left = big.withColumn(salt, salted(quoted(key), hot, quoted(spread), salts))
+    right = small.withColumn(salt, F.explode(all_salts(quoted(key), hot, salts)))
+    return left.join(right, [key, salt], how).drop(salt)

@@ -8,10 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, sharding
+from ratingloom.llm import bpe, quality, reputation, sharding
 from ratingloom.llm.common import table
 
 
+URL_RULES = (
+    reputation.UrlRule("net", "/", "block"),
+    reputation.UrlRule("example.net", "/en/", "allow"),
+    reputation.UrlRule("example.com", "/de/", "block"),
+    reputation.UrlRule("org", "/fr/", "allow"),
+)
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *quality.MEASURES, "kept")
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is bad if its text holds more than one symbol for ten words."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.regexp_replace("html", "<[^>]*>", " ")
+    symbols = F.regexp_count(text, F.lit("[#*$%&|<>!]"))
+    bad = 10 * symbols > F.size(quality.split_words(text))
+    judged = reputation.judge_urls(pages, URL_RULES, bad)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_documents(
@@ -39,8 +62,95 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_url_filters": op4_url_filters,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sharding": op7_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+# One text's whole-window repeats are counted as positions with an equal window elsewhere
+# in the text; the words they cover follow from the gaps between those positions.
+QUALITY_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+k AS (
+  SELECT doc_id, p, word = lag(word) OVER o AS stutter,
+    CASE WHEN lead(word, 7) OVER o IS NOT NULL THEN concat_ws(' ', word, lead(word, 1) OVER o,
+      lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o, lead(word, 5) OVER o,
+      lead(word, 6) OVER o, lead(word, 7) OVER o) END AS g
+  FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, g) AS c
+  FROM k WHERE g IS NOT NULL) WHERE c >= 2),
+c AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n FROM (SELECT doc_id,
+  least(8, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p), 8)) AS n FROM r) GROUP BY 1),
+s AS (SELECT doc_id, count(*) FILTER (stutter) AS n FROM k GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)),
+  lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+m AS (
+  SELECT w.doc_id, t, len(ls) AS n_lines, coalesce(s.n, 0) AS stutters,
+    CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words
+  FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN s USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words
+    OR word_chars < 3 * n_words OR word_chars > 12 * n_words
+    OR 2 * n_dup_lines > n_lines
+    OR 5 * len(regexp_extract_all(t, '!')) > n_words
+    OR 2 * len(regexp_extract_all(t, '\p{Lu}')) > len(regexp_extract_all(t, '\p{L}'))
+    OR 5 * stutters > n_words) AS kept
+FROM b
+"""
+
+_LEVEL = """
+{name}_k AS (SELECT 1 / least(0.5, greatest(0.0001, coalesce(
+    (sum(n * (bad / n - prior) * (bad / n - prior)) FILTER (n > 0) - sum(prior * (1 - prior)) FILTER (n > 0))
+    / nullif(sum(prior * (1 - prior) * (n - 1)) FILTER (n > 0), 0), 0))) - 1 AS k FROM {name})"""
+
+REPUTATION_SQL = (
+    r"""
+WITH p AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages),
+o AS (SELECT *, 10 * len(regexp_extract_all(t, '[#*$%&|<>!]'))
+    > len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS bad FROM p),
+hosts AS (SELECT host, count(bad) AS n, count(*) FILTER (bad) AS bad,
+    array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+    string_split(host, '.')[-1] AS suffix FROM o GROUP BY host),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+    (SELECT sum(bad) / sum(n) FROM hosts) AS prior FROM hosts GROUP BY suffix),"""
+    + _LEVEL.format(name="suffixes")
+    + """,
+domains AS (SELECT h.domain, h.n, h.bad, (s.bad + k * s.prior) / (s.n + k) AS prior
+  FROM (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2) h
+  JOIN suffixes s USING (suffix), suffixes_k),"""
+    + _LEVEL.format(name="domains")
+    + """,
+units AS (SELECT h.host, h.n, h.bad, (d.bad + k * d.prior) / (d.n + k) AS prior
+  FROM hosts h JOIN domains d USING (domain), domains_k),"""
+    + _LEVEL.format(name="units")
+    + """,
+means AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS weight FROM units, units_k),
+bounds AS (SELECT host, greatest(0, mean - 1.96 * sqrt(mean * (1 - mean) / (weight + 1))) > 0.2
+  AS blocked FROM means),
+r AS (SELECT page_id, host, path, blocked, CASE
+  WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+  WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p JOIN bounds USING (host))
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+  WHEN rule IS NOT NULL THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+)
+
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": QUALITY_SQL,
+    "op4_url_filters": REPUTATION_SQL,
+}
