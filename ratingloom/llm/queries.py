@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, quality, reputation, sharding
+from ratingloom.llm import bpe, decontaminate, quality, reputation, sharding
 from ratingloom.llm.common import table
 
 
@@ -20,6 +20,20 @@ URL_RULES = (
 )
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.find_hits(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *quality.MEASURES, "kept")
@@ -62,12 +76,37 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op4_url_filters": op4_url_filters,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sharding": op7_sharding,
 }
 
+DECONTAMINATION_SQL = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (SELECT DISTINCT item, n, array_to_string(ws[p : p + n - 1], ' ') AS k FROM (
+  SELECT item, ws, least(10, len(ws)) AS n,
+    unnest(generate_series(1, len(ws) - least(10, len(ws)) + 1)) AS p FROM iw WHERE len(ws) > 0)),
+g AS (SELECT doc_id, p, n, array_to_string(ws[p : p + n - 1], ' ') AS k FROM (
+  SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS p
+  FROM dw JOIN (SELECT DISTINCT n FROM win) ON len(ws) >= n)),
+h AS (SELECT doc_id, p, n, item FROM g JOIN win USING (n, k)),
+c AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (
+  SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS w FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
 # One text's whole-window repeats are counted as positions with an equal window elsewhere
 # in the text; the words they cover follow from the gaps between those positions.
 QUALITY_SQL = r"""
@@ -151,6 +190,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 )
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION_SQL,
     "op2_quality_rules": QUALITY_SQL,
     "op4_url_filters": REPUTATION_SQL,
 }
