@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, decontaminate, quality, reputation, sharding
+from ratingloom.llm import bpe, decontaminate, linededup, minhash, quality, reputation, sharding
 from ratingloom.llm.common import table
 
 
@@ -75,12 +75,30 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_removed_lines",
+        "n_removed_words",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op4_url_filters": op4_url_filters,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sharding": op7_sharding,
+    "op9_minhash": op9_minhash,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 DECONTAMINATION_SQL = r"""
