@@ -18,7 +18,7 @@ from ratingloom.llm.common import table, written
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    return quality.keep(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,3 +187,13 @@ def judge(docs: DataFrame, *, text: str = "text", sample_rows: int = SAMPLE_ROWS
         features, standard_rules(text=text, words=words, lines=lines), sample_rows=sample_rows
     )
     return cascade(features, rules).drop(words, lines)
+
+
+def keep(docs: DataFrame, **options) -> DataFrame:
+    """The documents that no rule rejects, columns as they came.
+
+    The judged rows are written first: a filter on the verdict would otherwise be moved
+    below the measures and evaluate each of them many times over.
+    """
+    judged = written(judge(docs, **options), "judged")
+    return judged.where("kept").select(*map(quoted, docs.columns))
