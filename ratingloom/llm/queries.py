@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, decontaminate, linededup, minhash, quality, reputation, sharding
+from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding
 from ratingloom.llm.common import table
 
 
@@ -39,6 +39,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.MEASURES, "kept")
 
 
+def _fold(doc_id: str, folds: int) -> Column:
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(folds))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(_fold("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    answer = langid.predicted(docs, model)
+    found = docs.select("doc_id", held_out.alias("held_out"), answer.alias("answer"))
+    return found.select("doc_id", "held_out", "answer.lang_pred", "answer.score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
+    trusted = table(spark, sf_dir, "labels").where(~held_out & (F.col("quality") == 1))
+    model = pu.fit(docs, trusted.select("doc_id"))
+    scores = docs.select("doc_id", held_out.alias("held_out"), pu.scored(docs, model).alias("score"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is bad if its text holds more than one symbol for ten words."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -94,7 +116,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_id": op3_language_id,
     "op4_url_filters": op4_url_filters,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sharding": op7_sharding,
     "op9_minhash": op9_minhash,
