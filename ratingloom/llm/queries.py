@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding
+from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding, toolchat
 from ratingloom.llm.common import table
 
 
@@ -97,6 +97,43 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOOLS: dict[str, toolchat.Schema] = {
+    "answer": {"question": ("string", True), "turn": ("integer", True), "brief": ("boolean", False)}
+}
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as tool use: a user's turn is a call of ``answer``, the assistant's next turn
+    its result. A call depends on the one two turns before; a turn that fits neither part stays a
+    message. A question of fewer than five words asks for a brief answer with a word for the flag,
+    which the schema refuses.
+    """
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    name = lambda back: F.concat(F.lit("t"), (F.col("turn") - back).cast("string"))
+    short = F.size(quality.split_words(F.col("text"))) < 5
+    question = F.struct(
+        F.col("text").alias("question"),
+        F.col("turn").alias("turn"),
+        F.when(short, F.lit("yes")).alias("brief"),
+    )
+    calls = turns.where("role = 'user'").select(
+        "conv_id",
+        "turn",
+        name(0).alias("call_id"),
+        F.lit("answer").alias("name"),
+        F.to_json(question).alias("arguments"),
+        F.array(name(2)).alias("depends_on"),
+        F.lit(None).cast("string").alias("content"),
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content")
+    )
+    others = turns.where("role IS NULL OR role NOT IN ('user', 'assistant')").select(
+        "conv_id", "turn", "role", F.col("text").alias("content")
+    )
+    return toolchat.format_messages(others, calls, results, TOOLS)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -121,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sharding": op7_sharding,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -187,6 +225,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+# JSON strings are built by hand: canonical form has sorted keys and escapes only what it must.
+CHAT_SQL = r"""
+WITH RECURSIVE t AS (SELECT conv_id, turn, role, text, 't' || turn AS own, 't' || (turn - 1) AS asked,
+  CASE WHEN text IS NULL THEN 'null' ELSE CAST(to_json(text) AS VARCHAR) END AS content,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) < 5 AS short FROM conversations),
+calls AS (SELECT * FROM t WHERE role = 'user'),
+known AS (SELECT conv_id, own, min(turn) AS first_turn FROM calls GROUP BY 1, 2),
+lv AS (
+  SELECT conv_id, first_turn AS turn, 0 AS level FROM known k WHERE NOT EXISTS (
+    SELECT 1 FROM known p WHERE p.conv_id = k.conv_id AND p.first_turn = k.first_turn - 2)
+  UNION ALL SELECT k.conv_id, k.first_turn, level + 1 FROM lv JOIN known k
+    ON k.conv_id = lv.conv_id AND k.first_turn = lv.turn + 2),
+answered AS (SELECT DISTINCT conv_id, asked FROM t WHERE role = 'assistant'),
+a AS (SELECT *, '{' || CASE WHEN short THEN '"brief":"yes",' ELSE '' END
+  || CASE WHEN text IS NULL THEN '' ELSE '"question":' || content || ',' END
+  || '"turn":' || turn || '}' AS arguments FROM calls)
+SELECT conv_id, turn, 'call' AS kind, own AS call_id, level,
+  CASE WHEN asked_.asked IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+  concat_ws('; ', CASE WHEN short THEN 'brief is not boolean' END,
+    CASE WHEN text IS NULL THEN 'missing question' END) AS arguments_error,
+  '{"content":null,"role":"assistant","tool_calls":[{"function":{"arguments":'
+    || CAST(to_json(arguments) AS VARCHAR) || ',"name":"answer"},"id":"' || own
+    || '","type":"function"}]}' AS json
+FROM a JOIN lv USING (conv_id, turn)
+LEFT JOIN answered asked_ ON asked_.conv_id = a.conv_id AND asked_.asked = a.own
+UNION ALL
+SELECT t.conv_id, t.turn, 'result', t.asked, lv.level, CASE WHEN lv.level IS NULL THEN 'orphan' ELSE 'linked' END,
+  NULL, '{"content":' || content || ',"role":"tool","tool_call_id":"' || t.asked || '"}'
+FROM t LEFT JOIN lv ON lv.conv_id = t.conv_id AND lv.turn = t.turn - 1 WHERE role = 'assistant'
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, NULL, NULL,
+  '{"content":' || content || ',"role":"' || role || '"}' FROM t WHERE role NOT IN ('user', 'assistant')
+"""
+
 _LEVEL = """
 {name}_k AS (SELECT 1 / least(0.5, greatest(0.0001, coalesce(
     (sum(n * (bad / n - prior) * (bad / n - prior)) FILTER (n > 0) - sum(prior * (1 - prior)) FILTER (n > 0))
@@ -235,4 +307,5 @@ ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION_SQL,
     "op2_quality_rules": QUALITY_SQL,
     "op4_url_filters": REPUTATION_SQL,
+    "op8_chat_formatting": CHAT_SQL,
 }
