@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import bpe, decontaminate, linededup, minhash, quality
-from ratingloom.llm.common import table, written
+from ratingloom.llm.common import quoted, set_aside, table, without, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,20 +26,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     n_chars follows the text.
     """
-    cleaned = linededup.dedup_lines(docs).where("n_removed_lines = 0 OR text != ''")
-    return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(
-        *docs.columns
-    )
+    renamed, back = set_aside(docs, *linededup.ADDED)
+    cleaned = linededup.dedup_lines(renamed).where("n_removed_lines = 0 OR text != ''")
+    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return cleaned.withColumn("n_chars", length).select(*back)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 0.8 of its five-word shingles."""
-    return minhash.keep_one(docs, shingle=5, percent=80).select(*docs.columns)
+    return minhash.keep_one(docs, shingle=5, percent=80)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
-    return encoded.select(*docs.columns, "n_tokens", "token_ids", whole.alias("round_trip"))
+    kept = without(docs, "n_tokens", "token_ids", "round_trip")
+    return encoded.select(*map(quoted, kept), "n_tokens", "token_ids", whole.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -57,6 +57,14 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in dropped]
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
+    """The frame with its columns of these names renamed, and the columns that bring them back."""
+    clashing = [c for c in df.columns if c.lower() in {n.lower() for n in names}]
+    renamed = dict(zip(clashing, free_names(df, *[f"own_{c}" for c in clashing])))
+    back = [quoted(renamed.get(c, c)).alias(c) for c in df.columns]
+    return df.withColumnsRenamed(renamed), back
+
+
 def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
