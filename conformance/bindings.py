@@ -24,7 +24,7 @@ THRESHOLDS = Thresholds(
 
 # The event types, each a tag column of the vote matrix.
 VOTE_TAGS = ("click", "error", "purchase", "signup", "view")
-VOTE_WORTH = 100
+VOTE_OFFSET = 2  # taken off every cell, so that zero and negative cells occur
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,15 +116,25 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per user, one column per event type: how many events were worth a vote.
+    """One row per user, one column per event type: its events less a fixed offset.
 
-    Keys reach beyond the catalogue and many cells are zero.
+    Keys reach beyond the catalogue; some cells are zero or negative.
     """
-    worth = F.col("value") >= VOTE_WORTH
     return (
         table(spark, sf_dir, "events")
         .groupBy((F.col("user_id") * 20).alias("appid"))
-        .agg(*[F.count_if((F.col("event_type") == tag) & worth).alias(tag) for tag in VOTE_TAGS])
+        .agg(*[(F.count_if(F.col("event_type") == tag) - VOTE_OFFSET).alias(tag) for tag in VOTE_TAGS])
+    )
+
+
+def type_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A matrix of 150 columns: the sizes of the parts of each type, twenty parts to an item."""
+    return (
+        table(spark, sf_dir, "part")
+        .groupBy((F.floor(F.col("p_partkey") / 20) * 20).alias("appid"))
+        .pivot("p_type")
+        .agg(F.sum("p_size"))
+        .na.fill(0)
     )
 
 

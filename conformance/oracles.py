@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from conformance.bindings import RAW_COLUMNS, UNTYPED_COLUMNS, VOTE_TAGS, VOTE_WORTH, aliased
+from conformance.bindings import RAW_COLUMNS, UNTYPED_COLUMNS, VOTE_OFFSET, VOTE_TAGS, aliased
 from conformance.bindings import THRESHOLDS as T
-from ratingloom.defaults import Z_95
+from ratingloom.defaults import Z_95, ddl_names
+from ratingloom.plans.summary import SUMMARY_SCHEMA
 
 _Z = f"cast({Z_95!r} as double)"
 
@@ -66,7 +67,7 @@ game_platforms as (
 
 VOTES = f"""
 cells as (
-  select user_id * 20 appid, event_type tag, cast(count_if(value >= {VOTE_WORTH}) as bigint) votes
+  select user_id * 20 appid, event_type tag, cast(count(*) - {VOTE_OFFSET} as bigint) votes
   from events where event_type in ({", ".join(f"'{tag}'" for tag in VOTE_TAGS)}) group by all),
 long_votes as (select * from cells where votes > 0),
 tag_votes as (
@@ -205,6 +206,40 @@ def _run(body: str) -> str:
     return f"with {RAW},{GAMES},{LABELS},{VOTES},counts as ({_COUNTS})\n{body}"
 
 
+# Key and value columns of the results of a run.
+RUN_COLUMNS = {
+    "data_quality": ([], "clean_rows distinct_appids missing_release_date missing_price zero_review_games"),
+    "yearly": (["release_year"], "games total_reviews mean_rating_pct"),
+    "genre": (["genre"], "games total_reviews mean_rating_pct mean_wilson_pct"),
+    "platform": (["platform"], "games mean_rating_pct"),
+    "price_band": (["price_band"], "games mean_price mean_rating_pct median_reviews"),
+    "top_reliable": (["appid"], "name total_reviews rating_pct wilson_pct price"),
+    "publishers": (["publisher"], "games total_reviews mean_wilson_pct"),
+    "era_champions": (
+        ["release_year", "era_rank", "appid"],
+        "name total_reviews rating_pct wilson_score",
+    ),
+    "top_tags": (["tag"], "tagged_games total_tag_votes mean_rating_pct"),
+    "summary": ([], " ".join(ddl_names(SUMMARY_SCHEMA))),
+}
+
+
+def _contents() -> str:
+    """Every cell of every result of a run as text."""
+    cells = []
+    for report, (keys, columns) in RUN_COLUMNS.items():
+        text = "select * from summary" if report == "summary" else RUN_REPORTS[report]
+        key = "concat_ws('/', " + ", ".join(keys) + ")" if keys else "''"
+        for column in columns.split():
+            value = column if column == "name" else f"printf('%.6f', cast({column} as double))"
+            if column != "name":
+                value = f"coalesce({value}, 'null')"
+            cells.append(
+                f"select '{report}' report, {key} as key, '{column}' as \"column\", {value} as value from ({text}) t"
+            )
+    return " union all ".join(f"({cell})" for cell in cells)
+
+
 ORACLES: dict[str, str] = {
     "land_raw": _raw(
         "select " + ", ".join(f"cast({c} as varchar) {c}" for c in RAW_COLUMNS) + " from raw"
@@ -214,9 +249,17 @@ ORACLES: dict[str, str] = {
     ),
     "read_wide_votes": "select cast(user_id * 20 as int) appid, "
     + ", ".join(
-        f"cast(count_if(event_type = '{tag}' and value >= {VOTE_WORTH}) as bigint) as {tag}" for tag in VOTE_TAGS
+        f"cast(count_if(event_type = '{tag}') - {VOTE_OFFSET} as bigint) as {tag}" for tag in VOTE_TAGS
     )
     + " from events group by user_id",
+    "read_votes_folder": "select cast(user_id * 20 as int) appid, "
+    + ", ".join(
+        f"cast(count_if(event_type = '{tag}') - {VOTE_OFFSET} as bigint) as {tag}" for tag in VOTE_TAGS
+    )
+    + " from events group by user_id",
+    "read_catalog_reordered": _raw(
+        "select cast(appid as int) appid, " + ", ".join(list(RAW_COLUMNS)[1:]) + " from raw"
+    ),
     "curated_roundtrip": _games(CLEAN),
     "result_csv_roundtrip": _games(YEARLY),
     "summary_json_roundtrip": _summary("select * from summary"),
@@ -348,6 +391,14 @@ ORACLES: dict[str, str] = {
     "publisher_report": _games(PUBLISHERS),
     "top_tags": _votes(_top_tags("tag_votes")),
     "top_tags_left": _votes(_top_tags("all_tag_votes")),
+    "top_tags_unique": _votes(_top_tags("tag_votes")),
+    "top_tags_left_unique": _votes(_top_tags("all_tag_votes")),
+    "top_tags_many_columns": _games(
+        """select tag, count(*) tagged_games, cast(sum(votes) as bigint) total_tag_votes,
+          round(avg(rating_pct), 6) mean_rating
+        from (select p_partkey // 20 * 20 appid, p_type tag, sum(p_size) votes from part group by all)
+        left join games using (appid) where votes > 0 group by tag"""
+    ),
     "top_tags_long": _votes(_top_tags("tag_votes")),
     "top_tags_wide": _votes(_top_tags("all_tag_votes")),
     "top_reliable": _games(TOP),
@@ -415,6 +466,52 @@ ORACLES: dict[str, str] = {
               from ({BANDS})))""",
         )
     ),
+    "check_unique_key_broken": _raw(
+        _check(
+            "unique_key", "(select count(*) from (select appid from raw group by appid having count(*) > 1))"
+        )
+    ),
+    "check_totals_broken": _games(
+        _check(
+            "consistent_totals",
+            """(select case when sum(positive_ratings) + sum(negative_ratings) = sum(total_reviews + 1)
+                       then 0 else 1 end from games)""",
+        )
+    ),
+    "check_ranking_order_broken": _games(
+        _check(
+            "ranking_order",
+            f"""(select count_if(wilson_score > before) from (
+              select wilson_score, lag(wilson_score) over (order by wilson_score, appid) before
+              from games where total_reviews >= {T.min_reviews}
+              order by wilson_score, appid limit {T.top_items}))""",
+        )
+    ),
+    "check_eligible_broken": _games(
+        _check("meets_threshold", f"(select count_if(total_reviews < {T.min_reviews}) from games)")
+    ),
+    "check_wilson_bound_broken": _games(
+        _check(
+            "lower_bound_holds",
+            "(select count_if(rating_pct > wilson_score * 100 + 1e-9) from games)",
+        )
+    ),
+    "check_band_total_broken": _games(
+        _check("group_total", "(select count(*) from games where price_band = 'Free')")
+    ),
+    "check_band_domain_broken": _games(_check("label_domain", "2")),
+    "check_band_order_broken": _games(
+        _check(
+            "label_order",
+            f"""(select count_if(place is distinct from listed) from (
+              select row_number() over (order by {_BY_BAND} desc) place, {_BY_BAND} listed
+              from ({BANDS})))""",
+        )
+    ),
+    "full_run_contents": f"with {RAW},{GAMES},{LABELS},{VOTES},{SUMMARY}\n{_contents()}",
+    "run_checks": """select unnest(['unique_key', 'consistent_totals', 'ranking_order', 'meets_threshold',
+        'lower_bound_holds', 'group_total', 'label_domain', 'label_order']) as "check",
+      cast(0 as bigint) violations, true passed""",
     "full_run_reports": _run("select * from counts"),
     "rerun_idempotent": _run('select report, "rows", true as unchanged from counts'),
 }

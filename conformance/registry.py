@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conformance import bindings as B
+from conformance.scratch import scratch_path
 from ratingloom.defaults import BAND_EDGES, BAND_LABELS
 from ratingloom.functions import measures as M
 from ratingloom.functions import text as X
@@ -32,7 +33,6 @@ from ratingloom.plans import presentation as P
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 from ratingloom.sources import readers, views, writers
-from ratingloom.sources.workspace import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 T = B.THRESHOLDS
@@ -109,6 +109,23 @@ def read_wide_votes(spark, sf_dir):
     return readers.read_wide_votes(spark, votes_file(spark, sf_dir))
 
 
+@query("read_catalog_reordered")
+def read_catalog_reordered(spark, sf_dir):
+    path = scratch_path(spark, "catalog-turned")
+    raw = B.raw_catalog(spark, sf_dir).withColumnRenamed("community_tags", "file_tags")
+    writers.write_catalog_csv(raw.select(*reversed(raw.columns)), path)
+    return readers.read_catalog(spark, path, names={"community_tags": "file_tags"})
+
+
+@query("read_votes_folder")
+def read_votes_folder(spark, sf_dir):
+    path = scratch_path(spark, "votes-folder")
+    votes = B.wide_votes(spark, sf_dir)
+    writers.write_catalog_csv(votes.where("appid % 40 = 0").coalesce(1), f"{path}/first")
+    writers.write_catalog_csv(votes.where("appid % 40 != 0").coalesce(1), f"{path}/second")
+    return readers.read_wide_votes(spark, [f"{path}/first", f"{path}/second"])
+
+
 @query("curated_roundtrip")
 def curated_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "curated")
@@ -346,7 +363,7 @@ def price_band_exact(games):
 @over_games("price_band_ordered")
 def price_band_ordered(games):
     ordered = R.in_band_order(R.price_band_report(games))
-    return ranking.numbered(ordered, [M.band_position("price_band")]).select(
+    return ranking.numbered(ordered, [M.band_position("price_band")], at_most=len(BAND_LABELS)).select(
         "position", "price_band", "games", "median_reviews"
     )
 
@@ -381,6 +398,26 @@ def top_tags_left(spark, sf_dir):
     return R.top_tags_from_totals(totals, T)
 
 
+@query("top_tags_unique")
+def top_tags_unique(spark, sf_dir):
+    totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), unique_key=True)
+    return R.top_tags_from_totals(totals, T)
+
+
+@query("top_tags_left_unique")
+def top_tags_left_unique(spark, sf_dir):
+    votes, games = B.wide_votes(spark, sf_dir), B.games(spark, sf_dir)
+    return R.top_tags_from_totals(tag_totals(votes, games, how="left", unique_key=True), T)
+
+
+@query("top_tags_many_columns")
+def top_tags_many_columns(spark, sf_dir):
+    votes, games = B.type_votes(spark, sf_dir), B.games(spark, sf_dir)
+    return tag_totals(votes, games, how="left", unique_key=True).withColumn(
+        "mean_rating", F.round("mean_rating", 6)
+    )
+
+
 @query("top_tags_long")
 def top_tags_long(spark, sf_dir):
     return R.top_tags(tag_votes(spark, sf_dir), T)
@@ -458,8 +495,8 @@ def check_totals(games):
 
 @over_games("check_ranking_order")
 def check_ranking_order(games):
-    best = ranking.top_n(R.evidenced(games, T), T.top_items, "wilson_score", tie=["appid"])
-    return checks.ranking_order(best, "wilson_score", [F.desc("wilson_score"), "appid"])
+    order = [F.desc_nulls_last("wilson_score"), "appid"]
+    return checks.ranking_order(R.evidenced(games, T), "wilson_score", order, at_most=T.top_items)
 
 
 @over_games("check_eligible")
@@ -485,7 +522,61 @@ def check_band_domain(games):
 @over_games("check_band_order")
 def check_band_order(games):
     ordered = R.in_band_order(R.price_band_report(games))
-    return checks.label_order(ranking.numbered(ordered, [M.band_position("price_band")]))
+    return checks.label_order(
+        ranking.numbered(ordered, [M.band_position("price_band")], at_most=len(BAND_LABELS))
+    )
+
+
+# The same checks on rows that break them, with as many violations as SQL counts.
+
+
+@query("check_unique_key_broken")
+def check_unique_key_broken(spark, sf_dir):
+    return checks.unique_key(B.raw_catalog(spark, sf_dir))
+
+
+@over_games("check_totals_broken")
+def check_totals_broken(games):
+    shifted = games.withColumn("total_reviews", F.col("total_reviews") + 1)
+    return checks.consistent_totals(shifted)
+
+
+@over_games("check_ranking_order_broken")
+def check_ranking_order_broken(games):
+    return checks.ranking_order(
+        R.evidenced(games, T), "wilson_score", ["wilson_score", "appid"], at_most=T.top_items
+    )
+
+
+@over_games("check_eligible_broken")
+def check_eligible_broken(games):
+    return checks.meets_threshold(games, "total_reviews", T.min_reviews)
+
+
+@over_games("check_wilson_bound_broken")
+def check_wilson_bound_broken(games):
+    swapped = games.select((F.col("wilson_score") * 100).alias("rate"), F.col("rating_pct").alias("lower"))
+    return checks.lower_bound_holds(swapped, "lower", "rate")
+
+
+@over_games("check_band_total_broken")
+def check_band_total_broken(games):
+    banded = R.price_band_report(games).where("price_band != 'Free'")
+    return checks.group_total(banded, "games", games)
+
+
+@over_games("check_band_domain_broken")
+def check_band_domain_broken(games):
+    renamed = F.when(F.col("price_band") == "40+", "Dear").otherwise(F.col("price_band"))
+    return checks.label_domain(R.price_band_report(games).withColumn("price_band", renamed))
+
+
+@over_games("check_band_order_broken")
+def check_band_order_broken(games):
+    turned = ranking.numbered(
+        R.price_band_report(games), [F.desc(M.band_position("price_band"))], at_most=len(BAND_LABELS)
+    )
+    return checks.label_order(turned)
 
 
 # -- whole run --------------------------------------------------------------
@@ -510,6 +601,63 @@ def full_run_reports(spark, sf_dir):
     return full_run.result_fingerprints(spark, written).select("report", "rows")
 
 
+@query("full_run_contents")
+def full_run_contents(spark, sf_dir):
+    """Every cell that a run has written, read back as text: report, key, column, value."""
+    written = _run(spark, sf_dir)()
+    tables = []
+    for name, path in written.items():
+        read = readers.read_summary if name == "summary" else readers.read_text_table
+        rows = read(spark, path)
+        keys = RUN_KEYS[name]
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in keys]) if keys else F.lit("")
+        cells = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), _plain_text(F.col(c), c).alias("value"))
+                for c in rows.columns
+                if c not in keys
+            ]
+        )
+        tables.append(
+            rows.select(F.lit(name).alias("report"), key.alias("key"), F.explode(cells).alias("cell"))
+            .select("report", "key", "cell.column", "cell.value")
+        )
+    stacked = tables[0]
+    for table in tables[1:]:
+        stacked = stacked.unionByName(table)
+    return stacked
+
+
+# Key columns of the results of a run.
+RUN_KEYS = {
+    "data_quality": [],
+    "yearly": ["release_year"],
+    "genre": ["genre"],
+    "platform": ["platform"],
+    "price_band": ["price_band"],
+    "top_reliable": ["appid"],
+    "publishers": ["publisher"],
+    "era_champions": ["release_year", "era_rank", "appid"],
+    "top_tags": ["tag"],
+    "summary": [],
+}
+
+
+def _plain_text(cell, name: str):
+    """Names as they are; numbers to six digits, so that both engines write them alike."""
+    if name == "name":
+        return cell.cast("string")
+    return F.format_string("%.6f", cell.cast("double"))
+
+
+@query("run_checks")
+def run_checks(spark, sf_dir):
+    catalog, votes = catalog_file(spark, sf_dir), votes_file(spark, sf_dir)
+    curated, output = scratch_path(spark, "curated"), scratch_path(spark, "results")
+    written = full_run.run_all(spark, catalog, curated, output, tags_path=votes, thresholds=T)
+    return full_run.check_run(spark, written, curated, T)
+
+
 @query("rerun_idempotent")
 def rerun_idempotent(spark, sf_dir):
     run = _run(spark, sf_dir)

@@ -36,10 +36,15 @@ def consistent_totals(
     return _verdict(df, "consistent_totals", wrong_total + wrong_rate)
 
 
-def ranking_order(top: DataFrame, score: str, order: Sequence[Column | str]) -> DataFrame:
-    """Rows of a limited ranking whose score exceeds the one before."""
+def ranking_order(
+    top: DataFrame, score: str, order: Sequence[Column | str], *, at_most: int
+) -> DataFrame:
+    """Rows of a ranking whose score exceeds the one before, over its first ``at_most`` rows.
+
+    The limit is applied here: the rows are compared in one task.
+    """
     previous = F.lag(score).over(Window.orderBy(*order))
-    stepped = top.withColumn("_rises", F.col(score) > previous)
+    stepped = top.orderBy(*order).limit(at_most).withColumn("_rises", F.col(score) > previous)
     return _verdict(stepped, "ranking_order", F.count_if("_rises"))
 
 

@@ -17,14 +17,18 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], *, broadcas
     return left.join(right, same).drop(*[f"_{name}" for name in keys])
 
 
-def _bucket_of(value: str, cuts: str, first: int, last: int) -> str:
-    """SQL text of a binary search: how many of the sorted cuts lie below the value."""
-    if first == last:
-        return str(first)
-    middle = (first + last) // 2
-    below = _bucket_of(value, cuts, first, middle)
-    above = _bucket_of(value, cuts, middle + 1, last)
-    return f"if({value} <= {cuts}[{middle}], {below}, {above})"
+def _with_bucket(df: DataFrame, value: str, cuts: str, buckets: int) -> DataFrame:
+    """How many of the sorted cuts lie below the value, by one small step per power of two.
+
+    Each step is a projection of its own, so that none grows too large to be compiled.
+    """
+    step = 1 << max(0, (buckets - 1).bit_length() - 1)
+    df = df.withColumn("bucket", F.lit(0))
+    while step:
+        beyond = f"bucket + {step} < {buckets} AND {value} > element_at({cuts}, bucket + {step})"
+        df = df.withColumn("bucket", F.expr(f"bucket + if({beyond}, {step}, 0)"))
+        step //= 2
+    return df
 
 
 def exact_quantiles(
@@ -33,7 +37,8 @@ def exact_quantiles(
     q: float = 0.5,
     *,
     by: Sequence[str] = (),
-    buckets: int = 128,
+    buckets: int = 512,
+    rounds: int = 1,
     bounded_groups: bool | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantile ``q`` of each column, per group.
@@ -43,9 +48,11 @@ def exact_quantiles(
     Spark's own ``percentile`` merges all distinct values of a group in one task.
     Here the values are first counted (equal values meet in the map-side combine),
     then approximate quantiles of the distinct values cut each group into
-    ``buckets``; the bucket counts tell which bucket holds the wanted rank, and
-    only that bucket is sorted. The cuts only balance the work: any cuts give the
-    exact result. The counts are shuffled once and read three times.
+    ``buckets``; the bucket counts tell which bucket holds the wanted rank, and that one
+    is sorted: about one in ``buckets`` of a group's distinct values meet in a task.
+    With ``rounds=2`` it is cut again before, for groups of a hundred million distinct
+    values and more; each round reads the counts once more. The cuts only balance the
+    work: any cuts give the exact result. In one round the counts are shuffled once.
 
     ``bounded_groups`` states that ``by`` takes few values by nature (bands,
     years), which makes the per-group tables a few kilobytes and safe to broadcast.
@@ -54,48 +61,59 @@ def exact_quantiles(
     """
     bounded_groups = not by if bounded_groups is None else bounded_groups
     group = [*by, "measure"]
-    values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    measured = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])
+    # Exploding structs, unlike unpivot, leaves the group columns as they are: all
+    # readers of the counts then ask for the same exchange and share it.
     counted = (
-        values.unpivot(list(by), list(columns), "measure", "value")
+        df.select(*by, F.explode(measured).alias("cell"))
+        .select(*by, F.col("cell.measure").alias("measure"), F.col("cell.value").alias("value"))
         .filter(F.col("value").isNotNull())
         .groupBy(*group, "value")
         .agg(F.count("*").alias("copies"))
     )
     cut_points = [i / buckets for i in range(1, buckets)]
-    # The total uses the counts, so all readers ask for the same columns and share
-    # one shuffle.
-    cuts = counted.groupBy(*group).agg(
-        F.percentile_approx("value", cut_points, 8 * buckets).alias("cuts"),
-        F.sum("copies").alias("total"),
-    )
-    bucket = F.expr(_bucket_of("value", "cuts", 0, buckets - 1))
-    placed = _join_on(counted, cuts, group, broadcast=bounded_groups).withColumn("bucket", bucket)
-
-    # At most ``buckets`` rows per group from here on.
-    by_bucket = Window.partitionBy(*group).orderBy("bucket")
-    position = (F.col("total") - 1) * F.lit(float(q))
-    wanted = (
-        placed.groupBy(*group, "bucket")
-        .agg(
-            F.sum("copies").alias("inside"),
-            F.max("total").alias("total"),
-            F.min("value").alias("least"),
-            F.max("value").alias("most"),
+    inside = counted.withColumn("before", F.lit(0).cast("long"))
+    wanted = None
+    for _ in range(rounds):
+        cuts = inside.groupBy(*group).agg(
+            F.percentile_approx("value", cut_points, 8 * buckets).alias("cuts"),
+            F.max("before").alias("base"),
+            F.sum("copies").alias("total"),
         )
-        .withColumn("before", F.sum("inside").over(by_bucket) - F.col("inside"))
-        .withColumn("low", F.floor(position))
-        .withColumn("high", F.ceil(position))
-        .filter((F.col("before") <= F.col("high")) & (F.col("before") + F.col("inside") > F.col("low")))
-        .groupBy(*group)
-        .agg(
-            F.min("before").alias("before"),
-            F.min("least").alias("least"),
-            F.max("most").alias("most"),
-            F.max("low").alias("low"),
-            F.max("high").alias("high"),
-            F.max(position - F.col("low")).alias("fraction"),
+        if wanted is None:
+            position = (F.col("total") - 1) * F.lit(float(q))
+            ranks = [F.floor(position).alias("low"), F.ceil(position).alias("high"), (position - F.floor(position)).alias("fraction")]
+            cuts = cuts.select(*group, "cuts", "base", *ranks)
+        else:
+            ranks = wanted.select(*group, "low", "high", "fraction")
+            cuts = _join_on(cuts.drop("total"), ranks, group, broadcast=bounded_groups)
+        placed = _with_bucket(_join_on(inside, cuts, group, broadcast=bounded_groups), "value", "cuts", buckets)
+        # At most ``buckets`` rows per group from here on.
+        by_bucket = Window.partitionBy(*group).orderBy("bucket")
+        wanted = (
+            placed.groupBy(*group, "bucket")
+            .agg(
+                F.sum("copies").alias("inside"),
+                F.min("value").alias("least"),
+                F.max("value").alias("most"),
+                *[F.max(name).alias(name) for name in ("base", "low", "high", "fraction")],
+            )
+            .withColumn("before", F.col("base") + F.sum("inside").over(by_bucket) - F.col("inside"))
+            .filter((F.col("before") <= F.col("high")) & (F.col("before") + F.col("inside") > F.col("low")))
+            .groupBy(*group)
+            .agg(
+                F.min("before").alias("before"),
+                F.min("least").alias("least"),
+                F.max("most").alias("most"),
+                F.max("low").alias("low"),
+                F.max("high").alias("high"),
+                F.max("fraction").alias("fraction"),
+            )
+        )
+        bounds = wanted.select(*group, "before", "least", "most")
+        inside = _join_on(counted, bounds, group, broadcast=bounded_groups).filter(
+            F.col("value").between(F.col("least"), F.col("most"))
         )
-    )
     by_value = Window.partitionBy(*group).orderBy("value")
     ranked = (
         _join_on(counted, wanted, group, broadcast=bounded_groups)

@@ -22,8 +22,14 @@ def top_then_resort(
     return top_n(df, n, take_by, tie=tie).orderBy(F.col(show_by).asc_nulls_last(), *tie)
 
 
-def numbered(top: DataFrame, order: Sequence[Column | str], alias: str = "position") -> DataFrame:
-    """Number the rows of an already limited ranking."""
+BROADCAST_RANKS = 100  # ranks of a bounded group that are few enough for a forced broadcast
+
+
+def numbered(
+    df: DataFrame, order: Sequence[Column | str], alias: str = "position", *, at_most: int
+) -> DataFrame:
+    """Number the first ``at_most`` rows of a ranking; only these meet in one task."""
+    top = df.orderBy(*order).limit(at_most)
     return top.withColumn(alias, F.row_number().over(Window.orderBy(*order)))
 
 
@@ -53,7 +59,7 @@ def dense_rank_within(
         .select(F.col(group).alias("_group"), F.col(score).alias("_score"), alias)
     )
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(score).eqNullSafe(F.col("_score"))
-    cutoffs = F.broadcast(cutoffs) if bounded_groups else cutoffs
+    cutoffs = F.broadcast(cutoffs) if bounded_groups and keep <= BROADCAST_RANKS else cutoffs
     return df.join(cutoffs, same).drop("_group", "_score")
 
 

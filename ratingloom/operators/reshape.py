@@ -73,6 +73,16 @@ def _cells(wide: DataFrame, columns: Sequence[str], keep: Sequence[str], value:
     return wide.select(*keep, F.posexplode(numbers).alias("_position", value))
 
 
+def _compact(wide: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Each row as its key and the positive cells by position."""
+    numbers = F.array(*[quoted(name).cast("long") for name in columns])
+    cells = F.filter(
+        F.transform(numbers, lambda votes, at: F.struct(at.alias("position"), votes.alias("votes"))),
+        lambda cell: cell["votes"] > 0,
+    )
+    return wide.select(key, cells.alias("_cells")).filter(F.size("_cells") > 0)
+
+
 def _name_at(columns: Sequence[str], label: str) -> Column:
     names = F.array(*[F.lit(name) for name in columns])
     return F.element_at(names, F.col("_position") + 1).alias(label)
@@ -87,9 +97,10 @@ def rated_votes(
     columns: Sequence[str] | None = None,
     how: str = "inner",
 ) -> DataFrame:
-    """Long votes with the measures of their item.
+    """Long votes with the measures of their item; an item should have one row in the matrix.
 
-    Only positive cells travel to the join, as a position and a number; a sparse
+    A matrix in which one item holds very many rows makes a hot join key here: use
+    ``tag_totals(unique_key=False)``, which combines such rows first. Only positive cells travel to the join, as a position and a number; a sparse
     row of hundreds of columns shrinks to a few of them. Spark broadcasts the
     smaller side if its measured size allows. ``how="left"`` keeps votes whose item
     is unknown.
@@ -135,15 +146,29 @@ def tag_totals(
     measure: str = "rating_pct",
     columns: Sequence[str] | None = None,
     how: str = "inner",
+    unique_key: bool = False,
 ) -> DataFrame:
     """Per tag: distinct items, votes, mean measure over the voted cells.
 
-    The cells of one item and tag are combined before the join, map side first, so
+    ``unique_key=True``, for a matrix with one row per item, joins each row once, as an
+    array of its positive cells, and unnests it after the join into the partial
+    aggregate: cells are never shuffled. Otherwise the cells of one item and tag are combined before the join, map side first, so
     an item with any number of matrix rows joins at most one row per tag; after
     that the items of a tag are distinct and are simply counted. Tags travel as
     positions and get their name at the end.
     """
     columns = list(columns) if columns else value_columns(wide, key)
+    if unique_key:
+        rated = _compact(wide, columns, key).join(facts.select(key, measure), key, how)
+        cells = rated.select(
+            key, measure, F.explode("_cells").alias("_cell")
+        ).select(key, measure, F.col("_cell.position").alias("_position"), F.col("_cell.votes").alias("votes"))
+        totals = cells.groupBy("_position").agg(
+            F.count(key).alias("tagged_games"),
+            F.sum("votes").alias("total_tag_votes"),
+            F.avg(measure).alias("mean_rating"),
+        )
+        return totals.select(_name_at(columns, "tag"), "tagged_games", "total_tag_votes", "mean_rating")
     voted = _cells(wide, columns, [key], "votes").filter(F.col("votes") > 0)
     combined = voted.groupBy(key, "_position").agg(
         F.sum("votes").alias("votes"), F.count("*").alias("cells")
@@ -152,7 +177,7 @@ def tag_totals(
     weighted = F.sum(F.col(measure) * F.col("cells"))
     weight = F.sum(F.when(F.col(measure).isNotNull(), F.col("cells")))
     totals = rated.groupBy("_position").agg(
-        F.count("*").alias("tagged_games"),
+        F.count(key).alias("tagged_games"),
         F.sum("votes").alias("total_tag_votes"),
         (weighted / weight).alias("mean_rating"),
     )

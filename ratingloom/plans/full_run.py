@@ -2,50 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.defaults import Thresholds
+from ratingloom.defaults import BAND_LABELS, Thresholds
 from ratingloom.functions.measures import band_position
+from ratingloom.operators import checks
 from ratingloom.operators.cleaning import clean_catalog
 from ratingloom.operators.reshape import tag_totals
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 from ratingloom.sources import readers, writers
-from ratingloom.sources.workspace import require_disjoint
+from ratingloom.sources.workspace import default_file_system, require_disjoint
 
 
 @dataclass(frozen=True)
 class Report:
-    """How one report is built and written; a top-k report is in order already."""
+    """How one report is built and written; a top-k report is in order already.
+
+    ``at_most``: the rows that it can have by its nature, for one file; None for many.
+    """
 
     build: Callable[[DataFrame], DataFrame]
     order: tuple[str | Column, ...] = ()
-    bounded: bool = True
+    at_most: int | None = None
+
+
+def catalog_reports(
+    t: Thresholds, *, all_bands: bool = True, exact_median: bool = False, sort_unrounded: bool = False
+) -> dict[str, Report]:
+    """The reports over the curated fact.
 
+    ``all_bands`` lists the declared price bands that have no item, too.
+    """
+
+    def bands(games: DataFrame) -> DataFrame:
+        report = R.price_band_report(games, exact=exact_median)
+        return R.complete_bands(report) if all_bands else report
 
-def catalog_reports(t: Thresholds) -> dict[str, Report]:
-    """The reports over the curated fact; ``bounded`` ones have a known small size."""
+    years = max(0, t.last_year - t.first_year + 1)
     return {
-        "data_quality": Report(S.quality_report),
-        "yearly": Report(lambda g: R.yearly_report(g, t), ("release_year",)),
+        "data_quality": Report(S.quality_report, at_most=1),
+        "yearly": Report(lambda g: R.yearly_report(g, t), ("release_year",), years),
         "genre": Report(
-            lambda g: R.genre_report(R.game_genres(g), t),
+            lambda g: R.genre_report(R.game_genres(g), t, sort_unrounded=sort_unrounded),
             (F.desc("mean_wilson_pct"), "genre"),
-            bounded=False,
         ),
-        "platform": Report(
-            lambda g: R.platform_report(R.game_platforms(g)), (F.desc("games"), "platform"), bounded=False
-        ),
-        "price_band": Report(R.price_band_report, (band_position("price_band"),)),
-        "top_reliable": Report(lambda g: R.top_reliable(g, t)),
-        "publishers": Report(lambda g: R.publisher_report(g, t)),
-        "era_champions": Report(
-            lambda g: R.era_champions(g, t), ("release_year", "era_rank", "appid"), bounded=False
+        "platform": Report(lambda g: R.platform_report(R.game_platforms(g)), (F.desc("games"), "platform")),
+        # A report without completion may have a row without a band.
+        "price_band": Report(bands, (band_position("price_band"),), len(BAND_LABELS) + 1),
+        "top_reliable": Report(lambda g: R.top_reliable(g, t), at_most=t.top_items),
+        "publishers": Report(
+            lambda g: R.publisher_report(g, t, sort_unrounded=sort_unrounded), at_most=t.top_publishers
         ),
+        "era_champions": Report(lambda g: R.era_champions(g, t), ("release_year", "era_rank", "appid")),
     }
 
 
@@ -59,37 +74,90 @@ def run_all(
     thresholds: Thresholds | None = None,
     order: Sequence[Column | str] | None = None,
     multi_line: bool = False,
+    names: Mapping[str, str] | None = None,
+    zero_positive: str = "score",
+    all_bands: bool = True,
+    exact_median: bool = False,
+    sort_unrounded: bool = False,
+    unique_votes: bool = True,
+    at_once: int = 4,
 ) -> dict[str, str]:
     """Clean, curate and report; returns the path of each written result.
 
     A rerun replaces the curated table and the results and never writes near the
     raw files. Each report reads the curated Parquet by itself, so that its column
     list, its filters and the year partitions prune the scan; a shared cache would
-    read everything. Without a tag file the tag report is left out.
+    read everything. ``at_once`` reports run side by side. Without a tag file the tag
+    report is left out. ``unique_votes``: an item has one row in the vote matrix.
     """
     inputs = [path for path in (catalog_path, tags_path) if path]
-    require_disjoint(inputs, [curated_path, output_path])
+    require_disjoint(inputs, [curated_path, output_path], default_file_system(spark))
     t = thresholds or Thresholds()
 
-    raw = readers.read_catalog(spark, catalog_path, multi_line=multi_line)
-    writers.write_curated(clean_catalog(raw, order=order), curated_path)
+    raw = readers.read_catalog(spark, catalog_path, names=names, multi_line=multi_line)
+    cleaned = clean_catalog(raw, order=order, zero_positive=zero_positive)
+    writers.write_curated(cleaned, curated_path)
     games = readers.read_curated(spark, curated_path)
 
-    written = {}
-    for name, report in catalog_reports(t).items():
-        written[name] = f"{output_path}/{name}"
-        writers.write_result(
-            report.build(games), written[name], report.order, single_file=report.bounded
-        )
+    planned = catalog_reports(
+        t, all_bands=all_bands, exact_median=exact_median, sort_unrounded=sort_unrounded
+    )
     if tags_path:
-        written["top_tags"] = f"{output_path}/top_tags"
-        totals = tag_totals(readers.read_wide_votes(spark, tags_path), games)
-        writers.write_result(R.top_tags_from_totals(totals, t), written["top_tags"])
-    written["summary"] = f"{output_path}/summary"
-    writers.write_summary(S.run_summary(raw, games), written["summary"])
+        votes = readers.read_wide_votes(spark, tags_path, multi_line=multi_line)
+        planned["top_tags"] = Report(
+            lambda g: R.top_tags_from_totals(tag_totals(votes, g, unique_key=unique_votes), t),
+            at_most=t.top_tags,
+        )
+    written = {name: f"{output_path}/{name}" for name in [*planned, "summary"]}
+
+    def write(name: str) -> None:
+        if name == "summary":
+            writers.write_summary(S.run_summary(raw, games), written[name])
+        else:
+            report = planned[name]
+            writers.write_result(report.build(games), written[name], report.order, at_most=report.at_most)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), written))
     return written
 
 
+def check_run(
+    spark: SparkSession, written: Mapping[str, str], curated_path: str, t: Thresholds | None = None
+) -> DataFrame:
+    """One row per check over the files of a run: (check, violations, passed)."""
+    t = t or Thresholds()
+    games = readers.read_curated(spark, curated_path)
+    top = readers.read_result(
+        spark,
+        written["top_reliable"],
+        "appid BIGINT, name STRING, total_reviews BIGINT, rating_pct DOUBLE, wilson_pct DOUBLE, price DOUBLE",
+    )
+    bands = readers.read_result(
+        spark,
+        written["price_band"],
+        "price_band STRING, games BIGINT, mean_price DOUBLE, mean_rating_pct DOUBLE, median_reviews BIGINT",
+    )
+    # One small file each, so the row number of the file is the place in the ranking.
+    place = F.monotonically_increasing_id()
+    numbered = bands.withColumn("position", (place + 1).cast("int"))
+    found = [
+        checks.unique_key(games),
+        checks.consistent_totals(games),
+        checks.ranking_order(top.withColumn("place", place), "wilson_pct", ["place"], at_most=t.top_items),
+        checks.meets_threshold(top, "total_reviews", t.min_reviews),
+        # Both figures are rounded to two digits.
+        checks.lower_bound_holds(top, "wilson_pct", "rating_pct", 0.01),
+        checks.group_total(bands, "games", games),
+        checks.label_domain(bands),
+        checks.label_order(numbered),
+    ]
+    stacked = found[0]
+    for one in found[1:]:
+        stacked = stacked.unionByName(one)
+    return stacked
+
+
 def result_fingerprints(spark: SparkSession, written: dict[str, str]) -> DataFrame:
     """Row count and content hash of each result of a run, one row per report."""
     tables = []

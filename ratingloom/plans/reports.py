@@ -193,9 +193,9 @@ def top_reliable(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
 
 def top_reliable_numbered(games: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """The ranking of the best items with position numbers."""
-    best = ranking.top_n(evidenced(games, t), t.top_items, "wilson_score", tie=["appid"])
     order = [F.col("wilson_score").desc_nulls_last(), "appid"]
-    return shown_ranking(ranking.numbered(best, order), "position")
+    best = ranking.numbered(evidenced(games, t), order, at_most=t.top_items)
+    return shown_ranking(best, "position")
 
 
 def publisher_report(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratingloom.defaults import BAND_LABELS, Thresholds
 
@@ -36,7 +37,7 @@ SQL_REPORTS = {
                      round(avg(rating_pct), 2) AS mean_rating_pct,
                      cast(percentile_approx(total_reviews, 0.5) AS BIGINT) AS median_reviews
            GROUP BY price_band
-        |> ORDER BY array_position(split(:band_labels, '\\\\|'), price_band), price_band
+        |> ORDER BY array_position(:band_labels, price_band), price_band
     """,
     "top_reliable": """
         FROM games
@@ -54,7 +55,7 @@ SQL_REPORTS = {
     """,
     "publishers": """
         FROM games
-        |> WHERE nullif(publisher, '') IS NOT NULL
+        |> WHERE publisher <> ''
         |> AGGREGATE count(*) AS games, sum(total_reviews) AS total_reviews,
                      round(avg(wilson_score) * 100, 2) AS mean_wilson_pct
            GROUP BY publisher
@@ -75,6 +76,6 @@ SQL_REPORTS = {
 
 def run(spark: SparkSession, name: str, t: Thresholds | None = None) -> DataFrame:
     """One report of the catalogue, with its thresholds bound as parameters."""
-    args = asdict(t or Thresholds()) | {"band_labels": "|".join(BAND_LABELS)}
+    args = asdict(t or Thresholds()) | {"band_labels": F.array(*map(F.lit, BAND_LABELS))}
     text = SQL_REPORTS[name]
     return spark.sql(text, args={key: value for key, value in args.items() if f":{key}" in text})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.defaults import CATALOG_SCHEMA, DATE_FORMAT
+from ratingloom.sources.workspace import default_file_system, require_disjoint
 
 
 def _csv_options(multi_line: bool) -> dict[str, object]:
@@ -16,21 +17,44 @@ def _csv_options(multi_line: bool) -> dict[str, object]:
     return {"header": True, "escape": '"', "mode": "PERMISSIVE", "multiLine": multi_line}
 
 
+def _by_header(
+    spark: SparkSession, path: str | list[str], types: Mapping[str, T.DataType], options: dict
+) -> DataFrame:
+    """Columns as the header names them, whatever their order; others come as text.
+
+    The first file's header gives the order. A file whose header differs raises an error
+    that names it: Spark compares every header with the schema.
+    """
+    header = spark.read.options(**options).csv(path).columns
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    return spark.read.schema(T.StructType(fields)).options(**options, enforceSchema=False).csv(path)
+
+
 def read_catalog(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str = CATALOG_SCHEMA,
     *,
+    names: Mapping[str, str] | None = None,
     date_format: str = DATE_FORMAT,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Catalogue CSV with a declared schema; cells that do not parse become null.
+    """Catalogue CSV by header name, typed and ordered as declared; bad cells become null.
 
-    ``multi_line=True`` reads fields with line breaks inside quotes. Such a file
-    cannot be split, so one task reads each file: keep the files small.
+    ``names`` maps declared columns to the names that the file gives them, where these
+    differ. A declared column that the header lacks is an error; further columns are
+    left out. ``multi_line=True`` reads fields with line breaks inside quotes. Such a
+    file cannot be split, so one task reads each file: keep the files small.
     """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    in_file = {f.name: (names or {}).get(f.name, f.name) for f in declared}
+    types = {in_file[f.name]: f.dataType for f in declared}
     options = _csv_options(multi_line) | {"dateFormat": date_format}
-    return spark.read.schema(schema).options(**options).csv(path)
+    table = _by_header(spark, path, types, options)
+    missing = [name for name in types if name not in table.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return table.select(*[F.col(f"`{in_file[f.name]}`").alias(f.name) for f in declared])
 
 
 def read_text_table(
@@ -40,15 +64,18 @@ def read_text_table(
     return spark.read.options(**_csv_options(multi_line)).csv(path)
 
 
-def read_wide_votes(spark: SparkSession, path: str | list[str], *, key: str = "appid") -> DataFrame:
+def read_wide_votes(
+    spark: SparkSession, path: str | list[str], *, key: str = "appid", multi_line: bool = False
+) -> DataFrame:
     """Vote matrix whose header names the tags: an integer key, a count per tag.
 
     The schema comes from the header alone; inferring types would read the whole
-    file once more.
+    file once more. Files whose headers differ are an error, never misread.
     """
-    header = read_text_table(spark, path).columns
-    fields = [T.StructField(c, T.IntegerType() if c == key else T.LongType()) for c in header]
-    return read_catalog(spark, path, T.StructType(fields))
+    options = _csv_options(multi_line)
+    header = spark.read.options(**options).csv(path).columns
+    types = {name: T.IntegerType() if name == key else T.LongType() for name in header}
+    return _by_header(spark, path, types, options)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
@@ -82,8 +109,11 @@ def land_raw(
     """Copy raw files into the raw zone as text columns with their file of origin.
 
     ``sources`` maps a table name to its path; a table whose path is None is
-    optional and skipped. A rerun replaces the landed tables.
+    optional and skipped. A rerun replaces the landed tables, which must not overlap
+    the files that they come from.
     """
+    given = [path for path in sources.values() if path is not None]
+    require_disjoint(given, [target], default_file_system(spark))
     landed = {}
     for name, path in sources.items():
         if path is None:

@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 RECORDS_PER_FILE = 5_000_000
-TASK_BYTES = "256m"
-ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-
-
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def write_curated(
@@ -28,22 +16,21 @@ def write_curated(
     *,
     partition: str = "release_year",
     records_per_file: int = RECORDS_PER_FILE,
-    task_bytes: str = TASK_BYTES,
 ) -> None:
     """Parquet with a folder per partition value.
 
-    The rebalance hint gathers a value's rows into few tasks of about ``task_bytes``
-    of shuffled rows each, one file per task and value, and lets adaptive execution
-    split a value that holds most of the rows. The size holds for this write only.
+    The rebalance hint gathers a value's rows into few tasks, one file per task and
+    value, and lets adaptive execution split a value that holds most of the rows. Tasks
+    take about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of shuffled rows; set
+    it to some 256m where curated files are large.
     """
-    with _setting(df.sparkSession, ADVISORY_SIZE, task_bytes):
-        (
-            df.hint("rebalance", partition)
-            .write.mode("overwrite")
-            .option("maxRecordsPerFile", records_per_file)
-            .partitionBy(partition)
-            .parquet(path)
-        )
+    (
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", records_per_file)
+        .partitionBy(partition)
+        .parquet(path)
+    )
 
 
 def write_result(
@@ -51,20 +38,20 @@ def write_result(
     path: str,
     order: Sequence[str | Column] = (),
     *,
-    single_file: bool = True,
+    at_most: int | None = None,
 ) -> None:
-    """Result CSV with header.
+    """Result CSV with header, in part files; with an ``order`` these follow one another.
 
-    ``single_file`` is for results of a known small size. With an ``order`` (years,
-    bands) the finished rows move to one partition and are sorted there; without
-    one, the result is a top-k or a global aggregate, which is one ordered
-    partition already. Anything else is sorted over all partitions and written as
-    ordered part files.
+    ``at_most`` states how many rows the result can have by its nature (a top-k, years,
+    bands). Such a result becomes one file: only its finished rows move to one task. A
+    result with more rows is refused, not cut.
     """
-    if single_file:
-        df = df.repartition(1).sortWithinPartitions(*order) if order else df.coalesce(1)
-    elif order:
-        df = df.orderBy(*order)
+    df = df.orderBy(*order) if order else df
+    if at_most is not None:
+        listed = df.columns
+        df = df.limit(at_most + 1).withColumn("_rows", F.count("*").over(Window.partitionBy()))
+        fits = F.assert_true(F.col("_rows") <= at_most, F.lit(f"more than {at_most} rows"))
+        df = df.where(fits.isNull()).select(*[F.col(f"`{c}`") for c in listed])
     df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
@@ -81,13 +68,3 @@ def write_catalog_csv(df: DataFrame, path: str) -> None:
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
-
-
-@contextmanager
-def shared(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a costly input while several reports read it, then let it go."""
-    kept = df.persist()
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

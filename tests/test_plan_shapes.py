@@ -7,6 +7,7 @@ from conformance.registry import QUERIES
 WRITES = {
     "land_raw", "read_catalog_csv", "read_wide_votes", "curated_roundtrip", "result_csv_roundtrip",
     "summary_json_roundtrip", "top_n_of_result", "full_run_reports", "rerun_idempotent",
+    "read_catalog_reordered", "read_votes_folder", "full_run_contents", "run_checks",
 }
 
 
@@ -42,3 +43,26 @@ def test_tags_are_combined_per_item_before_the_join(spark, sf_dir):
     plan = physical(QUERIES["top_tags"](spark, sf_dir))
     assert "keys=[appid" in plan and "partial_sum(votes" in plan
     assert "TakeOrderedAndProject" in plan
+
+
+def test_unique_items_join_without_shuffled_cells(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(QUERIES["top_tags_unique"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not any("appid" in line and "_position" in line for line in exchanges)
+    assert "partial_count" in plan[: plan.index("Generate explode")]
+
+
+def test_publisher_predicate_is_pushed(spark, sf_dir, tmp_path, executed_plan):
+    from conformance import bindings as B
+    from ratingloom.plans import sql_reports
+    from ratingloom.sources import readers, views, writers
+
+    path = str(tmp_path / "curated")
+    writers.write_curated(B.games(spark, sf_dir), path)
+    views.register_views(readers.read_curated(spark, path))
+    plan = executed_plan(sql_reports.run(spark, "publishers", B.THRESHOLDS))
+    assert "Not(EqualTo(publisher,))" in plan

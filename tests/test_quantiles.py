@@ -74,3 +74,20 @@ def test_counts_are_shuffled_once(spark, executed_plan, tmp_path):
     plan = executed_plan(exact_quantiles(spark.read.parquet(path), ["v"], 0.5))
     assert plan.count("ReusedExchange") >= 2
     assert "percentile(" not in plan and "CartesianProduct" not in plan
+
+
+def test_grouped_counts_are_shuffled_once(spark, executed_plan, tmp_path):
+    path = str(tmp_path / "values")
+    spark.range(1000).selectExpr("id % 3 AS g", "cast(id AS double) AS v").write.parquet(path)
+    found = exact_quantiles(spark.read.parquet(path), ["v"], 0.5, by=["g"], bounded_groups=True)
+    plan = executed_plan(found)
+    assert plan.count("ReusedExchange") >= 2
+    assert plan.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_oversized_buckets_are_cut_again(spark, rounds):
+    df = spark.range(5000).selectExpr("id % 2 AS g", "cast(id AS double) AS v")
+    found = exact_quantiles(df, ["v"], 0.37, by=["g"], buckets=2, rounds=rounds).collect()
+    for row in found:
+        assert row["quantile"] == pytest.approx(np.quantile(np.arange(row["g"], 5000, 2.0), 0.37))

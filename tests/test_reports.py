@@ -168,8 +168,8 @@ def test_checks_pass_and_fail(spark, games):
     assert verdict(checks.consistent_totals(nothing)) == ("consistent_totals", 1, False)
     top = R.top_reliable(games, SMALL)
     order = [F.desc("wilson_pct"), "appid"]
-    assert verdict(checks.ranking_order(top, "wilson_pct", order)) == ("ranking_order", 0, True)
-    assert verdict(checks.ranking_order(top, "wilson_pct", ["wilson_pct"]))[1:] == (1, False)
+    assert verdict(checks.ranking_order(top, "wilson_pct", order, at_most=20)) == ("ranking_order", 0, True)
+    assert verdict(checks.ranking_order(top, "wilson_pct", ["wilson_pct"], at_most=20))[1:] == (1, False)
     assert verdict(checks.meets_threshold(top, "total_reviews", 10))[1:] == (0, True)
     assert verdict(checks.meets_threshold(top, "total_reviews", 50))[1:] == (1, False)
     assert verdict(checks.lower_bound_holds(games, F.col("wilson_score") * 100))[1:] == (0, True)

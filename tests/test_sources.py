@@ -1,3 +1,4 @@
+import getpass
 import json
 from datetime import date
 from pathlib import Path
@@ -9,6 +10,7 @@ from ratingloom.defaults import CATALOG_SCHEMA, Thresholds, ddl_names
 from ratingloom.operators.cleaning import clean_catalog
 from ratingloom.plans import full_run
 from ratingloom.plans import summary as S
+from conformance import scratch
 from ratingloom.sources import readers, views, workspace, writers
 
 HEADER = ",".join(ddl_names(CATALOG_SCHEMA))
@@ -111,16 +113,20 @@ def test_curated_partitions_prune_and_push_down(spark, catalog_csv, tmp_path, ex
 def test_hot_year_is_written_by_several_tasks(spark, tmp_path):
     """Adaptive execution splits the hot year by size; the row limit is not reached."""
     path = str(tmp_path / "curated")
-    before = spark.conf.get(writers.ADVISORY_SIZE)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
     df = spark.range(0, 400000, 1, 16).select(
         F.sha2(F.col("id").cast("string"), 256).alias("text"),
         F.when(F.col("id") % 3 > 0, F.lit(2018)).otherwise(2000 + F.col("id") % 5).alias("release_year"),
     )
-    writers.write_curated(df, path, task_bytes="4m")
+    spark.conf.set(size, "4m")
+    try:
+        writers.write_curated(df, path)
+    finally:
+        spark.conf.set(size, before)
     files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(path).iterdir() if p.is_dir()}
     assert files["release_year=2018"] >= 3 and files["release_year=2001"] <= 2
     assert spark.read.parquet(path).count() == 400000
-    assert spark.conf.get(writers.ADVISORY_SIZE) == before
 
 
 def test_row_limit_per_file(spark, tmp_path):
@@ -134,8 +140,8 @@ def test_results(spark, tmp_path):
     df = spark.createDataFrame([(2, 'q"x, y', 1.5), (1, None, None)], "k int, t string, v double")
     single, many = str(tmp_path / "single"), str(tmp_path / "many")
     for _ in range(2):
-        writers.write_result(df, single, ["k"])
-        writers.write_result(df.repartition(4), many, [F.desc("k")], single_file=False)
+        writers.write_result(df.repartition(4), single, ["k"], at_most=2)
+        writers.write_result(df.repartition(4), many, [F.desc("k")])
     files = list(Path(single).glob("*.csv"))
     assert len(files) == 1
     assert files[0].read_text() == 'k,t,v\n1,,\n2,"q""x, y",1.5\n'
@@ -157,10 +163,49 @@ def test_summary_file(spark, tmp_path):
     assert (read["raw_rows"], read["median_game_rating_pct"], read["clean_rows"]) == (7, 76.03, None)
 
 
-def test_shared_input_is_released(spark):
-    with writers.shared(spark.range(10)) as kept:
-        assert kept.storageLevel.useMemory and kept.count() == 10
-    assert not kept.storageLevel.useMemory
+def test_result_beyond_its_bound_is_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="more than 5 rows"):
+        writers.write_result(spark.range(6), str(tmp_path / "r"), at_most=5)
+
+
+def test_large_result_keeps_its_tasks(spark, tmp_path):
+    path = str(tmp_path / "r")
+    writers.write_result(spark.range(0, 1000, 1, 6), path)
+    assert len(list(Path(path).glob("part-*.csv"))) == 6
+
+
+def test_catalogue_is_read_by_name(spark, catalog_csv, tmp_path):
+    lines = Path(catalog_csv).read_text().splitlines()
+    head = lines[0].split(",")
+    i, j = head.index("positive_ratings"), head.index("negative_ratings")
+    spark.read.option("header", True).option("escape", '"').csv(catalog_csv).select(
+        *[head[j] if k == i else head[i] if k == j else c for k, c in enumerate(head)]
+    ).coalesce(1).write.options(header=True, escape='"').csv(str(tmp_path / "turned"))
+    as_is, turned = (readers.read_catalog(spark, p) for p in (catalog_csv, str(tmp_path / "turned")))
+    assert turned.columns == as_is.columns
+    assert sorted(map(repr, turned.collect())) == sorted(map(repr, as_is.collect()))
+    with pytest.raises(Exception, match="header"):
+        readers.read_catalog(spark, [catalog_csv, str(tmp_path / "turned")]).collect()
+    short = tmp_path / "short.csv"
+    short.write_text("appid,name\n1,a\n")
+    with pytest.raises(ValueError, match="no column release_date"):
+        readers.read_catalog(spark, str(short))
+
+
+def test_votes_of_differing_headers_raise(spark, tmp_path):
+    for name, text in (("a", "appid,action,indie\n1,2,3\n"), ("b", "appid,indie,action\n4,5,6\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    assert readers.read_wide_votes(spark, str(tmp_path / "b.csv")).first().asDict() == {
+        "appid": 4, "indie": 5, "action": 6,
+    }
+    with pytest.raises(Exception, match="header"):
+        readers.read_wide_votes(spark, str(tmp_path)).collect()
+
+
+def test_votes_with_line_breaks(spark, tmp_path):
+    (tmp_path / "v.csv").write_text('appid,"act\nion"\n1,2\n')
+    read = readers.read_wide_votes(spark, str(tmp_path / "v.csv"), multi_line=True)
+    assert tuple(read.first()) == (1, 2) and len(read.columns) == 2
 
 
 def test_views_and_function(spark, catalog_csv):
@@ -178,8 +223,8 @@ def test_views_and_function(spark, catalog_csv):
 
 
 def test_scratch_paths_are_fresh_and_shared(spark):
-    a, b = (workspace.scratch_path(spark, "x") for _ in range(2))
-    assert a != b and a.startswith(workspace.shared_root(spark))
+    a, b = (scratch.scratch_path(spark, "x") for _ in range(2))
+    assert a != b and a.startswith(scratch.shared_root(spark))
 
 
 def test_outputs_must_not_touch_inputs():
@@ -196,6 +241,37 @@ def test_outputs_must_not_touch_inputs():
             workspace.require_disjoint(inputs, outputs)
 
 
+@pytest.mark.parametrize(
+    ("given", "output"),
+    [
+        ("/data/raw", "hdfs://nn:8020/data/raw"),
+        ("hdfs://nn/data/raw", "hdfs://nn:8020/data/raw"),
+        ("/data/raw/a.csv", "/data/cur/../raw"),
+        ("/data/raw/*.csv", "/data/raw/out"),
+        ("/user/{me}/raw/a.csv", "raw"),
+        ("HDFS:/data/raw".lower(), "/data"),
+    ],
+)
+def test_paths_are_qualified(given, output):
+    given = given.format(me=getpass.getuser())
+    with pytest.raises(ValueError):
+        workspace.require_disjoint([given], [output], "hdfs://nn:8020")
+
+
+def test_other_file_systems_are_apart(tmp_path, monkeypatch):
+    workspace.require_disjoint(["/data/raw"], ["file:///data/raw"], "hdfs://nn:8020")
+    workspace.require_disjoint(["hdfs://a/data/raw"], ["hdfs://b/data/raw"], "hdfs://nn:8020")
+    workspace.require_disjoint(["/data/raw*/x"], ["/results"], "file:///")
+    monkeypatch.chdir(tmp_path)
+    with pytest.raises(ValueError):
+        workspace.require_disjoint(["raw/a.csv"], [str(tmp_path / "raw")])
+
+
+def test_landing_refuses_to_replace_its_source(spark, catalog_csv):
+    with pytest.raises(ValueError):
+        readers.land_raw(spark, {"c": catalog_csv}, str(Path(catalog_csv).parent))
+
+
 def test_whole_run(spark, catalog_csv, tmp_path):
     votes = tmp_path / "votes.csv"
     votes.write_text("appid,action,indie\n1,5,0\n2,1,2\n77,9,9\n")
@@ -225,8 +301,11 @@ def test_whole_run(spark, catalog_csv, tmp_path):
 def test_command_line(spark, catalog_csv, tmp_path):
     import run
 
-    written = run.main(
-        ["--input", catalog_csv, "--curated", str(tmp_path / "c"), "--output", str(tmp_path / "o")]
-    )
-    assert "top_tags" not in written
-    assert readers.read_result(spark, written["data_quality"]).first()["clean_rows"] == 7
+    out = str(tmp_path / "o")
+    args = ["--input", catalog_csv, "--curated", str(tmp_path / "c"), "--output", out, "--check"]
+    assert run.main([*args, "--min-reviews", "4"]) == 0
+    assert not Path(out, "top_tags").exists()
+    assert readers.read_result(spark, f"{out}/data_quality").first()["clean_rows"] == 7
+    assert len(readers.read_result(spark, f"{out}/price_band").collect()) == 6
+    # Without an eligible item there is nothing wrong; without completion bands are missing.
+    assert run.main([*args, "--only-found-bands", "--exact-median"]) == 1
