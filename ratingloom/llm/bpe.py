@@ -22,12 +22,12 @@ from itertools import islice
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEPT_TOKENS = 500_000  # pre-tokens remembered by a worker
+KEPT_TOKENS = 400_000  # pre-tokens remembered by a worker
 KEPT_LENGTH = 64  # longest pre-token that is remembered
 SLICE = 50_000  # matches, or ids, handled at once
 
@@ -174,17 +174,19 @@ class ByteBpe:
         with open(ranks_path, "rb") as file:
             content = spark.sparkContext.broadcast(file.read())
 
-        @F.pandas_udf("binary")
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             vocabulary, compiled = _vocabulary(content.value), regex.compile(pattern)
             for texts in batches:
-                yield texts.map(lambda t: encode_text(t or "", vocabulary, compiled))
+                ids = (encode_text(t.as_py() or "", vocabulary, compiled) for t in texts)
+                yield pa.array(ids, pa.binary(), size=len(texts))
 
-        @F.pandas_udf("binary")
-        def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("binary")
+        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             tokens = _tokens(content.value)
-            for ids in batches:
-                yield ids.map(lambda b: decode_ids(b or b"", tokens))
+            for found in batches:
+                bodies = (decode_ids(ids.as_py() or b"", tokens) for ids in found)
+                yield pa.array(bodies, pa.binary(), size=len(found))
 
         self._encode, self._decode = encode, decode
 
