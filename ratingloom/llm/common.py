@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-HOT_SHARE = 200  # a key is hot if it holds more than one row in so many
+HOT_KEYS = 200  # keys of a join that are dealt over several tasks, at most
+HOT_ROWS = 1000  # rows from which a key is one of them
 
 
 @cache
@@ -80,16 +81,13 @@ def lowered(text: Column) -> Column:
 
 
 def hot_keys(keys: DataFrame, key: str, rows: str) -> list:
-    """Keys with more than one row in HOT_SHARE of all rows.
+    """The HOT_KEYS keys with most rows, if they have more than HOT_ROWS.
 
-    ``keys`` has one line per key and its number of rows. There are fewer than
-    HOT_SHARE such keys whatever the data, so the list is safe on the driver.
+    ``keys`` has one line per key and its number of rows. Any other key holds less than
+    one row in HOT_KEYS, or few rows, so the list on the driver is short whatever the data.
     """
-    total = keys.agg(F.sum(rows)).first()[0]
-    if not total:
-        return []
-    found = keys.where((F.col(rows) * HOT_SHARE > total) & F.col(key).isNotNull())
-    return [r[0] for r in found.select(key).collect()]
+    found = keys.where((F.col(rows) > HOT_ROWS) & F.col(key).isNotNull())
+    return [r[0] for r in found.orderBy(F.desc(rows)).limit(HOT_KEYS).select(key).collect()]
 
 
 def salted(key: Column, hot: list, spread: Column, salts: int) -> Column:
