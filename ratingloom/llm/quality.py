@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import free_names, quoted, without, written
+from ratingloom.llm.common import free_names, quoted, set_aside, without, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\f\r"
@@ -146,11 +146,9 @@ def standard_rules(*, text: str = "text", words: str = "words", lines: str = "li
     ]
 
 
-def ordered_rules(
-    features: DataFrame, rules: Sequence[Rule], *, sample_rows: int = SAMPLE_ROWS
-) -> tuple[list[Rule], list[RuleCost]]:
-    """The rules by rejections per second of their own over at most ``sample_rows`` rows."""
-    sample = written(features.limit(sample_rows), "rule-sample")
+def ordered_rules(sampled: DataFrame, rules: Sequence[Rule]) -> tuple[list[Rule], list[RuleCost]]:
+    """The rules by rejections per second of their own over a sample of features."""
+    sample = written(sampled, "rule-sample")
 
     def run(rejects: Column) -> tuple[int, float]:
         began = time.perf_counter()
@@ -179,21 +177,32 @@ def cascade(features: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def judge(docs: DataFrame, *, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Every document with its measures, kept and rejected_by."""
+def judge(
+    docs: DataFrame,
+    *,
+    text: str = "text",
+    carry: Sequence[str] | None = None,
+    sample_rows: int = SAMPLE_ROWS,
+) -> DataFrame:
+    """Every document with its measures, kept and rejected_by, as a written table.
+
+    ``carry``: columns of the documents that come along (all, if not given). The rules
+    are ordered by a Bernoulli sample of about ``sample_rows`` documents. The rows are
+    written because a filter on a measure or the verdict would otherwise be moved below
+    the measures and evaluate each of them many times over.
+    """
     words, lines = free_names(docs, "doc_words", "doc_lines")
-    features = measured(docs, text=text, words=words, lines=lines)
-    rules, _ = ordered_rules(
-        features, standard_rules(text=text, words=words, lines=lines), sample_rows=sample_rows
-    )
-    return cascade(features, rules).drop(words, lines)
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    names = {"text": text, "words": words, "lines": lines}
+    sampled = measured(docs.select(quoted(text)).sample(share, seed=11), **names)
+    rules, _ = ordered_rules(sampled, standard_rules(**names))
+    judged = cascade(measured(docs, **names), rules).drop(words, lines)
+    if carry is not None:
+        judged = judged.select(*map(quoted, carry), *MEASURES, "kept", "rejected_by")
+    return written(judged, "judged")
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """The documents that no rule rejects, columns as they came.
-
-    The judged rows are written first: a filter on the verdict would otherwise be moved
-    below the measures and evaluate each of them many times over.
-    """
-    judged = written(judge(docs, **options), "judged")
-    return judged.where("kept").select(*map(quoted, docs.columns))
+    """The documents that no rule rejects, columns as they came."""
+    renamed, back = set_aside(docs, *MEASURES, "kept", "rejected_by")
+    return judge(renamed, **options).where("kept").select(*back)

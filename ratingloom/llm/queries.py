@@ -35,7 +35,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, carry=["doc_id"])
     return judged.select("doc_id", *quality.MEASURES, "kept")
 
 
