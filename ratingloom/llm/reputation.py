@@ -51,12 +51,12 @@ def url_path(url: Column) -> Column:
 
 def matching_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     """A struct of the longest fitting rule's text and verdict, else null."""
-    found = None
+    found = F.when(F.lit(False), F.struct(F.lit("").alias("rule"), F.lit("").alias("verdict")))
     for rule in sorted(rules, key=lambda r: (-len(r.text), r.text)):
         fits = (host == rule.host) | host.endswith("." + rule.host)
         fits = fits & path.startswith(rule.path)
         chosen = F.struct(F.lit(rule.text).alias("rule"), F.lit(rule.verdict).alias("verdict"))
-        found = F.when(fits, chosen) if found is None else found.when(fits, chosen)
+        found = found.when(fits, chosen)
     return found
 
 

@@ -295,7 +295,7 @@ def test_junk_goes_and_clean_text_stays(spark, sf_dir):
 
 def test_bad_hosts_are_blocked(spark):
     pages = [(k, f"http://bad{k % 3}.spam.com/x", True) for k in range(90)]
-    pages += [(100 + k, f"http://h{k % 40}.fine.org/x", k % 20 == 0) for k in range(400)]
+    pages += [(100 + k, f"http://h{k % 40}.fine.org/x", k % 41 == 0) for k in range(400)]
     pages += [(900, "http://new.spam.com/", None), (901, "http://new.fine.org/", None), (902, "nothing", None)]
     df = spark.createDataFrame(pages, "page_id long, url string, bad boolean")
     found = {r.page_id: r for r in reputation.judge_urls(df, [], F.col("bad")).collect()}
