@@ -2,10 +2,11 @@
 
 Calls and results meet in a hash join on conversation and call id. Calls may name calls
 they depend on; a call's level is the length of the longest chain of calls before it,
-found in rounds that settle all calls whose dependencies are settled, so sorting a
-conversation by (level, turn) is a topological order. There are as many rounds as the
-longest chain has links. Arguments are checked against the tool's schema, and every
-message becomes one line of canonical JSON: keys sorted, no blanks, no ASCII escapes.
+so sorting a conversation by (level, turn) is a topological order. Chains of calls that
+each depend on one are passed by doubling pointers, in rounds as many as the logarithm of
+their length; calls with several dependencies are settled in rounds once all of those are.
+Arguments are checked against the tool's schema, and every message becomes one line of
+canonical JSON: keys sorted, no blanks, no ASCII escapes.
 
 No step gathers a conversation: one of any length is spread over tasks, and a hot one is
 dealt anew before each join.
@@ -22,13 +23,14 @@ repeated rows.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import lookup_join, written
+from ratingloom.llm.common import lookup_join, shared_root, written
 
 #: Parameter name to (type, required); types as in JSON schema.
 Schema = Mapping[str, tuple[str, bool]]
@@ -75,35 +77,99 @@ def _node(call_id: Column | str) -> Column:
     )
 
 
+def _chains(single: DataFrame) -> DataFrame:
+    """node, to, far and endless of nodes (node, needs) that each need just one other.
+
+    ``to`` is the first node down the chain that does not need just one, ``far`` links away.
+    Pointers double in each round, so a chain of n links takes log n of them. Where no
+    fewer nodes move than in the round before, those that do are on, or behind, a cycle.
+    """
+    one = F.lit(1).cast("long")
+    at = written(single.select("node", F.col("needs").alias("to"), one.alias("far")), "chains")
+    before = None
+    while True:
+        ahead = at.select(
+            F.col("node").alias("to"), F.col("to").alias("next"), F.col("far").alias("more")
+        )
+        at = written(
+            lookup_join(at, ahead, "to", "node").select(
+                "node",
+                F.coalesce("next", "to").alias("to"),
+                (F.col("far") + F.coalesce("more", F.lit(0))).alias("far"),
+                F.col("next").isNotNull().alias("endless"),
+            ),
+            "chains",
+        )
+        moved = at.where("endless").count()
+        if moved in (0, before):
+            return at
+        before = moved
+
+
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node and level of every node that is not on, or behind, a cycle.
 
-    ``nodes`` has distinct nodes; ``edges`` (node, needs) point to distinct others of them.
+    ``nodes`` has distinct nodes; distinct ``edges`` (node, needs) point to some of them.
+    Chains are passed at once. Then a round settles each node of several needs whose needs
+    are settled; the rounds' results are one table, so the plan does not grow with them.
     """
-    waiting = written(edges, "waiting")
-    settled = written(
-        nodes.join(waiting.select("node").distinct(), "node", "left_anti").select(
-            "node", F.lit(0).alias("level")
+    spark = nodes.sparkSession
+    per = written(
+        edges.groupBy("node").agg(F.count("*").alias("n"), F.min("needs").alias("needs")), "needs"
+    )
+    chains = _chains(per.where("n = 1"))
+    ends = chains.where("NOT endless")
+    many = per.where("n > 1").select("node", F.lit(True).alias("many"))
+    past = ends.select(F.col("node").alias("needs"), "to", "far")
+    waiting = written(
+        lookup_join(
+            lookup_join(edges, many, "node", "needs", how="inner").select("node", "needs"),
+            past,
+            "needs",
+            "node",
+        ).select(
+            "node",
+            F.coalesce("to", "needs").alias("needs"),
+            (1 + F.coalesce("far", F.lit(0))).alias("far"),
         ),
-        "settled",
+        "waiting",
     )
-    done, level, left = settled, 0, waiting.count()
-    while left and not settled.isEmpty():
-        level += 1
-        ready = settled.select(F.col("node").alias("needs"), F.lit(True).alias("ready"))
-        still = written(
-            lookup_join(waiting, ready, "needs", "node").where("ready IS NULL").select("node", "needs"),
-            "waiting",
+    folder = f"{shared_root(spark)}/settled-{uuid.uuid4().hex}"
+    form = f"node {nodes.schema['node'].dataType.simpleString()}, level long"
+
+    def kept(found: DataFrame, round_: int) -> DataFrame:
+        found.write.parquet(f"{folder}/{round_}")
+        return spark.read.schema(form).parquet(f"{folder}/{round_}")
+
+    start = F.lit(0).cast("long")
+    settled = kept(nodes.join(per, "node", "left_anti").select("node", start.alias("level")), 0)
+    best = settled.limit(0)  # the highest level so far of nodes that still wait
+    round_ = 0
+    while not waiting.isEmpty() and not settled.isEmpty():
+        round_ += 1
+        reached = settled.select(F.col("node").alias("needs"), "level")
+        found = written(
+            lookup_join(waiting, reached, "needs", "node").select(
+                "node", "needs", "far", (F.col("level") + F.col("far")).alias("level")
+            ),
+            "found",
         )
-        settled = written(
-            waiting.select("node")
-            .distinct()
-            .join(still.select("node").distinct(), "node", "left_anti")
-            .withColumn("level", F.lit(level)),
-            "settled",
+        state = written(
+            found.select("node", "level", F.col("level").isNull().alias("waits"))
+            .unionByName(best.withColumn("waits", F.lit(False)))
+            .groupBy("node")
+            .agg(F.max("level").alias("level"), F.max("waits").alias("waits")),
+            "state",
         )
-        done, waiting, left = done.unionByName(settled), still, still.count()
-    return done
+        settled = kept(state.where("NOT waits").select("node", "level"), round_)
+        best = state.where("waits AND level IS NOT NULL").select("node", "level")
+        waiting = found.where("level IS NULL").select("node", "needs", "far")
+    settled = spark.read.schema(form).option("recursiveFileLookup", True).parquet(folder)
+    base = settled.select(F.col("node").alias("to"), "level")
+    chained = lookup_join(ends, base, "to", "node", how="inner").select(
+        "node", (F.col("level") + F.col("far")).alias("level")
+    )
+    return settled.unionByName(chained).withColumn("level", F.col("level").cast("int"))
 
 
 def _lines(frame: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:

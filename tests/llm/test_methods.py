@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from conformance import compare
-from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding
+from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding, toolchat
 from ratingloom.llm.common import hot_keys, lookup_join, written
 from ratingloom.llm.components import components
 from ratingloom.llm.queries import ORACLES, QUERIES
@@ -117,6 +118,38 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def brute_levels(nodes, edges):
+    needs = collections.defaultdict(set)
+    for node, other in edges:
+        needs[node].add(other)
+    found, before = {}, None
+    while before != len(found):
+        before = len(found)
+        for n in nodes:
+            if n not in found and needs[n] <= found.keys():
+                found[n] = max((found[o] + 1 for o in needs[n]), default=0)
+    return found
+
+
+def test_levels_equal_brute_force(spark):
+    """Chains, forks, a node that many need, cycles and what hangs on them."""
+    draw = random.Random(5)
+    nodes = [f"n{k:04}" for k in range(700)]
+    edges = {(nodes[k], nodes[k - 1]) for k in range(1, 300)}
+    for k in range(300, 650):
+        edges |= {(nodes[k], nodes[draw.randrange(k)]) for _ in range(draw.choice((0, 1, 1, 2, 3)))}
+    edges |= {(nodes[k], nodes[7]) for k in range(400, 650, 2)}
+    edges |= {(nodes[660], nodes[662]), (nodes[661], nodes[660]), (nodes[662], nodes[661])}
+    edges |= {(nodes[663], nodes[663]), (nodes[664], nodes[663]), (nodes[665], nodes[664]), (nodes[665], nodes[3])}
+    edges |= {(nodes[670], nodes[671]), (nodes[671], nodes[670]), (nodes[671], nodes[5]), (nodes[672], nodes[671])}
+    found = toolchat.levels(
+        spark.createDataFrame([(n,) for n in nodes], "node string"),
+        spark.createDataFrame(sorted(edges), "node string, needs string"),
+    ).collect()
+    assert len(found) == len({r.node for r in found})
+    assert {r.node: r.level for r in found} == brute_levels(nodes, edges)
+
+
 def signed(value):
     return value - (1 << 64) if value >> 63 else value
 
