@@ -60,7 +60,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("byte-level BPE", token_stage),
 ]
 
-#: Winnowing picks lines by 64-bit hashes and BPE merges step by step; SQL expresses neither.
+#: Line runs are named by hashes and BPE merges step by step; SQL expresses neither.
 ORACLE_SQL: str | None = None
 
 

@@ -1,17 +1,15 @@
-"""Line dedup by winnowing over line hashes, in native expressions.
+"""Line dedup by hashes of line stretches, in native expressions.
 
-Lines are split at \\n; those without a word are passed over. A gram is the shortest run
-of lines from a place that holds ``gram_words`` words, a stretch the shortest with
-``least_words``. Of the grams inside each stretch the one with the least hash is a
-fingerprint. Two copies of a run of ``least_words`` words or more hold the same stretch,
-so they share a fingerprint, and in a longer run one in every stretch.
+Lines are split at \\n; those without a word are passed over. A stretch is the shortest
+run of lines with ``least_words`` words from its first line on, or back from its last.
+Each line of a longer run lies in such a stretch inside the run: forwards where enough
+words follow, backwards where enough precede, else in the one from the run's first line.
 
-Of the places of a fingerprint the first (by id, then position) is the original. Every
-later place is laid beside it and both are extended line by line, ``reach`` lines before
-the first and after the last fingerprint that they share at this offset. Each run of
-equal lines found so that holds ``least_words`` words is deleted from the later place.
-A deleted line has an equal line at an earlier place, so the first copy of a line always
-stays.
+Stretches are named by 128 bits of hash. Of the places of a name the first (by id, then
+position) is the original, and the lines of every later place are deleted; so a line goes
+if and only if it lies in a run of equal lines with ``least_words`` words that has an
+earlier place. A deleted line has an equal line at an earlier place, so the first copy of
+a line always stays. Lines without a word go where they lie between two deleted ones.
 
 Results: a null text stays null. A document without a deletion keeps its text byte for
 byte; if all its lines with words go, the text is empty. Rows that share id and text
@@ -25,11 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratingloom.llm.common import free_names, lookup_join, quoted, without, written
+from ratingloom.llm.common import all_salts, free_names, hot_keys, quoted, salted, without, written
 
-GRAM_WORDS = 8
 LEAST_WORDS = 20
-REACH = 64
+SALTS = 32
 ADDED = ("n_lines", "n_removed_lines", "n_removed_words")
 
 
@@ -38,7 +35,7 @@ def _key(doc_id: str, text: str) -> Column:
 
 
 def line_units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row per distinct (id, text): place, hash and words of each line with a word."""
+    """One row per distinct (id, text): place, two hashes and words of each line with a word."""
     lines = F.split(F.coalesce(quoted(text), F.lit("")), "\n")
     units = F.filter(
         F.transform(
@@ -46,6 +43,7 @@ def line_units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             lambda line, i: F.struct(
                 i.alias("at"),
                 F.xxhash64(line).alias("h"),
+                F.xxhash64(F.lit(1), line).alias("g"),
                 F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")).alias("w"),
             ),
         ),
@@ -58,145 +56,107 @@ def line_units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def fingerprints(units: DataFrame, gram_words: int, least_words: int) -> DataFrame:
-    """doc_id, doc_key, pos and fp of the selected grams."""
+def stretches(units: DataFrame, least_words: int) -> DataFrame:
+    """One row per stretch: name (fp, fq), document, span by lines with words and span by lines."""
     lines = units.select("doc_id", "doc_key", F.posexplode("units").alias("pos", "unit")).select(
-        "doc_id", "doc_key", "pos", F.col("unit.h").alias("h"), F.col("unit.w").cast("long").alias("w")
-    )
-    doc = Window.partitionBy("doc_key", "doc_id")
-    before = F.sum("w").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    by_words = doc.orderBy("before")
-    gram = by_words.rangeBetween(Window.currentRow, gram_words - 1)
-    stretch = by_words.rangeBetween(Window.currentRow, least_words - 1)
-    inside = by_words.rangeBetween(Window.currentRow, least_words - gram_words)
-    grams = lines.withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).select(
         "doc_id",
         "doc_key",
         "pos",
-        "before",
-        F.xxhash64(F.collect_list("h").over(gram)).alias("fp"),
-        F.sum("w").over(stretch).alias("held"),
+        F.col("unit.at").alias("at"),
+        F.col("unit.w").cast("long").alias("w"),
+        F.struct("unit.h", "unit.g").alias("line"),
     )
-    least = F.min(F.struct("fp", F.negative("pos").alias("left"))).over(inside)
-    return (
-        grams.select("doc_id", "doc_key", "held", least.alias("least"))
-        .where(F.col("held") >= least_words)
-        .select("doc_id", "doc_key", F.negative("least.left").alias("pos"), F.col("least.fp").alias("fp"))
-        .distinct()
-    )
-
+    doc = Window.partitionBy("doc_key", "doc_id")
+    through = F.sum("w").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    from_here = doc.orderBy("before").rangeBetween(Window.currentRow, least_words - 1)
+    to_here = doc.orderBy("through").rangeBetween(1 - least_words, Window.currentRow)
+
+    def seen(window) -> Column:
+        return F.struct(
+            F.sum("w").over(window).alias("held"),
+            F.min("pos").over(window).alias("s"),
+            F.max("pos").over(window).alias("e"),
+            F.min("at").over(window).alias("s_at"),
+            F.max("at").over(window).alias("e_at"),
+            F.collect_list("line").over(window).alias("lines"),
+        )
 
-def _runs(least_words: int) -> Column:
-    """From the paired lines of a row the runs of equal ones with enough words, as line spans."""
-    pairs = F.transform(
-        F.col("y_part"),
-        lambda unit, i: F.struct(
-            (unit["h"] == F.get(F.col("x_part"), i)["h"]).alias("same"),
-            unit["w"].alias("w"),
-            unit["at"].alias("at"),
-        ),
+    both = (
+        lines.withColumn("through", through)
+        .withColumn("before", F.col("through") - F.col("w"))
+        .select("doc_id", "doc_key", "w", seen(from_here).alias("ahead"), seen(to_here).alias("back"))
     )
-
-    def closed(state: Column) -> Column:
-        span = F.struct(state["first"].alias("s"), state["last"].alias("e"))
-        return F.when(state["words"] >= least_words, F.array_append(state["out"], span)).otherwise(
-            state["out"]
+    # A run back from its last line that is also the shortest from its first is one of those already.
+    twice = F.col("back.held") - F.col("w") < least_words
+    found = F.array(
+        F.when(F.col("ahead.held") >= least_words, F.col("ahead")),
+        F.when((F.col("back.held") >= least_words) & ~twice, F.col("back")),
+    )
+    return (
+        both.select("doc_id", "doc_key", F.explode(found).alias("run"))
+        .where(F.col("run").isNotNull())
+        .select(
+            F.xxhash64("run.lines").alias("fp"),
+            F.xxhash64(F.lit(1), "run.lines").alias("fq"),
+            "doc_id",
+            "doc_key",
+            "run.s",
+            "run.e",
+            "run.s_at",
+            "run.e_at",
         )
+    )
 
-    def step(state: Column, line: Column) -> Column:
-        fresh = state["words"] == 0
-        return F.when(
-            line["same"],
-            F.struct(
-                F.when(fresh, line["at"]).otherwise(state["first"]).alias("first"),
-                line["at"].alias("last"),
-                (state["words"] + line["w"]).alias("words"),
-                state["out"].alias("out"),
-            ),
-        ).otherwise(
-            F.struct(
-                F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("words"), closed(state).alias("out")
-            )
-        )
 
-    empty = F.array().cast("array<struct<s:int,e:int>>")
-    start = F.struct(
-        F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("words"), empty.alias("out")
+def _merged(spans: DataFrame) -> DataFrame:
+    """Per document the sorted, disjoint spans (s, e) of lines that overlapping and adjoining ones make up."""
+    by_start = Window.partitionBy("doc_key", "doc_id").orderBy("s")
+    reached = F.max("e").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("s") <= reached + 1, 0).otherwise(1)
+    islands = spans.withColumn("fresh", fresh).withColumn(
+        "island", F.sum("fresh").over(by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    return (
+        islands.groupBy("doc_key", "doc_id", "island")
+        .agg(F.struct(F.min("s_at").alias("s"), F.max("e_at").alias("e")).alias("span"))
+        .groupBy("doc_key", "doc_id")
+        .agg(F.sort_array(F.collect_list("span")).alias("spans"))
+        .select("doc_id", "doc_key", "spans")
     )
-    return F.aggregate(pairs, start, step, closed)
 
 
 def repeated_spans(
-    docs: DataFrame,
-    *,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    gram_words: int = GRAM_WORDS,
-    least_words: int = LEAST_WORDS,
-    reach: int = REACH,
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """doc_id, doc_key and the sorted spans (s, e) of lines that repeat earlier ones."""
-    units = written(line_units(docs, doc_id, text), "line-units")
-    chosen = written(fingerprints(units, gram_words, least_words), "fingerprints")
-    firsts = (
-        chosen.groupBy("fp")
-        .agg(F.min(F.struct("doc_id", "doc_key", "pos")).alias("first"), F.count("*").alias("places"))
-        .where("places > 1")
+    """doc_id, doc_key and the sorted, disjoint spans (s, e) of lines that repeat earlier ones."""
+    found = written(stretches(line_units(docs, doc_id, text), least_words), "stretches")
+    firsts = written(
+        found.groupBy("fp", "fq")
+        .agg(F.min(F.struct("doc_id", "doc_key", "s")).alias("first"), F.count("*").alias("places"))
+        .where("places > 1"),
+        "first-places",
     )
-    later = lookup_join(chosen, firsts, "fp", "doc_key", how="inner").select(
-        F.col("doc_id").alias("y_id"),
-        F.col("doc_key").alias("y_key"),
-        F.col("first.doc_id").alias("x_id"),
-        F.col("first.doc_key").alias("x_key"),
-        "pos",
-        (F.col("pos") - F.col("first.pos")).alias("off"),
-    )
-    own = (F.col("y_key") == F.col("x_key")) & F.col("y_id").eqNullSafe(F.col("x_id")) & (F.col("off") == 0)
-    beside = written(
-        later.where(~own)
-        .groupBy("y_id", "y_key", "x_id", "x_key", "off")
-        .agg(F.min("pos").alias("low"), F.max("pos").alias("high")),
-        "beside",
-    )
-    y_side = units.select(
-        F.col("doc_key").alias("y_key"), F.col("doc_id").alias("y_own"), F.col("units").alias("y_units")
-    )
-    low = F.greatest(F.col("low") - reach, F.col("off"), F.lit(0))
-    high = F.least(F.col("high") + reach, F.size("y_units") - 1)
-    with_y = (
-        lookup_join(beside, y_side, "y_key", "x_key", how="inner")
-        .where(F.col("y_id").eqNullSafe(F.col("y_own")))
-        .select(
-            "y_id",
-            "y_key",
-            "x_id",
-            "x_key",
-            (low - F.col("off")).alias("x_low"),
-            F.slice("y_units", low + 1, high - low + 1).alias("y_part"),
-        )
-    )
-    x_side = units.select(
-        F.col("doc_key").alias("x_key"), F.col("doc_id").alias("x_own"), F.col("units").alias("x_units")
-    )
-    paired = (
-        lookup_join(written(with_y, "later-lines"), x_side, "x_key", "y_key", how="inner")
-        .where(F.col("x_id").eqNullSafe(F.col("x_own")))
-        .select(
-            "y_id",
-            "y_key",
-            "y_part",
-            F.slice("x_units", F.col("x_low") + 1, F.size("y_part")).alias("x_part"),
-        )
-    )
-    paired = paired.withColumn(
-        "x_part", F.transform("x_part", lambda unit: F.struct(unit["h"].alias("h")))
-    )
-    return (
-        paired.select("y_id", "y_key", F.explode(_runs(least_words)).alias("span"))
-        .groupBy("y_id", "y_key")
-        .agg(F.sort_array(F.collect_set("span")).alias("spans"))
-        .select(F.col("y_id").alias("doc_id"), F.col("y_key").alias("doc_key"), "spans")
+    hot = hot_keys(firsts, "fp", "places")
+    dealt = found.withColumn("salt", salted(F.col("fp"), hot, F.struct("doc_key", "s"), SALTS))
+    repeated = firsts.select("fp", "fq", "first", F.explode(all_salts(F.col("fp"), hot, SALTS)).alias("salt"))
+    own = (
+        (F.col("doc_key") == F.col("first.doc_key"))
+        & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("s") == F.col("first.s"))
     )
+    later = dealt.join(repeated, ["fp", "fq", "salt"]).where(~own)
+    return _merged(later.select("doc_id", "doc_key", "s", "e", "s_at", "e_at"))
+
+
+def _outside(lines: Column, spans: Column) -> Column:
+    """The lines outside of sorted, disjoint spans, in one pass."""
+
+    def gap(span: Column, i: Column) -> Column:
+        start = F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["e"] + 1)
+        return F.slice(lines, start + 1, span["s"] - start)
+
+    end = F.element_at(spans, -1)["e"] + 1
+    return F.concat(F.flatten(F.transform(spans, gap)), F.slice(lines, end + 1, F.size(lines) - end))
 
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -216,13 +176,7 @@ def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         .withColumn(lines, F.split(quoted(text), "\n"))
         .withColumn(
             left,
-            F.when(
-                F.col(cuts).isNotNull(),
-                F.filter(
-                    F.col(lines),
-                    lambda line, i: ~F.exists(F.col(cuts), lambda c: (c["s"] <= i) & (i <= c["e"])),
-                ),
-            ),
+            F.when(F.col(cuts).isNotNull(), _outside(F.col(lines), F.col(cuts))),
         )
     )
     whole = F.col(cuts).isNull()

@@ -227,6 +227,49 @@ def test_repeated_passage_goes_and_the_rest_stays(spark):
         assert r.text == ("\n".join([lines[0], passage, lines[1]]) if r.doc_id == 0 else "\n".join(lines))
 
 
+def repeated_lines(texts, least_words=20):
+    """By id the lines that lie in a run of equal lines with enough words at an earlier place."""
+    units, holders, gone = {}, collections.defaultdict(list), collections.defaultdict(set)
+    for i, text in sorted(texts):
+        lines = enumerate((text or "").split("\n"))
+        u = units[i] = [(at, x, n) for at, x in lines if (n := len(re.findall(r"[^\x20\x09-\x0D]+", x)))]
+        for p, (_, line, _) in enumerate(u):
+            for x, q in holders[line]:
+                if p and q and u[p - 1][1] == units[x][q - 1][1]:
+                    continue
+                n = 0
+                while p + n < len(u) and q + n < len(units[x]) and u[p + n][1] == units[x][q + n][1]:
+                    n += 1
+                if sum(w for _, _, w in u[p : p + n]) >= least_words:
+                    gone[i] |= {at for at, _, _ in u[p : p + n]}
+            holders[line].append((i, p))
+    return gone
+
+
+def check_repeated_lines(spark, texts):
+    gone = repeated_lines(texts)
+    found = linededup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        lines = dict(texts)[r.doc_id].split("\n")
+        kept = "\n".join(x for at, x in enumerate(lines) if at not in gone[r.doc_id])
+        assert (r.doc_id, r.n_removed_lines, r.text) == (r.doc_id, len(gone[r.doc_id]), kept)
+    return gone
+
+
+def numbered_line(name, n=10):
+    return " ".join(f"{name}x{k}" for k in range(n))
+
+
+def test_run_of_lines_that_are_frequent_alone(spark):
+    """Six lines stand in earlier documents one by one; fifty documents hold them as one passage."""
+    lines = [numbered_line(f"f{k}") for k in range(6)]
+    texts = [(k, f"{numbered_line(f'a{k}', 15)}\n{lines[k % 6]}\n{numbered_line(f'b{k}', 15)}") for k in range(24)]
+    texts += [(100 + k, "\n".join([f"own {k}", *lines, f"end {k}"])) for k in range(50)]
+    gone = check_repeated_lines(spark, texts)
+    assert {i: len(x) for i, x in gone.items() if x} == {100 + k: 6 for k in range(1, 50)}
+
+
 def test_shards(spark, sf_dir, rows):
     found = QUERIES["op7_sharding"](spark, sf_dir).toPandas()
     texts = {i: (t or "").encode() for i, t, _ in rows}
