@@ -270,6 +270,16 @@ def test_run_of_lines_that_are_frequent_alone(spark):
     assert {i: len(x) for i, x in gone.items() if x} == {100 + k: 6 for k in range(1, 50)}
 
 
+def test_long_run_of_lines_that_are_frequent_alone(spark):
+    """200 equal lines in two documents, all but the middle six also alone in earlier documents."""
+    lines = [numbered_line(f"f{k}") for k in range(200)]
+    alone = [k for k in range(200) if not 97 <= k < 103]
+    texts = [(k, "\n".join([numbered_line(f"a{k}"), lines[k], lines[k], numbered_line(f"b{k}")])) for k in alone]
+    texts += [(1000 + k, "\n".join([f"own {k}", *lines, f"end {k}"])) for k in range(2)]
+    gone = check_repeated_lines(spark, texts)
+    assert {i: len(x) for i, x in gone.items() if x} == {1001: 200}
+
+
 def test_shards(spark, sf_dir, rows):
     found = QUERIES["op7_sharding"](spark, sf_dir).toPandas()
     texts = {i: (t or "").encode() for i, t, _ in rows}
