@@ -280,6 +280,30 @@ def test_long_run_of_lines_that_are_frequent_alone(spark):
     assert {i: len(x) for i, x in gone.items() if x} == {1001: 200}
 
 
+def test_line_dedup_equals_the_rule(spark, sf_dir, rows):
+    texts = {i: text for i, text, _ in rows}
+    gone = repeated_lines([(i, t) for i, t in texts.items()])
+    for r in QUERIES["op10_line_dedup"](spark, sf_dir).collect():
+        lines = (texts[r.doc_id] or "").split("\n")
+        kept = "\n".join(x for at, x in enumerate(lines) if at not in gone[r.doc_id])
+        assert (r.n_removed_lines, r.text_sha256) == (len(gone[r.doc_id]), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_line_dedup_equals_the_rule_on_few_lines(spark):
+    """Documents of a few lines of 1 to 25 words in many orders, with repeats inside a document."""
+    draw = random.Random(3)
+    lines = [numbered_line(f"l{k}", draw.choice((1, 2, 3, 5, 8, 13, 19, 20, 25))) for k in range(12)]
+    texts = [(k, "\n".join(draw.choice(lines) for _ in range(draw.randrange(1, 40)))) for k in range(150)]
+    assert sum(map(len, check_repeated_lines(spark, texts).values())) > 1000
+
+
+def test_blank_lines_between_deleted_lines_go(spark):
+    a, b = numbered_line("a", 25), numbered_line("b", 25)
+    texts = [(1, f"{a}\n\n{b}"), (2, f"own\n\n{a}\n\n{b}\n\nend")]
+    found = linededup.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_removed_lines) for r in found} == {1: (texts[0][1], 0), 2: ("own\n\n\nend", 3)}
+
+
 def test_shards(spark, sf_dir, rows):
     found = QUERIES["op7_sharding"](spark, sf_dir).toPandas()
     texts = {i: (t or "").encode() for i, t, _ in rows}
