@@ -7,8 +7,9 @@ negative, its gradient is followed back instead. The class prior comes from a fi
 model that tells positives from unlabelled: the least ratio, over its score thresholds
 on held-back rows, of the unlabelled share above to the positive share above.
 
-Training takes the features of at most about ``positives`` and ``unlabelled`` rows,
-chosen by a hash of the text; these bounded arrays are all that reaches the driver.
+Mean, scale and the unlabelled shares of the prior count every document. Training takes
+the features of about ``positives`` and ``unlabelled`` rows, chosen by a hash of id and
+text; these arrays, sums and counts are all that reaches the driver.
 
 Results: a null or empty text has zero features and a score like any other. Labels that
 contradict each other count as they are: a text is a positive if one row says so.
@@ -19,13 +20,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.common import quoted
+from ratingloom.llm.common import quoted, written
 
 POSITIVES, UNLABELLED = 6_000, 12_000
 ROUNDS, STEP, DECAY = 600, 0.05, 1e-4
@@ -108,9 +110,13 @@ def _descend(x: np.ndarray, gradient) -> tuple[np.ndarray, float]:
     return theta[:-1], theta[-1]
 
 
-def estimate_prior(x: np.ndarray, is_positive: np.ndarray) -> float:
-    """Share of positives among unlabelled rows, by the best bin of held-back rows."""
-    held = np.arange(len(x)) % 2 == 1
+def _held(n: int) -> np.ndarray:
+    return np.arange(n) % 2 == 1
+
+
+def _first_model(x: np.ndarray, is_positive: np.ndarray) -> tuple[np.ndarray, float]:
+    """Tells positives from unlabelled rows, learnt from the rows not held back."""
+    held = _held(len(x))
     p, u = is_positive & ~held, ~is_positive & ~held
 
     def gradient(value: np.ndarray) -> np.ndarray:
@@ -119,27 +125,57 @@ def estimate_prior(x: np.ndarray, is_positive: np.ndarray) -> float:
         slope[u] = -_slopes(-value[u]) / max(1, u.sum())
         return slope
 
-    weights, bias = _descend(x, gradient)
+    return _descend(x, gradient)
+
+
+def _cuts(ps: np.ndarray) -> np.ndarray:
+    return np.quantile(ps, np.linspace(0, 0.9, 91))
+
+
+def _least_ratio(ps: np.ndarray, cuts: np.ndarray, below_u: np.ndarray, n_u: int) -> float:
+    """The prior from sorted positive values and the numbers of unlabelled ones below the cuts."""
+    above_p = 1 - np.searchsorted(ps, cuts) / len(ps)
+    above_u = 1 - below_u / n_u
+    slack = np.sqrt(np.log(400) / 2 / len(ps)) + np.sqrt(np.log(400) / 2 / n_u)
+    best = np.argmin((above_u + slack) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.05, 0.95))
+
+
+def estimate_prior(x: np.ndarray, is_positive: np.ndarray, below=None) -> float:
+    """Share of positives among unlabelled rows, by the best bin of held-back rows.
+
+    ``below`` maps weights, bias and cuts to the numbers of unlabelled rows under each cut and
+    in all, those of ``x`` among them; without it the held-back rows of ``x`` are counted.
+    """
+    held = _held(len(x))
+    weights, bias = _first_model(x, is_positive)
     value = x @ weights + bias
     ps, us = np.sort(value[is_positive & held]), np.sort(value[~is_positive & held])
     if not len(ps) or not len(us):
         return 0.5
-    cuts = np.quantile(ps, np.linspace(0, 0.9, 91))
-    above_p = 1 - np.searchsorted(ps, cuts) / len(ps)
-    above_u = 1 - np.searchsorted(us, cuts) / len(us)
-    slack = np.sqrt(np.log(400) / 2 / len(ps)) + np.sqrt(np.log(400) / 2 / len(us))
-    best = np.argmin((above_u + slack) / above_p)
-    return float(np.clip(above_u[best] / above_p[best], 0.05, 0.95))
+    cuts = _cuts(ps)
+    below_u, n_u = np.searchsorted(us, cuts), len(us)
+    if below:
+        learnt = np.sort(value[~is_positive & ~held])
+        below_u, n_u = below(weights, bias, cuts)
+        below_u, n_u = below_u - np.searchsorted(learnt, cuts), n_u - len(learnt)
+    return _least_ratio(ps, cuts, below_u, n_u)
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+def train(positive: np.ndarray, unlabelled: np.ndarray, moments=None, below=None) -> Model:
+    """``moments`` and ``below`` give mean, deviation and counts of all rows instead of the sample's."""
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
+    mean, scale = moments or (unlabelled.mean(axis=0), unlabelled.std(axis=0))
+    scale = scale + 1e-3
     x = np.clip((np.concatenate([positive, unlabelled]).astype(np.float64) - mean) / scale, -8, 8)
     is_positive = np.arange(len(x)) < len(positive)
     shuffled = np.random.default_rng(7).permutation(len(x))
-    prior = estimate_prior(x[shuffled], is_positive[shuffled])
+
+    def counted(weights: np.ndarray, bias: float, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+        return below(mean, scale, weights, bias, cuts)
+
+    prior = estimate_prior(x[shuffled], is_positive[shuffled], counted if below else None)
     n_p, n_u = len(positive), len(unlabelled)
 
     def gradient(value: np.ndarray) -> np.ndarray:
@@ -155,12 +191,56 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     return Model(mean, scale, weights, bias, prior)
 
 
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    return np.array([np.frombuffer(f, dtype=np.float32) for f in packed]).reshape(-1, N_FEATURES)
+
+
+def _share(row: str, bound: int, total: int) -> Column:
+    return F.pmod(F.col(row), F.lit(1_000_000)) < 1_000_000 * min(1.0, bound / max(1, total))
+
+
 def _sampled(rows: DataFrame, bound: int) -> np.ndarray:
-    """Features of about ``bound`` rows with a text, chosen by its hash; never twice as many."""
-    total = rows.count()
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1_000_000 * min(1.0, bound / max(1, total)))
-    found = chosen.select(feature_column(F.col("text")).alias("f")).limit(2 * bound).collect()
-    return np.array([np.frombuffer(r["f"], dtype=np.float32) for r in found]).reshape(-1, N_FEATURES)
+    """Features of about ``bound`` rows, chosen by the hash of id and text, in its order."""
+    found = rows.where(_share("row", bound, rows.count())).select("row", "f").collect()
+    return _unpacked([r["f"] for r in sorted(found)])
+
+
+def _summed(rows: DataFrame, measure, width: int) -> np.ndarray:
+    """The sum over all rows of a measure that maps features to ``width`` numbers."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            total += measure(_unpacked(batch.column(0).to_pylist()).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total)], ["k", "v"])
+
+    summed = rows.select("f").mapInArrow(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v"))
+    out = np.zeros(width)
+    for k, v in summed.collect():
+        out[k] = v
+    return out
+
+
+def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature over all rows."""
+
+    def measure(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
+
+    n, *sums = _summed(rows, measure, 1 + 2 * N_FEATURES)
+    mean, square = np.array(sums).reshape(2, N_FEATURES) / max(1.0, n)
+    return mean, np.sqrt(np.maximum(0.0, square - mean * mean))
+
+
+def _below(rows: DataFrame, mean, scale, weights, bias, cuts) -> tuple[np.ndarray, int]:
+    """How many of all rows the first model places under each cut, and their number."""
+
+    def measure(x: np.ndarray) -> np.ndarray:
+        value = np.sort(np.clip((x - mean) / scale, -8, 8) @ weights + bias)
+        return np.append(np.searchsorted(value, cuts), len(value))
+
+    *below, n = _summed(rows, measure, len(cuts) + 1)
+    return np.array(below), int(n)
 
 
 def feature_column(text: Column) -> Column:
@@ -186,9 +266,13 @@ def fit(
     ids = trusted.select(quoted(doc_id).alias("doc_id")).distinct()
     total = ids.count()
     few = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * min(1.0, 2 * positives / max(1, total)))
-    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).where("text IS NOT NULL")
-    good = rows.join(few, "doc_id", "left_semi").select("text")
-    return train(_sampled(good, positives), _sampled(rows.select("text"), unlabelled))
+    named = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).where("text IS NOT NULL")
+    row = F.xxhash64("doc_id", "text").alias("row")
+    rows = written(named.select("doc_id", row, feature_column(F.col("text")).alias("f")), "features")
+    good = rows.join(few, "doc_id", "left_semi")
+    return train(
+        _sampled(good, positives), _sampled(rows, unlabelled), _moments(rows), partial(_below, rows)
+    )
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text") -> Column:

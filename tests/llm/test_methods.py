@@ -304,6 +304,18 @@ def test_blank_lines_between_deleted_lines_go(spark):
     assert {r.doc_id: (r.text, r.n_removed_lines) for r in found} == {1: (texts[0][1], 0), 2: ("own\n\n\nend", 3)}
 
 
+def test_classifier_counts_every_document(spark):
+    """A third of the rows hold one text; mean and deviation are those of all rows, at any bound."""
+    import numpy as np
+
+    texts = [(k, f"text {k} of many, {'!' * (k % 7)} {k * k}" if k % 3 else "the same words. " * 9) for k in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = pu.fit(docs, docs.where("doc_id < 900").select("doc_id"), positives=300, unlabelled=300)
+    every = np.array([pu.features(t) for _, t in texts]).astype(float)
+    assert np.allclose(model.mean, every.mean(axis=0), atol=1e-6)
+    assert np.allclose(model.scale, every.std(axis=0) + 1e-3, atol=1e-4)
+
+
 def test_shards(spark, sf_dir, rows):
     found = QUERIES["op7_sharding"](spark, sf_dir).toPandas()
     texts = {i: (t or "").encode() for i, t, _ in rows}
