@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm import bpe, decontaminate, langid, linededup, minhash, pu, quality, reputation, sharding, toolchat
 from ratingloom.llm.common import table
+from ratingloom.llm.corpus_queries import ORACLES as CORPUS_ORACLES
+from ratingloom.llm.corpus_queries import QUERIES as CORPUS_QUERIES
 
 
 URL_RULES = (
@@ -162,7 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_minhash": op9_minhash,
     "op10_line_dedup": op10_line_dedup,
-}
+} | CORPUS_QUERIES
 
 DECONTAMINATION_SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
@@ -309,4 +311,4 @@ ORACLES: dict[str, str] = {
     "op2_quality_rules": QUALITY_SQL,
     "op4_url_filters": REPUTATION_SQL,
     "op8_chat_formatting": CHAT_SQL,
-}
+} | CORPUS_ORACLES
