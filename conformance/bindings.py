@@ -127,6 +127,12 @@ def wide_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vote matrix with every second item twice and every fifth one six times."""
+    times = "case when appid % 100 = 0 then 6 when appid % 40 = 0 then 2 else 1 end"
+    return wide_votes(spark, sf_dir).selectExpr("*", f"explode(sequence(1, {times})) as copy").drop("copy")
+
+
 def type_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A matrix of 150 columns: the sizes of the parts of each type, twenty parts to an item."""
     return (

@@ -76,6 +76,13 @@ all_tag_votes as (
   select appid, tag, votes, rating_pct from long_votes left join games using (appid))"""
 
 
+# Of ``bindings.repeated_votes``: the cells of an item as often as its rows.
+REPEATED_VOTES = """
+repeated_votes as (
+  select appid, tag, votes, rating_pct from tag_votes, generate_series(1, 6) copies (copy)
+  where copy <= case when appid % 100 = 0 then 6 when appid % 40 = 0 then 2 else 1 end)"""
+
+
 def _raw(body: str) -> str:
     return f"with {RAW}\n{body}"
 
@@ -92,6 +99,10 @@ def _votes(body: str) -> str:
     return f"with {RAW},{GAMES},{VOTES}\n{body}"
 
 
+def _repeated_votes(body: str) -> str:
+    return f"with {RAW},{GAMES},{VOTES},{REPEATED_VOTES}\n{body}"
+
+
 CLEAN = """select appid, name, release_date, developer, publisher, platforms, categories, genres,
   community_tags, positive_ratings, negative_ratings, owners, price, total_reviews, rating_pct,
   wilson_score, release_year, price_band, owner_lower, owner_upper, owner_midpoint,
@@ -391,6 +402,9 @@ ORACLES: dict[str, str] = {
     "publisher_report": _games(PUBLISHERS),
     "top_tags": _votes(_top_tags("tag_votes")),
     "top_tags_left": _votes(_top_tags("all_tag_votes")),
+    "top_tags_repeated": _repeated_votes(_top_tags("repeated_votes")),
+    "tag_votes_repeated": _repeated_votes("select * from repeated_votes"),
+    "full_run_repeated_votes": _repeated_votes(_top_tags("repeated_votes")),
     "top_tags_unique": _votes(_top_tags("tag_votes")),
     "top_tags_left_unique": _votes(_top_tags("all_tag_votes")),
     "top_tags_many_columns": _games(
@@ -513,5 +527,9 @@ ORACLES: dict[str, str] = {
         'lower_bound_holds', 'group_total', 'label_domain', 'label_order']) as "check",
       cast(0 as bigint) violations, true passed""",
     "full_run_reports": _run("select * from counts"),
+    "run_manifest": _run(
+        """select report, "rows", true as whole from counts
+        union all select 'curated', count(*), true from games"""
+    ),
     "rerun_idempotent": _run('select report, "rows", true as unchanged from counts'),
 }

@@ -76,9 +76,9 @@ def catalog_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def votes_file(spark: SparkSession, sf_dir: str) -> str:
+def votes_file(spark: SparkSession, sf_dir: str, votes=B.wide_votes) -> str:
     path = scratch_path(spark, "votes-csv")
-    writers.write_catalog_csv(B.wide_votes(spark, sf_dir), path)
+    writers.write_catalog_csv(votes(spark, sf_dir), path)
     return path
 
 
@@ -388,7 +388,7 @@ def publisher_report(games):
 
 @query("top_tags")
 def top_tags(spark, sf_dir):
-    totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir))
+    totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), unique_key=False)
     return R.top_tags_from_totals(totals, T)
 
 
@@ -398,6 +398,19 @@ def top_tags_left(spark, sf_dir):
     return R.top_tags_from_totals(totals, T)
 
 
+@query("top_tags_repeated")
+def top_tags_repeated(spark, sf_dir):
+    """Items with one and with several matrix rows, told apart by the operator."""
+    totals = tag_totals(B.repeated_votes(spark, sf_dir), B.games(spark, sf_dir), least_rows=4)
+    return R.top_tags_from_totals(totals, T)
+
+
+@query("tag_votes_repeated")
+def tag_votes_repeated(spark, sf_dir):
+    """Heavy items are dealt over tasks; every vote stays."""
+    return rated_votes(B.repeated_votes(spark, sf_dir), B.games(spark, sf_dir), least_rows=4)
+
+
 @query("top_tags_unique")
 def top_tags_unique(spark, sf_dir):
     totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), unique_key=True)
@@ -658,6 +671,25 @@ def run_checks(spark, sf_dir):
     return full_run.check_run(spark, written, curated, T)
 
 
+@query("full_run_repeated_votes")
+def full_run_repeated_votes(spark, sf_dir):
+    """The tag report of a run whose vote file has items on several rows."""
+    votes = votes_file(spark, sf_dir, B.repeated_votes)
+    curated, output = scratch_path(spark, "curated"), scratch_path(spark, "results")
+    written = full_run.run_all(spark, catalog_file(spark, sf_dir), curated, output, tags_path=votes, thresholds=T)
+    return readers.read_result(
+        spark, written["top_tags"], "tag STRING, tagged_games BIGINT, total_tag_votes BIGINT, mean_rating_pct DOUBLE"
+    )
+
+
+@query("run_manifest")
+def run_manifest(spark, sf_dir):
+    catalog, votes = catalog_file(spark, sf_dir), votes_file(spark, sf_dir)
+    curated, output = scratch_path(spark, "curated"), scratch_path(spark, "results")
+    full_run.run_all(spark, catalog, curated, output, tags_path=votes, thresholds=T)
+    return full_run.run_manifest(spark, curated, output)
+
+
 @query("rerun_idempotent")
 def rerun_idempotent(spark, sf_dir):
     run = _run(spark, sf_dir)

@@ -109,17 +109,25 @@ def clean_catalog(
     key: str = "appid",
     name: str = "name",
     order: Sequence[Column | str] | None = None,
-    text_columns: Iterable[str] = TEXT_COLUMNS,
-    whitespace: bool = False,
-    fill_blank: bool = False,
-    **measure_options,
+    **options,
 ) -> DataFrame:
     """The curated fact: one identified row per key, null rules applied, measures added.
 
     Rows without key or name go first, so that they neither form a hot group in
-    the shuffle nor win over a complete copy.
+    the shuffle nor win over a complete copy. ``options`` are those of ``clean_rows``.
     """
-    df = first_per_key(identified(raw, (key, name)), (key,), order)
+    return clean_rows(first_per_key(identified(raw, (key, name)), (key,), order), **options)
+
+
+def clean_rows(
+    df: DataFrame,
+    *,
+    text_columns: Iterable[str] = TEXT_COLUMNS,
+    whitespace: bool = False,
+    fill_blank: bool = False,
+    **measure_options,
+) -> DataFrame:
+    """Null rules and measures on rows that are identified and unique."""
     present = [column for column in text_columns if column in df.columns]
     df = trim_text(df, present, whitespace)
     if fill_blank:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.defaults import LABEL_SEPARATOR
 from ratingloom.functions.text import split_labels
+from ratingloom.operators.skew import HEAVY_ROWS, dealt_join, heavy_keys
 
 
 def quoted(name: str) -> Column:
@@ -88,6 +89,12 @@ def _name_at(columns: Sequence[str], label: str) -> Column:
     return F.element_at(names, F.col("_position") + 1).alias(label)
 
 
+def _unnested(rows: DataFrame, *kept: str) -> DataFrame:
+    """One row per cell of ``_compact`` rows."""
+    cells = rows.select(*kept, F.explode("_cells").alias("_cell"))
+    return cells.select(*kept, F.col("_cell.position").alias("_position"), F.col("_cell.votes").alias("votes"))
+
+
 def rated_votes(
     wide: DataFrame,
     facts: DataFrame,
@@ -96,19 +103,21 @@ def rated_votes(
     measures: Sequence[str] = ("rating_pct",),
     columns: Sequence[str] | None = None,
     how: str = "inner",
+    least_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Long votes with the measures of their item; an item should have one row in the matrix.
+    """Long votes with the measures of their item.
 
-    A matrix in which one item holds very many rows makes a hot join key here: use
-    ``tag_totals(unique_key=False)``, which combines such rows first. Only positive cells travel to the join, as a position and a number; a sparse
-    row of hundreds of columns shrinks to a few of them. Spark broadcasts the
-    smaller side if its measured size allows. ``how="left"`` keeps votes whose item
-    is unknown.
+    A matrix row joins once, as an array of its positive cells, and is unnested after the
+    join: a sparse row of hundreds of columns travels as a few numbers. Items with more
+    than ``least_rows`` matrix rows are measured and dealt over several tasks.
+    ``how="left"`` keeps votes whose item is unknown.
     """
     columns = list(columns) if columns else value_columns(wide, key)
-    voted = _cells(wide, columns, [key], "votes").filter(F.col("votes") > 0)
-    rated = voted.join(facts.select(key, *measures), key, how)
-    return rated.select(key, _name_at(columns, "tag"), "votes", *measures)
+    counts = wide.groupBy(key).agg(F.count("*").alias("rows"))
+    heavy = heavy_keys(counts, key, least_rows=least_rows)
+    rows, rated = _compact(wide, columns, key), facts.select(key, *measures)
+    rated = dealt_join(rows, rated, key, how=how, heavy=heavy, least_rows=least_rows)
+    return _unnested(rated, key, *measures).select(key, _name_at(columns, "tag"), "votes", *measures)
 
 
 def wide_vote_totals(
@@ -138,6 +147,37 @@ def wide_vote_totals(
     return totals.select(_name_at(columns, label), "tagged_games", "total_tag_votes", "mean_rating")
 
 
+def _single_totals(rows: DataFrame, facts: DataFrame, key: str, measure: str, how: str) -> DataFrame:
+    """Partial totals of items with one matrix row: joined as arrays, cells are never shuffled."""
+    rated = rows.join(facts, key, how)
+    return (
+        _unnested(rated, key, measure)
+        .groupBy("_position")
+        .agg(
+            F.count(key).alias("items"),
+            F.sum("votes").alias("votes"),
+            F.sum(measure).alias("weighted"),
+            F.count(measure).alias("weight"),
+        )
+    )
+
+
+def _repeated_totals(rows: DataFrame, facts: DataFrame, key: str, measure: str, how: str) -> DataFrame:
+    """Partial totals of items with several rows: an item's cells are combined, map side first, then joined."""
+    combined = (
+        _unnested(rows, key)
+        .groupBy(key, "_position")
+        .agg(F.sum("votes").alias("votes"), F.count("*").alias("cells"))
+    )
+    rated = combined.join(facts, key, how)
+    return rated.groupBy("_position").agg(
+        F.count(key).alias("items"),
+        F.sum("votes").alias("votes"),
+        F.sum(F.col(measure) * F.col("cells")).alias("weighted"),
+        F.coalesce(F.sum(F.when(F.col(measure).isNotNull(), F.col("cells"))), F.lit(0)).alias("weight"),
+    )
+
+
 def tag_totals(
     wide: DataFrame,
     facts: DataFrame,
@@ -146,39 +186,45 @@ def tag_totals(
     measure: str = "rating_pct",
     columns: Sequence[str] | None = None,
     how: str = "inner",
-    unique_key: bool = False,
+    unique_key: bool | None = None,
+    least_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Per tag: distinct items, votes, mean measure over the voted cells.
 
-    ``unique_key=True``, for a matrix with one row per item, joins each row once, as an
-    array of its positive cells, and unnests it after the join into the partial
-    aggregate: cells are never shuffled. Otherwise the cells of one item and tag are combined before the join, map side first, so
-    an item with any number of matrix rows joins at most one row per tag; after
-    that the items of a tag are distinct and are simply counted. Tags travel as
-    positions and get their name at the end.
+    The keys of the matrix are counted first, map side first and without its cells. Where
+    none repeats, each row joins the ratings once, as an array of its positive cells, and
+    is unnested after the join into the partial aggregate. Where some repeat, only their
+    rows take the other way: their cells are combined by item and tag before the join, so
+    that an item counts once per tag. Keys with very many rows are dealt over tasks while
+    they are told apart. Tags travel as positions and get their name at the end.
+
+    ``unique_key=True`` trusts that no key repeats and ``False`` combines all rows; either
+    saves the count. A null key joins nothing and counts as no item.
     """
     columns = list(columns) if columns else value_columns(wide, key)
-    if unique_key:
-        rated = _compact(wide, columns, key).join(facts.select(key, measure), key, how)
-        cells = rated.select(
-            key, measure, F.explode("_cells").alias("_cell")
-        ).select(key, measure, F.col("_cell.position").alias("_position"), F.col("_cell.votes").alias("votes"))
-        totals = cells.groupBy("_position").agg(
-            F.count(key).alias("tagged_games"),
-            F.sum("votes").alias("total_tag_votes"),
-            F.avg(measure).alias("mean_rating"),
-        )
-        return totals.select(_name_at(columns, "tag"), "tagged_games", "total_tag_votes", "mean_rating")
-    voted = _cells(wide, columns, [key], "votes").filter(F.col("votes") > 0)
-    combined = voted.groupBy(key, "_position").agg(
-        F.sum("votes").alias("votes"), F.count("*").alias("cells")
-    )
-    rated = combined.join(facts.select(key, measure), key, how)
-    weighted = F.sum(F.col(measure) * F.col("cells"))
-    weight = F.sum(F.when(F.col(measure).isNotNull(), F.col("cells")))
-    totals = rated.groupBy("_position").agg(
-        F.count(key).alias("tagged_games"),
+    facts = facts.select(key, measure)
+    rows = _compact(wide, columns, key)
+    parts = []
+    if unique_key is None:
+        counts = wide.groupBy(key).agg(F.count("*").alias("rows"))
+        heaviest = heavy_keys(counts, key, least_rows=1)
+        unique_key = not heaviest
+        if not unique_key:
+            mark = counts.where("rows > 1").select(key, F.lit(True).alias("_repeated"))
+            rows = dealt_join(rows, mark, key, how="left", heavy=heaviest, least_rows=least_rows)
+            parts = [
+                _single_totals(rows.where("_repeated IS NULL").drop("_repeated"), facts, key, measure, how),
+                _repeated_totals(rows.where("_repeated"), facts, key, measure, how),
+            ]
+    if not parts:
+        totals = _single_totals if unique_key else _repeated_totals
+        parts = [totals(rows, facts, key, measure, how)]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
+    totals = stacked.groupBy("_position").agg(
+        F.sum("items").alias("tagged_games"),
         F.sum("votes").alias("total_tag_votes"),
-        (weighted / weight).alias("mean_rating"),
+        F.try_divide(F.sum("weighted"), F.sum("weight")).alias("mean_rating"),
     )
     return totals.select(_name_at(columns, "tag"), "tagged_games", "total_tag_votes", "mean_rating")

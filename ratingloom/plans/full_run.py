@@ -7,17 +7,18 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.defaults import BAND_LABELS, Thresholds
 from ratingloom.functions.measures import band_position
 from ratingloom.operators import checks
-from ratingloom.operators.cleaning import clean_catalog
 from ratingloom.operators.reshape import tag_totals
+from ratingloom.plans import observed as O
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
 from ratingloom.sources import readers, writers
+from ratingloom.sources.publish import Publication, damaged_files, read_manifest
 from ratingloom.sources.workspace import default_file_system, require_disjoint
 
 
@@ -79,47 +80,70 @@ def run_all(
     all_bands: bool = True,
     exact_median: bool = False,
     sort_unrounded: bool = False,
-    unique_votes: bool = True,
+    unique_votes: bool | None = None,
     at_once: int = 4,
 ) -> dict[str, str]:
     """Clean, curate and report; returns the path of each written result.
 
-    A rerun replaces the curated table and the results and never writes near the
-    raw files. Each report reads the curated Parquet by itself, so that its column
+    The raw catalogue is read once: its metrics and those of the curated rows are observed
+    in the pass that writes. The curated table and the results are written beside their
+    targets and replace them together at the end, with a manifest of files and rows in
+    each; a run that fails leaves the old ones as they were (see ``sources.publish``). Raw
+    files are never written near. Each report reads the curated Parquet by itself, so that its column
     list, its filters and the year partitions prune the scan; a shared cache would
     read everything. ``at_once`` reports run side by side. Without a tag file the tag
-    report is left out. ``unique_votes``: an item has one row in the vote matrix.
+    report is left out. ``unique_votes``: whether items have one row in the vote matrix
+    each; None finds out.
     """
     inputs = [path for path in (catalog_path, tags_path) if path]
     require_disjoint(inputs, [curated_path, output_path], default_file_system(spark))
     t = thresholds or Thresholds()
-
-    raw = readers.read_catalog(spark, catalog_path, names=names, multi_line=multi_line)
-    cleaned = clean_catalog(raw, order=order, zero_positive=zero_positive)
-    writers.write_curated(cleaned, curated_path)
-    games = readers.read_curated(spark, curated_path)
-
-    planned = catalog_reports(
-        t, all_bands=all_bands, exact_median=exact_median, sort_unrounded=sort_unrounded
-    )
-    if tags_path:
-        votes = readers.read_wide_votes(spark, tags_path, multi_line=multi_line)
-        planned["top_tags"] = Report(
-            lambda g: R.top_tags_from_totals(tag_totals(votes, g, unique_key=unique_votes), t),
-            at_most=t.top_tags,
+    with Publication(spark, [curated_path, output_path]) as publication:
+        curated, output = publication.staged.values()
+        raw = readers.read_catalog(spark, catalog_path, names=names, multi_line=multi_line)
+        curating = O.CuratedPass(raw, order=order, zero_positive=zero_positive)
+        with O.attempts(spark) as attempts:
+            writers.write_curated(curating.rows, curated, observe=(curating.clean, O.clean_metrics()))
+            metrics = curating.metrics(attempts.single())
+        games = readers.read_curated(spark, curated)
+
+        planned = catalog_reports(
+            t, all_bands=all_bands, exact_median=exact_median, sort_unrounded=sort_unrounded
         )
-    written = {name: f"{output_path}/{name}" for name in [*planned, "summary"]}
-
-    def write(name: str) -> None:
-        if name == "summary":
-            writers.write_summary(S.run_summary(raw, games), written[name])
-        else:
+        if tags_path:
+            votes = readers.read_wide_votes(spark, tags_path, multi_line=multi_line)
+            planned["top_tags"] = Report(
+                lambda g: R.top_tags_from_totals(tag_totals(votes, g, unique_key=unique_votes), t),
+                at_most=t.top_tags,
+            )
+        counted = {name: Observation() for name in [*planned, "summary"]}
+
+        def write(name: str) -> None:
+            if name == "summary":
+                writers.write_summary(S.observed_summary(metrics, games), f"{output}/{name}", rows=counted[name])
+                return
             report = planned[name]
-            writers.write_result(report.build(games), written[name], report.order, at_most=report.at_most)
+            writers.write_result(
+                report.build(games), f"{output}/{name}", report.order, at_most=report.at_most, rows=counted[name]
+            )
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(inheritable_thread_target(spark)(write), counted))
+        rows = {name: found.get["rows"] for name, found in counted.items()}
+        publication.publish(
+            {publication.targets[0]: {".": metrics["clean_rows"]}, publication.targets[1]: rows}
+        )
+    return {name: f"{output_path}/{name}" for name in counted}
+
 
-    with ThreadPoolExecutor(at_once) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), written))
-    return written
+def run_manifest(spark: SparkSession, curated_path: str, output_path: str) -> DataFrame:
+    """What the manifests of a run say, one row per table: report, rows, and whether files and runs agree."""
+    curated, output = (read_manifest(spark, path) for path in (curated_path, output_path))
+    damaged = damaged_files(spark, curated_path) + damaged_files(spark, output_path)
+    whole = not damaged and curated["run"] == output["run"]
+    tables = {"curated": curated["tables"]["."]} | output["tables"]
+    rows = [(name, table["rows"], whole) for name, table in tables.items()]
+    return spark.createDataFrame(rows, "report string, rows long, whole boolean")
 
 
 def check_run(

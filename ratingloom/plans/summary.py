@@ -69,10 +69,43 @@ def run_summary(raw: DataFrame, games: DataFrame, key: str = "appid") -> DataFra
         # Totals may be near the bigint limit, so the factor is not an integer.
         F.round(F.try_divide(100.0 * positive, total), 2).alias("overall_weighted_positive_pct"),
     )
+    return _folded([from_raw, from_clean, _medians(games)])
+
+
+def observed_summary(observed: dict[str, int], games: DataFrame) -> DataFrame:
+    """The metrics of a run from what its curated pass observed; only the medians read the curated fact."""
+    total, positive = observed["total_reviews"], observed["positive_ratings"]
+    row = {
+        "raw_rows": observed["raw_rows"],
+        "clean_rows": observed["clean_rows"],
+        # Cleaning leaves one row per key; the unique-key check of a run proves it.
+        "distinct_appids": observed["clean_rows"],
+        "duplicate_appids_removed": observed["duplicate_appids_removed"],
+        "missing_release_date_before": observed["missing_release_date"],
+        "missing_release_date_after": observed["missing_release_date_after"],
+        "missing_price_after": observed["missing_price_after"],
+        "zero_review_games": observed["zero_review_games"],
+        "total_positive_ratings": positive,
+        "total_negative_ratings": observed["negative_ratings"],
+    }
+    schema = ", ".join(f"{name} BIGINT" for name in row)
+    counted = games.sparkSession.createDataFrame([tuple(row.values())], schema)
+    share = F.try_divide(F.lit(100.0) * F.lit(positive).cast("long"), F.lit(total).cast("long"))
+    counted = counted.withColumn("overall_weighted_positive_pct", F.round(share, 2))
+    return _folded([counted, _medians(games)])
+
+
+def _medians(games: DataFrame) -> DataFrame:
     measures = ["rating_pct", "total_reviews"]
-    medians = quantile_row(exact_quantiles(games, measures, 0.5), measures).select(
+    return quantile_row(exact_quantiles(games, measures, 0.5), measures).select(
         F.round("rating_pct", 2).alias("median_game_rating_pct"),
         F.col("total_reviews").cast("long").alias("median_reviews_per_game"),
     )
-    parts = from_raw.unionByName(from_clean, True).unionByName(medians, True)
-    return parts.agg(*[F.max(name).alias(name) for name in ddl_names(SUMMARY_SCHEMA)])
+
+
+def _folded(parts: Sequence[DataFrame]) -> DataFrame:
+    """Stacked one-row tables as one row, each metric being set in exactly one of them."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, True)
+    return stacked.agg(*[F.max(name).alias(name) for name in ddl_names(SUMMARY_SCHEMA)])

@@ -4,29 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 RECORDS_PER_FILE = 5_000_000
 
 
+def _counted(df: DataFrame, rows: Observation | None) -> DataFrame:
+    """The rows as they are written, counted by the way."""
+    return df.observe(rows, F.count("*").alias("rows")) if rows else df
+
+
 def write_curated(
     df: DataFrame,
     path: str,
     *,
     partition: str = "release_year",
     records_per_file: int = RECORDS_PER_FILE,
+    observe: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
     """Parquet with a folder per partition value.
 
     The rebalance hint gathers a value's rows into few tasks, one file per task and
     value, and lets adaptive execution split a value that holds most of the rows. Tasks
     take about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of shuffled rows; set
-    it to some 256m where curated files are large.
+    it to some 256m where curated files are large. ``observe`` takes metrics of the rows
+    that are written, in the tasks that write them.
     """
+    dealt = df.hint("rebalance", partition)
+    if observe:
+        dealt = dealt.observe(observe[0], *observe[1])
     (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("maxRecordsPerFile", records_per_file)
         .partitionBy(partition)
         .parquet(path)
@@ -39,25 +48,31 @@ def write_result(
     order: Sequence[str | Column] = (),
     *,
     at_most: int | None = None,
+    rows: Observation | None = None,
 ) -> None:
     """Result CSV with header, in part files; with an ``order`` these follow one another.
 
     ``at_most`` states how many rows the result can have by its nature (a top-k, years,
     bands). Such a result becomes one file: only its finished rows move to one task. A
-    result with more rows is refused, not cut.
+    result with more rows is refused, not cut. Its order is made, or made again, after
+    that check, so it does not hang on what the check does with the rows. ``rows`` counts
+    what is written.
     """
-    df = df.orderBy(*order) if order else df
-    if at_most is not None:
+    if at_most is None:
+        df = df.orderBy(*order) if order else df
+    else:
         listed = df.columns
-        df = df.limit(at_most + 1).withColumn("_rows", F.count("*").over(Window.partitionBy()))
+        df = df.limit(at_most + 1).withColumn("_place", F.monotonically_increasing_id())
+        df = df.withColumn("_rows", F.count("*").over(Window.partitionBy()))
         fits = F.assert_true(F.col("_rows") <= at_most, F.lit(f"more than {at_most} rows"))
-        df = df.where(fits.isNull()).select(*[F.col(f"`{c}`") for c in listed])
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+        df = df.where(fits.isNull()).orderBy(*(order or ["_place"]))
+        df = df.select(*[F.col(f"`{c}`") for c in listed])
+    _counted(df, rows).write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
-def write_summary(df: DataFrame, path: str) -> None:
+def write_summary(df: DataFrame, path: str, *, rows: Observation | None = None) -> None:
     """A one-row table as one JSON object; null metrics stay in the object."""
-    df.repartition(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    _counted(df.repartition(1), rows).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_catalog_csv(df: DataFrame, path: str) -> None:

@@ -28,8 +28,15 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--exact-median", action="store_true", help="exact medians per price band")
     parser.add_argument("--sort-unrounded", action="store_true", help="rank groups by the mean itself")
     parser.add_argument("--only-found-bands", action="store_true", help="leave out price bands without items")
-    parser.add_argument("--repeated-votes", action="store_true", help="items may have several matrix rows")
+    votes = parser.add_mutually_exclusive_group()
+    votes.add_argument(
+        "--unique-votes", dest="unique_votes", action="store_true", default=None, help="trust one matrix row per item"
+    )
+    votes.add_argument(
+        "--repeated-votes", dest="unique_votes", action="store_false", help="combine matrix rows by item, unchecked"
+    )
     parser.add_argument("--check", action="store_true", help="check the written results; exit 1 on a violation")
+    parser.set_defaults(unique_votes=None)
     for field in fields(Thresholds):
         parser.add_argument(f"--{field.name.replace('_', '-')}", type=int, default=field.default)
     return parser.parse_args(argv)
@@ -53,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
         all_bands=not args.only_found_bands,
         exact_median=args.exact_median,
         sort_unrounded=args.sort_unrounded,
-        unique_votes=not args.repeated_votes,
+        unique_votes=args.unique_votes,
     )
     for name, path in written.items():
         print(f"{name}: {path}")
