@@ -1,15 +1,25 @@
-"""Line dedup by hashes of line stretches, in native expressions.
+"""Line dedup by winnowing over line hashes, in native expressions.
 
-Lines are split at \\n; those without a word are passed over. A stretch is the shortest
-run of lines with ``least_words`` words from its first line on, or back from its last.
-Each line of a longer run lies in such a stretch inside the run: forwards where enough
-words follow, backwards where enough precede, else in the one from the run's first line.
+Lines are split at \\n; those without a word are passed over. The window of a line is the
+shortest run of lines with ``least_words`` words from it on.
 
-Stretches are named by 128 bits of hash. Of the places of a name the first (by id, then
-position) is the original, and the lines of every later place are deleted; so a line goes
-if and only if it lies in a run of equal lines with ``least_words`` words that has an
-earlier place. A deleted line has an equal line at an earlier place, so the first copy of
-a line always stays. Lines without a word go where they lie between two deleted ones.
+1. Fingerprints: of each window the line with the least hash is selected, by content alone.
+   So two equal runs of ``least_words`` words, wherever they lie, select equal lines.
+2. Positions: only fingerprints with two places or more are kept, counted map side first;
+   joined to them, the places give each document its anchors and the windows these serve.
+3. Extension: from an anchored window a match goes on both ways through consecutive
+   stretches. A stretch is a window, or the shortest run with ``least_words`` words back from
+   a line, that begins at an anchored window. Stretches are named by 128 bits of hash; a
+   match extends as long as they have an earlier place. Each line of a repeated run lies in a
+   stretch inside that run: forwards where enough words follow, backwards where enough precede.
+4. Of the places of a name the first (by id, then position) is the original, and the lines of
+   every later place are deleted.
+
+So a line goes if and only if it lies in a run of equal lines with ``least_words`` words that
+has an earlier place: fingerprints propose, the stretches decide. A deleted line has an equal
+line at an earlier place, so the first copy of a line always stays. Lines without a word go
+where they lie between two deleted ones. A document is one row: the lines of a very long one
+are looked at in one task, in time proportional to its lines.
 
 Results: a null text stays null. A document without a deletion keeps its text byte for
 byte; if all its lines with words go, the text is empty. Rows that share id and text
@@ -56,55 +66,104 @@ def line_units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def stretches(units: DataFrame, least_words: int) -> DataFrame:
-    """One row per stretch: name (fp, fq), document, span by lines with words and span by lines."""
-    lines = units.select("doc_id", "doc_key", F.posexplode("units").alias("pos", "unit")).select(
-        "doc_id",
-        "doc_key",
-        "pos",
-        F.col("unit.at").alias("at"),
-        F.col("unit.w").cast("long").alias("w"),
-        F.struct("unit.h", "unit.g").alias("line"),
-    )
-    doc = Window.partitionBy("doc_key", "doc_id")
-    through = F.sum("w").over(doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    from_here = doc.orderBy("before").rangeBetween(Window.currentRow, least_words - 1)
-    to_here = doc.orderBy("through").rangeBetween(1 - least_words, Window.currentRow)
-
-    def seen(window) -> Column:
-        return F.struct(
-            F.sum("w").over(window).alias("held"),
-            F.min("pos").over(window).alias("s"),
-            F.max("pos").over(window).alias("e"),
-            F.min("at").over(window).alias("s_at"),
-            F.max("at").over(window).alias("e_at"),
-            F.collect_list("line").over(window).alias("lines"),
+def _needed(lines: Column, least_words: int) -> Column:
+    """How many of the lines, from the first on, hold ``least_words`` words (n), and their words (held)."""
+
+    def add(run: Column, line: Column) -> Column:
+        longer = F.struct((run["n"] + 1).alias("n"), (run["held"] + line["w"]).alias("held"))
+        return F.when(run["held"] >= least_words, run).otherwise(longer)
+
+    return F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(0).alias("held")), add)
+
+
+def windows(units: Column, least_words: int) -> Column:
+    """Of each line the window that starts there: n lines, held words. A line has a word at least."""
+    return F.transform(units, lambda _, i: _needed(F.slice(units, i + 1, F.lit(least_words)), least_words))
+
+
+def fingerprints(units: Column, ahead: Column, least_words: int) -> Column:
+    """The selected lines: hash h, position pos, and the windows first to last that select it."""
+
+    def selected(window: Column, i: Column) -> Column:
+        lines = F.transform(
+            F.slice(units, i + 1, window["n"]), lambda u, j: F.struct(u["h"].alias("h"), (i + j).alias("pos"))
         )
+        return F.when(window["held"] >= least_words, F.array_min(lines))
 
-    both = (
-        lines.withColumn("through", through)
-        .withColumn("before", F.col("through") - F.col("w"))
-        .select("doc_id", "doc_key", "w", seen(from_here).alias("ahead"), seen(to_here).alias("back"))
+    least = F.transform(ahead, selected)
+    # Windows that select one line follow one another.
+    changes = F.filter(
+        F.transform(least, lambda m, i: F.when((i == 0) | ~m.eqNullSafe(F.get(least, i - 1)), i)),
+        lambda i: i.isNotNull(),
     )
-    # A run back from its last line that is also the shortest from its first is one of those already.
-    twice = F.col("back.held") - F.col("w") < least_words
-    found = F.array(
-        F.when(F.col("ahead.held") >= least_words, F.col("ahead")),
-        F.when((F.col("back.held") >= least_words) & ~twice, F.col("back")),
+    runs = F.transform(
+        changes,
+        lambda i, k: F.struct(
+            F.get(least, i)["h"].alias("h"),
+            F.get(least, i)["pos"].alias("pos"),
+            i.alias("first"),
+            (F.coalesce(F.get(changes, k + 1), F.size(least)) - 1).alias("last"),
+        ),
+    )
+    return F.filter(runs, lambda run: run["h"].isNotNull())
+
+
+def anchors(units: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, doc_key and the windows (first to last, sorted) whose fingerprint has two places or more."""
+    ahead = units.select("doc_id", "doc_key", "units", windows(F.col("units"), least_words).alias("ahead"))
+    marks = fingerprints(F.col("units"), F.col("ahead"), least_words)
+    places = written(
+        ahead.select("doc_id", "doc_key", F.explode(marks).alias("mark")).select("doc_id", "doc_key", "mark.*"),
+        "fingerprints",
     )
+    shared = places.groupBy("h").agg(F.count("*").alias("places")).where("places > 1")
+    shared = written(shared, "shared-fingerprints")
+    hot = hot_keys(shared, "h", "places")
+    dealt = places.withColumn("salt", salted(F.col("h"), hot, F.struct("doc_key", "pos"), SALTS))
+    known = shared.select("h", F.explode(all_salts(F.col("h"), hot, SALTS)).alias("salt"))
     return (
-        both.select("doc_id", "doc_key", F.explode(found).alias("run"))
-        .where(F.col("run").isNotNull())
-        .select(
-            F.xxhash64("run.lines").alias("fp"),
-            F.xxhash64(F.lit(1), "run.lines").alias("fq"),
-            "doc_id",
-            "doc_key",
-            "run.s",
-            "run.e",
-            "run.s_at",
-            "run.e_at",
-        )
+        dealt.join(known, ["h", "salt"])
+        .groupBy("doc_key", "doc_id")
+        .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("anchored"))
+    )
+
+
+def stretches(units: DataFrame, least_words: int) -> DataFrame:
+    """One row per stretch from an anchored window on: name (fp, fq), document, span by lines with words and by lines."""
+    found = anchors(units, least_words).withColumnsRenamed({"doc_id": "a_id", "doc_key": "a_key"})
+    same = (F.col("doc_key") == F.col("a_key")) & F.col("doc_id").eqNullSafe(F.col("a_id"))
+    anchored = written(units.join(found, same).select("doc_id", "doc_key", "units", "anchored"), "anchored")
+    lines = F.col("units")
+    start = lambda i: F.greatest(F.lit(1), i + 2 - least_words)
+    back = F.transform(
+        lines, lambda _, i: _needed(F.reverse(F.slice(lines, start(i), i + 2 - start(i))), least_words)
+    )
+    both = anchored.select("*", windows(lines, least_words).alias("ahead"), back.alias("back"))
+
+    def from_window(s: Column) -> Column:
+        end = s + F.get("ahead", s)["n"] - 1
+        later = F.sequence(s, F.least(s + least_words - 1, F.size("units") - 1))
+
+        def ends(e: Column) -> Column:
+            run = F.get("back", e)
+            return (e == end) | ((run["held"] >= least_words) & (run["n"] == e - s + 1))
+
+        return F.transform(F.filter(later, ends), lambda e: F.struct(s.alias("s"), e.alias("e")))
+
+    every = F.flatten(F.transform("anchored", lambda a: F.sequence(a["first"], a["last"])))
+    runs = both.select("doc_id", "doc_key", "units", F.explode(F.flatten(F.transform(every, from_window))).alias("run"))
+    held = F.transform(
+        F.slice(lines, F.col("run.s") + 1, F.col("run.e") - F.col("run.s") + 1), lambda u: F.struct(u["h"], u["g"])
+    )
+    return runs.select(
+        F.xxhash64(held).alias("fp"),
+        F.xxhash64(F.lit(1), held).alias("fq"),
+        "doc_id",
+        "doc_key",
+        "run.s",
+        "run.e",
+        F.get("units", F.col("run.s"))["at"].alias("s_at"),
+        F.get("units", F.col("run.e"))["at"].alias("e_at"),
     )
 
 
@@ -129,7 +188,8 @@ def repeated_spans(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """doc_id, doc_key and the sorted, disjoint spans (s, e) of lines that repeat earlier ones."""
-    found = written(stretches(line_units(docs, doc_id, text), least_words), "stretches")
+    units = written(line_units(docs, doc_id, text), "line-units")
+    found = written(stretches(units, least_words), "stretches")
     firsts = written(
         found.groupBy("fp", "fq")
         .agg(F.min(F.struct("doc_id", "doc_key", "s")).alias("first"), F.count("*").alias("places"))

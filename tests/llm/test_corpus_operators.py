@@ -10,29 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conformance import compare
 from ratingloom.llm import corpus_queries, manifest, search, vectors
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
 
-@pytest.fixture(scope="module")
-def engine(sf_dir):
-    con = compare.connect(sf_dir)
-    yield con
-    con.close()
-
-
-@pytest.mark.parametrize("name", list(corpus_queries.QUERIES))
-def test_query_equals_sql(spark, engine, sf_dir, name):
-    df = corpus_queries.QUERIES[name](spark, sf_dir)
-    names = sorted(df.columns)
-    wanted = engine.execute(corpus_queries.ORACLES[name])
-    at = [[c[0] for c in wanted.description].index(n) for n in names]
-    rows = [tuple(r[i] for i in at) for r in wanted.fetchall()]
-    assert compare.ordered([tuple(r) for r in df.select(*names).collect()]) == compare.ordered(rows)
-
-
 # --- search
 
 

@@ -8,9 +8,9 @@ import struct
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
-import xxhash
 from pyspark.sql import functions as F
 
 from conformance import compare
@@ -150,74 +150,6 @@ def test_levels_equal_brute_force(spark):
     assert {r.node: r.level for r in found} == brute_levels(nodes, edges)
 
 
-def signed(value):
-    return value - (1 << 64) if value >> 63 else value
-
-
-def brute_line_dedup(texts, gram_words=8, least_words=20, reach=64):
-    units, places = {}, collections.defaultdict(list)
-    for i, text in sorted(texts):
-        u = [
-            (at, signed(xxhash.xxh64(line.encode(), seed=42).intdigest()), len(re.findall(r"[^\x20\x09-\x0D]+", line)))
-            for at, line in enumerate(text.split("\n"))
-        ]
-        u = units[i] = [x for x in u if x[2]]
-
-        def run(p, words, u=u):
-            held, q = 0, p
-            while q < len(u) and held < words:
-                held, q = held + u[q][2], q + 1
-            return q, held
-
-        def gram(p, u=u, run=run):
-            seed = 42
-            for x in u[p : run(p, gram_words)[0]]:
-                seed = xxhash.xxh64(struct.pack("<q", x[1]), seed=seed).intdigest()
-            return signed(seed)
-
-        for p in range(len(u)):
-            if run(p, least_words)[1] >= least_words:
-                inside, held, q = [], 0, p
-                while q < len(u) and held <= least_words - gram_words:
-                    inside.append((gram(q), -q))
-                    held, q = held + u[q][2], q + 1
-                fp, left = min(inside)
-                if (i, -left) not in places[fp]:
-                    places[fp].append((i, -left))
-    beside = {}
-    for spots in places.values():
-        first = min(spots)
-        for y, p in spots:
-            if (y, p) != first:
-                low, high = beside.get((y, first[0], p - first[1]), (p, p))
-                beside[y, first[0], p - first[1]] = (min(low, p), max(high, p))
-    cuts = collections.defaultdict(set)
-    for (y, x, off), (low, high) in beside.items():
-        line = []
-        for p in range(max(low - reach, off, 0), min(high + reach, len(units[y]) - 1) + 2):
-            same = p <= min(high + reach, len(units[y]) - 1) and p - off < len(units[x])
-            if same and units[y][p][1] == units[x][p - off][1]:
-                line.append(units[y][p])
-            else:
-                if sum(u[2] for u in line) >= least_words:
-                    cuts[y].add((line[0][0], line[-1][0]))
-                line = []
-    result = {}
-    for i, text in texts:
-        lines = text.split("\n")
-        kept = [x for at, x in enumerate(lines) if not any(s <= at <= e for s, e in cuts[i])]
-        new = "\n".join(kept)
-        result[i] = (len(lines) - len(kept), new if re.search(r"[^\x20\x09-\x0D]", new) or not cuts[i] else "")
-    return result
-
-
-def test_line_dedup_equals_brute_force(spark, sf_dir, rows):
-    expected = brute_line_dedup([r[:2] for r in rows])
-    for r in QUERIES["op10_line_dedup"](spark, sf_dir).collect():
-        removed, text = expected[r.doc_id]
-        assert (r.n_removed_lines, r.text_sha256) == (removed, hashlib.sha256(text.encode()).hexdigest())
-
-
 def test_repeated_passage_goes_and_the_rest_stays(spark):
     passage = " ".join(f"p{k}" for k in range(51))
     texts = [(k, f"own line {k} of this text\n{passage}\nlast words {k}") for k in range(200)]
@@ -297,6 +229,35 @@ def test_line_dedup_equals_the_rule_on_few_lines(spark):
     assert sum(map(len, check_repeated_lines(spark, texts).values())) > 1000
 
 
+def test_windows_and_fingerprints(spark):
+    """Each window selects its least line, the first of equal ones; a selected line knows its windows."""
+    draw = random.Random(8)
+    texts = [(k, "\n".join(numbered_line(f"l{draw.randrange(9)}", draw.choice((1, 3, 8, 25))) for _ in range(60))) for k in range(20)]
+    units = linededup.line_units(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    ahead = units.select("units", linededup.windows(F.col("units"), 20).alias("ahead"))
+    marks = linededup.fingerprints(F.col("units"), F.col("ahead"), 20)
+    for r in ahead.select("*", marks.alias("marks")).collect():
+        wanted = {}
+        for i in range(len(r.units)):
+            n, held = 0, 0
+            while held < 20 and i + n < len(r.units):
+                held, n = held + r.units[i + n].w, n + 1
+            assert tuple(r.ahead[i]) == (n, held)
+            if held >= 20:
+                h, pos = min((r.units[j].h, j) for j in range(i, i + n))
+                wanted.setdefault((h, pos), []).append(i)
+        assert [tuple(m) for m in r.marks] == [(*k, v[0], v[-1]) for k, v in wanted.items()]
+
+
+def test_only_repeated_fingerprints_are_anchors(spark):
+    texts = [(k, "\n".join(numbered_line(f"d{k}l{j}", 7) for j in range(30))) for k in range(40)]
+    shared = "\n".join(numbered_line(f"s{j}", 7) for j in range(4))
+    texts += [(100 + k, f"{texts[k][1]}\n{shared}\n{numbered_line(f'e{k}', 30)}") for k in (1, 2)]
+    units = linededup.line_units(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    assert {r.doc_id for r in linededup.anchors(units, 20).collect()} == {1, 2, 101, 102}
+    assert {i: len(x) for i, x in check_repeated_lines(spark, texts).items() if x} == {101: 30, 102: 34}
+
+
 def test_blank_lines_between_deleted_lines_go(spark):
     a, b = numbered_line("a", 25), numbered_line("b", 25)
     texts = [(1, f"{a}\n\n{b}"), (2, f"own\n\n{a}\n\n{b}\n\nend")]
@@ -465,20 +426,24 @@ def test_lookup_join_with_hot_and_null_keys(spark):
 
 
 def test_pipeline_stages(spark, sf_dir, rows):
+    """Against SQL for the first and fourth stage, and plain Python for the second and third."""
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     result = corpus_pipeline.run(spark, sf_dir).collect()
-    ids = {r.doc_id for r in result}
     texts = {i: t for i, t, _ in rows}
-    judged = {r.doc_id for r in QUERIES["op2_quality_rules"](spark, sf_dir).where("kept").collect()}
-    step = {i: t for i, (_, t) in brute_line_dedup([(i, texts[i]) for i in judged]).items()}
-    step = {i: t for i, t in step.items() if t or not texts[i]}
+    con = compare.connect(sf_dir)
+    judged = [i for i, in con.execute(f"SELECT doc_id FROM ({ORACLES['op2_quality_rules']}) WHERE kept").fetchall()]
+    gone, step = repeated_lines([(i, texts[i]) for i in judged]), {}
+    for i in judged:
+        step[i] = "\n".join(x for at, x in enumerate(texts[i].split("\n")) if at not in gone[i])
+    step = {i: t for i, t in step.items() if re.search(r"[^\x20\x09-\x0D]", t) or not gone[i]}
     near = brute_components(list(step.items()), 5, 80)
     step = {i: t for i, t in step.items() if near[i][1] == i}
-    left = spark.createDataFrame(list(step.items()), "doc_id long, text string")
-    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    clean = {r.doc_id for r in decontaminate.find_hits(left, bench).where("n_hit = 0").collect()}
-    assert ids == clean and {r.doc_id: r.text for r in result} == {i: step[i] for i in clean}
+    con.register("remaining", pa.table({"doc_id": list(step), "text": list(step.values())}))
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM remaining")
+    found = con.execute(f"SELECT doc_id FROM ({ORACLES['op1_decontamination']}) WHERE NOT contaminated").fetchall()
+    clean = {i for i, in found}
+    assert {r.doc_id: r.text for r in result} == {i: step[i] for i in clean}
     assert all(r.round_trip and r.n_tokens * 4 == len(r.token_ids) and r.n_chars == len(r.text) for r in result)
     assert set(docs.columns) < set(result[0].asDict())
