@@ -27,7 +27,10 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEPT_TOKENS = 400_000  # pre-tokens remembered by a worker
+from ratingloom.llm.common import free_names, quoted, without
+
+KEPT_BYTES = 80_000_000  # of pre-tokens and their ids that a worker remembers, about
+ENTRY_BYTES = 180  # of an entry besides its characters and ids
 KEPT_LENGTH = 64  # longest pre-token that is remembered
 SLICE = 50_000  # matches, or ids, handled at once
 
@@ -37,7 +40,7 @@ class Vocabulary(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.held = ranks, 0
         self.longest = max(map(len, ranks), default=0)
         # Two levels of bitmaps whose words have as many bits as there are words.
         self.shift = -(-max(ranks.values(), default=1).bit_length() // 2)
@@ -48,8 +51,10 @@ class Vocabulary(dict):
         merged = self.merge(token.encode())
         ids = pack(f"<{len(merged)}I", *merged)
         if len(token) <= KEPT_LENGTH:
-            if len(self) >= KEPT_TOKENS:
+            self.held += len(token) + len(ids) + ENTRY_BYTES
+            if self.held > KEPT_BYTES:
                 self.clear()
+                self.held = 0
             self[token] = ids
         return ids
 
@@ -188,7 +193,18 @@ class ByteBpe:
                 bodies = (decode_ids(ids.as_py() or b"", tokens) for ids in found)
                 yield pa.array(bodies, pa.binary(), size=len(found))
 
-        self._encode, self._decode = encode, decode
+        @F.arrow_udf("struct<token_ids: binary, decoded: binary>")
+        def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            vocabulary, compiled = _vocabulary(content.value), regex.compile(pattern)
+            tokens = _tokens(content.value)
+            for texts in batches:
+                ids = pa.array(
+                    (encode_text(t.as_py() or "", vocabulary, compiled) for t in texts), pa.binary(), size=len(texts)
+                )
+                bodies = pa.array((decode_ids(i.as_py(), tokens) for i in ids), pa.binary(), size=len(ids))
+                yield pa.StructArray.from_arrays([ids, bodies], ["token_ids", "decoded"])
+
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: Column) -> Column:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -198,13 +214,23 @@ class ByteBpe:
         """The bytes that such ids stand for."""
         return self._decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """token_ids, and decoded: the bytes that these ids stand for; one worker does both."""
+        return self._both(text)
+
 
 def encode_documents(
     docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text"
 ) -> DataFrame:
     """The documents with token_ids, n_tokens and decoded (bytes; equal to the text's)."""
     bpe = ByteBpe(docs.sparkSession, ranks_path, pattern)
-    encoded = docs.withColumn("token_ids", bpe.encode(F.col(text)))
-    return encoded.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long")).withColumn(
-        "decoded", bpe.decode(F.col("token_ids"))
+    kept = without(docs, "token_ids", "n_tokens", "decoded")
+    (both,) = free_names(docs, "round_trip")
+    encoded = docs.select(*map(quoted, kept), bpe.round_trip(quoted(text)).alias(both))
+    ids, decoded = F.col(f"{both}.token_ids"), F.col(f"{both}.decoded")
+    return encoded.select(
+        *map(quoted, kept),
+        ids.alias("token_ids"),
+        (F.octet_length(ids) / 4).cast("long").alias("n_tokens"),
+        decoded.alias("decoded"),
     )

@@ -7,8 +7,10 @@ places of prefix shingles only, each with the words around it. Joined to the win
 their prefix, a place is dropped if the window would begin before the text or end after
 it, and else compared word by word.
 
-The shingles that a pass looks for are constants of its expression, at most
-``block`` at a time: a benchmark with more is done in blocks, each over all documents.
+The shingles that a pass looks for are constants of its expression, about ``block``
+at a time: a benchmark with more is done in blocks, each over all documents. Blocks are
+fetched one by one and their results written, so neither the driver nor a plan holds more
+than one of them.
 
 Results: a null text, or one without words, has no word and no hit. Repeated items hit
 once; an item without id is named by an empty string. Rows that share id and text share
@@ -17,6 +19,8 @@ their result. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,15 +69,12 @@ def benchmark_windows(benchmark: DataFrame, text: str, item_id: str, window: int
     )
 
 
-def _blocks(frame: DataFrame, block: int) -> list[list[int]]:
-    """The distinct hashes of a bounded table in lists of about ``block``."""
-    values = frame.select("hash").distinct()
-    count = values.count()
-    parts = -(-count // block)
-    return [
-        [r[0] for r in values.where(F.pmod(F.col("hash"), F.lit(parts)) == k).collect()]
-        for k in range(parts)
-    ]
+def _blocks(frame: DataFrame, block: int) -> Iterator[list[int]]:
+    """The distinct hashes in lists of about ``block``; the driver holds one of them at a time."""
+    values = written(frame.select("hash").distinct(), "wanted-hashes")
+    parts = -(-values.count() // block)
+    for k in range(parts):
+        yield [r[0] for r in values.where(F.pmod(F.col("hash"), F.lit(parts)) == k).collect()]
 
 
 def _among(column: str, values: list[int]) -> str:
@@ -90,16 +91,20 @@ def rarest_shingles(docs_words: DataFrame, windows: DataFrame, block: int) -> Da
             "*", F.posexplode(shingle_hashes(F.col("window_words"), size)).alias("offset", "hash")
         )
         hashed = docs_words.select(shingle_hashes(F.col("words"), size).alias("hashes"))
+        # Each block's counts are written before the next block is asked for, so no plan holds two.
         counts = [
-            hashed.select(F.explode(F.expr(f"filter(hashes, h -> {_among('h', values)})")).alias("hash"))
-            .groupBy("hash")
-            .agg(F.count("*").alias("seen"))
+            written(
+                hashed.select(F.explode(F.expr(f"filter(hashes, h -> {_among('h', values)})")).alias("hash"))
+                .groupBy("hash")
+                .agg(F.count("*").alias("seen")),
+                "shingle-counts",
+            )
             for values in _blocks(placed, block)
         ]
         total = counts[0]
         for more in counts[1:]:
             total = total.unionByName(more)
-        parts.append(placed.join(written(total, "shingle-counts"), "hash", "left"))
+        parts.append(placed.join(total, "hash", "left"))
     ranked = parts[0]
     for more in parts[1:]:
         ranked = ranked.unionByName(more)
@@ -249,13 +254,13 @@ def clean_documents(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options
 ) -> DataFrame:
     """The documents without any hit word, columns as they came."""
-    key, other = free_names(docs, "doc_key", "hit_id")
+    key, other, other_key = free_names(docs, "doc_key", "hit_id", "hit_key")
     hit = (
         find_hits(docs, benchmark, text=text, doc_id=doc_id, **options)
         .where("n_hit > 0")
-        .select(F.col("doc_id").alias(other), F.col("doc_key").alias(key + "_hit"))
+        .select(F.col("doc_id").alias(other), F.col("doc_key").alias(other_key))
         .distinct()
     )
     keyed = docs.withColumn(key, document_key(doc_id, text))
-    same = (F.col(key) == F.col(key + "_hit")) & quoted(doc_id).eqNullSafe(F.col(other))
+    same = (F.col(key) == F.col(other_key)) & quoted(doc_id).eqNullSafe(F.col(other))
     return keyed.join(hit, same, "left_anti").drop(key)

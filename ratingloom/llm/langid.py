@@ -10,8 +10,9 @@ For scoring, the cost of every (order + 1)-gram that any language has seen is wo
 once, for all languages; other places fall back order by order. Texts are handled in
 slices, so memory does not follow their length.
 
-``fit`` counts over a sample of about ``sample_bytes`` a language, chosen by a hash of
-the text; nothing but counts reaches the driver, at most ``order + 1`` a sampled byte.
+``fit`` counts over a sample of about ``sample_bytes`` a language, in the order of a hash
+of the text: the texts that come first, at least one, each of them once and up to that many
+bytes of it. Nothing but counts reaches the driver, at most ``order + 1`` a sampled byte.
 
 Results: a null text, or one without a letter, is ``und`` with score 0, as is every text
 if no language was learned. Ties go to the first language by name. The score is the
@@ -33,6 +34,7 @@ from ratingloom.llm.common import quoted
 
 ORDER = 3
 SAMPLE_BYTES = 1_000_000
+PLACES = 1_000_000_000  # of the order in which texts are sampled
 SLICE_BYTES = 1 << 19
 SLOTS = 20  # bits of the direct table in front of the highest order
 UNKNOWN = "und"
@@ -173,21 +175,25 @@ def fit(
     labelled = docs.where(quoted(lang).isNotNull() & (F.octet_length(quoted(text)) > 0)).select(
         quoted(lang).alias("lang"), quoted(text).alias("text")
     )
-    shares = {
-        r["lang"]: min(1.0, sample_bytes / r["held"])
-        for r in labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("held")).collect()
+    labelled = labelled.withColumn("place", F.pmod(F.xxhash64("text"), F.lit(PLACES)))
+    # Long texts count as what is read of them, so that a few of them leave room for others.
+    held = F.sum(F.least(F.octet_length("text"), F.lit(sample_bytes)).cast("long"))
+    ends = {
+        r["lang"]: max(r["first"] + 1, int(PLACES * min(1.0, sample_bytes / r["held"])))
+        for r in labelled.groupBy("lang").agg(held.alias("held"), F.min("place").alias("first")).collect()
     }
-    if not shares:
+    if not ends:
         return build({})
-    share = F.lit(0.0)
-    for name, value in shares.items():
-        share = F.when(F.col("lang") == name, F.lit(value)).otherwise(share)
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1_000_000 * share)
+    end = F.lit(0).cast("long")
+    for name, value in ends.items():
+        end = F.when(F.col("lang") == name, F.lit(value)).otherwise(end)
+    # A text that many rows hold is taken once; its copies meet before the texts travel.
+    chosen = labelled.where(F.col("place") < end).dropDuplicates(["lang", "text"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = np.frombuffer(b"\n" * ORDER + _bytes(body), dtype=np.uint8)
+                data = np.frombuffer(b"\n" * ORDER + _bytes(body)[:sample_bytes], dtype=np.uint8)
                 for order in range(ORDER + 1):
                     grams, times = np.unique(_grams(data, order + 1), return_counts=True)
                     yield pa.RecordBatch.from_arrays(

@@ -81,41 +81,41 @@ def windows(units: Column, least_words: int) -> Column:
     return F.transform(units, lambda _, i: _needed(F.slice(units, i + 1, F.lit(least_words)), least_words))
 
 
-def fingerprints(units: Column, ahead: Column, least_words: int) -> Column:
-    """The selected lines: hash h, position pos, and the windows first to last that select it."""
+def fingerprints(units: DataFrame, least_words: int) -> DataFrame:
+    """doc_id, doc_key and marks: the selected lines, with hash h, position pos and the windows (first to last) that select them.
+
+    Lambdas look into arrays of the row; each such array is a column of its own, as Spark
+    would work out a nested expression anew for every element.
+    """
 
     def selected(window: Column, i: Column) -> Column:
         lines = F.transform(
-            F.slice(units, i + 1, window["n"]), lambda u, j: F.struct(u["h"].alias("h"), (i + j).alias("pos"))
+            F.slice("units", i + 1, window["n"]), lambda u, j: F.struct(u["h"].alias("h"), (i + j).alias("pos"))
         )
         return F.when(window["held"] >= least_words, F.array_min(lines))
 
-    least = F.transform(ahead, selected)
+    ahead = units.select("doc_id", "doc_key", "units", windows(F.col("units"), least_words).alias("ahead"))
+    least = ahead.select("doc_id", "doc_key", F.transform("ahead", selected).alias("least"))
     # Windows that select one line follow one another.
-    changes = F.filter(
-        F.transform(least, lambda m, i: F.when((i == 0) | ~m.eqNullSafe(F.get(least, i - 1)), i)),
-        lambda i: i.isNotNull(),
-    )
+    differs = lambda m, i: F.when((i == 0) | ~m.eqNullSafe(F.get("least", i - 1)), i)
+    changes = F.filter(F.transform("least", differs), lambda i: i.isNotNull())
+    changed = least.select("*", changes.alias("changes"))
     runs = F.transform(
-        changes,
+        "changes",
         lambda i, k: F.struct(
-            F.get(least, i)["h"].alias("h"),
-            F.get(least, i)["pos"].alias("pos"),
+            F.get("least", i)["h"].alias("h"),
+            F.get("least", i)["pos"].alias("pos"),
             i.alias("first"),
-            (F.coalesce(F.get(changes, k + 1), F.size(least)) - 1).alias("last"),
+            (F.coalesce(F.get("changes", k + 1), F.size("least")) - 1).alias("last"),
         ),
     )
-    return F.filter(runs, lambda run: run["h"].isNotNull())
+    return changed.select("doc_id", "doc_key", F.filter(runs, lambda run: run["h"].isNotNull()).alias("marks"))
 
 
 def anchors(units: DataFrame, least_words: int) -> DataFrame:
     """doc_id, doc_key and the windows (first to last, sorted) whose fingerprint has two places or more."""
-    ahead = units.select("doc_id", "doc_key", "units", windows(F.col("units"), least_words).alias("ahead"))
-    marks = fingerprints(F.col("units"), F.col("ahead"), least_words)
-    places = written(
-        ahead.select("doc_id", "doc_key", F.explode(marks).alias("mark")).select("doc_id", "doc_key", "mark.*"),
-        "fingerprints",
-    )
+    marked = written(fingerprints(units, least_words), "fingerprints")
+    places = marked.select("doc_id", "doc_key", F.explode("marks").alias("mark")).select("doc_id", "doc_key", "mark.*")
     shared = places.groupBy("h").agg(F.count("*").alias("places")).where("places > 1")
     shared = written(shared, "shared-fingerprints")
     hot = hot_keys(shared, "h", "places")
@@ -132,26 +132,29 @@ def stretches(units: DataFrame, least_words: int) -> DataFrame:
     """One row per stretch from an anchored window on: name (fp, fq), document, span by lines with words and by lines."""
     found = anchors(units, least_words).withColumnsRenamed({"doc_id": "a_id", "doc_key": "a_key"})
     same = (F.col("doc_key") == F.col("a_key")) & F.col("doc_id").eqNullSafe(F.col("a_id"))
-    anchored = written(units.join(found, same).select("doc_id", "doc_key", "units", "anchored"), "anchored")
+    anchored = units.join(found, same).select("doc_id", "doc_key", "units", "anchored")
     lines = F.col("units")
     start = lambda i: F.greatest(F.lit(1), i + 2 - least_words)
     back = F.transform(
         lines, lambda _, i: _needed(F.reverse(F.slice(lines, start(i), i + 2 - start(i))), least_words)
     )
-    both = anchored.select("*", windows(lines, least_words).alias("ahead"), back.alias("back"))
+    ends = anchored.select("*", windows(lines, least_words).alias("ahead"), back.alias("back"))
+    both = written(ends, "anchored")
 
     def from_window(s: Column) -> Column:
         end = s + F.get("ahead", s)["n"] - 1
         later = F.sequence(s, F.least(s + least_words - 1, F.size("units") - 1))
 
-        def ends(e: Column) -> Column:
+        def is_end(e: Column) -> Column:
             run = F.get("back", e)
             return (e == end) | ((run["held"] >= least_words) & (run["n"] == e - s + 1))
 
-        return F.transform(F.filter(later, ends), lambda e: F.struct(s.alias("s"), e.alias("e")))
+        return F.transform(F.filter(later, is_end), lambda e: F.struct(s.alias("s"), e.alias("e")))
 
     every = F.flatten(F.transform("anchored", lambda a: F.sequence(a["first"], a["last"])))
-    runs = both.select("doc_id", "doc_key", "units", F.explode(F.flatten(F.transform(every, from_window))).alias("run"))
+    # An outer explode, as the other one would work out the runs a second time to see whether there are any.
+    found_runs = F.explode_outer(F.flatten(F.transform(every, from_window)))
+    runs = both.select("doc_id", "doc_key", "units", found_runs.alias("run")).where("run IS NOT NULL")
     held = F.transform(
         F.slice(lines, F.col("run.s") + 1, F.col("run.e") - F.col("run.s") + 1), lambda u: F.struct(u["h"], u["g"])
     )

@@ -15,8 +15,10 @@ each other in all bands with probability 7e-6, more similar ones far less.
 
 Shingles are 64-bit hashes and sets are named by 128-bit digests. Results: a null text,
 or one without words, has an empty set and is linked with nothing; a text of fewer words
-than a shingle has one shingle, its whole sequence. A document without id takes part in
-no component and is kept. Rows that share id and text share their result.
+than a shingle has one shingle, its whole sequence. A document without id is linked like
+any other, but names no component; where a component has no id at all, all its rows are
+kept. Rows that share id and text share their result. ``keep_one`` keeps one row of each
+component, whatever the ids.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm.common import free_names, lookup_join, quoted, written
@@ -38,6 +40,7 @@ PERMUTATIONS = BANDS * BAND_ROWS // 2
 SLICE_BYTES = 1 << 21  # of text that one round of array work takes
 CELL_HASHES = 200_000  # in one side of a cell
 GROUP_HASHES = 1_000_000  # in one call of the cell function
+LONG_WORD = 64  # bytes
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -58,7 +61,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each run of non-blank bytes."""
+    """Start and hash of each run of non-blank bytes.
+
+    A word is a polynomial modulo 2^64, mixed. For words of some hundred bytes and more,
+    equal polynomials can be written down at will, so long words are digested one by one.
+    """
     data = np.frombuffer(body, dtype=np.uint8)
     solid = np.empty(len(data) + 2, dtype=bool)
     solid[0] = solid[-1] = False
@@ -73,7 +80,10 @@ def word_hashes(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     np.cumprod(inverse, out=inverse)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + _U(1)) * powers[:-1], out=sums[1:])
-    return starts, _mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    found = _mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        found[k] = int.from_bytes(blake2b(body[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return starts, found
 
 
 def _document_words(text: str) -> np.ndarray:
@@ -316,21 +326,12 @@ def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return filled.groupBy("g").applyInPandas(link, "u binary, v binary")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    *,
-    shingle: int = 4,
-    percent: int = 80,
-    text: str = "text",
-    doc_id: str = "doc_id",
-) -> DataFrame:
-    """One line per document: doc_key, doc_id, n_shingles, component_id, kept.
-
-    Documents are linked if ``100 * intersection >= percent * union`` of their sets of
-    ``shingle`` consecutive words. component_id is the smallest id that links reach.
-    """
+def linked_classes(
+    docs: DataFrame, shingle: int, percent: int, text: str, doc_id: str
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all documents, and of each class (set_id) its least_id and its component."""
     signed = written(signatures(docs, shingle, text, doc_id), "signatures")
-    usable = signed.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
+    usable = signed.where("set_id IS NOT NULL")
     classes = usable.groupBy("set_id").agg(
         F.min("doc_key").alias("doc_key"),
         F.min("doc_id").alias("least_id"),
@@ -375,7 +376,23 @@ def near_duplicates(
 
     labels = final.select(F.col("node").alias("set_id"), "component")
     classed = classes.select("set_id", "least_id").join(labels, "set_id", "left")
-    classed = written(classed.withColumn("component", F.coalesce("component", "set_id")), "labels")
+    return signed, written(classed.withColumn("component", F.coalesce("component", "set_id")), "labels")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    *,
+    shingle: int = 4,
+    percent: int = 80,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """One line per document: doc_key, doc_id, n_shingles, component_id, kept.
+
+    Documents are linked if ``100 * intersection >= percent * union`` of their sets of
+    ``shingle`` consecutive words. component_id is the smallest id that links reach.
+    """
+    signed, classed = linked_classes(docs, shingle, percent, text, doc_id)
     ids = classed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = lookup_join(classed, ids, "component", "set_id").select("set_id", "component_id")
     result = lookup_join(signed.drop("buckets"), written(of_class, "class-ids"), "set_id", "doc_key")
@@ -385,17 +402,35 @@ def near_duplicates(
         "doc_id",
         "n_shingles",
         component_id.alias("component_id"),
-        F.coalesce(component_id == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.coalesce(component_id == F.col("doc_id"), component_id.isNull()).alias("kept"),
     )
 
 
 def keep_one(
     docs: DataFrame, *, shingle: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """The documents without those that are not the smallest of their component."""
-    key, gone = free_names(docs, "doc_key", "gone_key")
-    found = near_duplicates(docs, shingle=shingle, percent=percent, text=text, doc_id=doc_id)
-    removed = found.where("NOT kept").select(F.col("doc_key").alias(gone), F.col("doc_id").alias(gone + "_id"))
+    """The documents with one row of each component: of smallest id (null last), then smallest doc_key.
+
+    Of rows that are equal in id and text one stays, whichever; rows without words all stay.
+    """
+    key, other, other_id = free_names(docs, "doc_key", "gone_key", "gone_id")
+    signed, classed = linked_classes(docs, shingle, percent, text, doc_id)
+    held = lookup_join(signed.select("set_id", "doc_id", "doc_key"), classed.select("set_id", "component"), "set_id", "doc_key", how="inner")
+    units = written(held.groupBy("component", "doc_id", "doc_key").agg(F.count("*").alias("rows")), "units")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key")
+    winners = units.groupBy("component").agg(F.min(place).alias("winner"))
+    stays = F.col("winner").eqNullSafe(place)
+    chosen = written(lookup_join(units, winners, "component", "doc_key").withColumn("stays", stays), "chosen")
     keyed = docs.withColumn(key, F.xxhash64(quoted(doc_id), quoted(text)))
-    same = (F.col(key) == F.col(gone)) & quoted(doc_id).eqNullSafe(F.col(gone + "_id"))
-    return keyed.join(removed.distinct(), same, "left_anti").drop(key)
+
+    def matching(rows: DataFrame) -> tuple[DataFrame, Column]:
+        named = rows.select(F.col("doc_key").alias(other), F.col("doc_id").alias(other_id))
+        return named, (F.col(key) == F.col(other)) & quoted(doc_id).eqNullSafe(F.col(other_id))
+
+    several = chosen.where("stays AND rows > 1")
+    if several.isEmpty():
+        return keyed.join(*matching(chosen.where("NOT stays")), "left_anti").drop(key)
+    alone = keyed.join(*matching(chosen.where("NOT stays OR rows > 1")), "left_anti")
+    # Hundreds of equal rows shrink to one per task before the shuffle.
+    first = keyed.join(*matching(several), "left_semi").dropDuplicates([key, doc_id])
+    return alone.unionByName(first).drop(key)

@@ -2,14 +2,17 @@
 
 Trusted positives and unlabelled web text train a linear model on shape features by the
 non-negative unbiased risk: prior * loss(positives) + max(0, loss of unlabelled as
-negatives - prior * loss of positives as negatives). Where the second part would turn
-negative, its gradient is followed back instead. The class prior comes from a first
+negatives - prior * loss of positives as negatives). A step that would turn the second part
+negative is followed back until it does not. The class prior comes from a first
 model that tells positives from unlabelled: the least ratio, over its score thresholds
 on held-back rows, of the unlabelled share above to the positive share above.
 
-Mean, scale and the unlabelled shares of the prior count every document. Training takes
-the features of about ``positives`` and ``unlabelled`` rows, chosen by a hash of id and
-text; these arrays, sums and counts are all that reaches the driver.
+Every document counts as unlabelled, in the mean and deviation, in the prior and in each
+round of the risk. The features are computed once and written; a round of training
+is one pass over them, in which each task sums loss, slope and curvature of its rows, and
+Newton's method needs few rounds. Where the second part stops the steps short of the least
+risk, the last weights before that are kept. Only sums reach the driver, besides the features of about
+``positives`` trusted rows, chosen by a hash of id and text.
 
 Results: a null or empty text has zero features and a score like any other. Labels that
 contradict each other count as they are: a text is a positive if one row says so.
@@ -18,9 +21,8 @@ Without a positive to learn from the score is the prior's default, 0.5.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm.common import quoted, written
 
-POSITIVES, UNLABELLED = 6_000, 12_000
-ROUNDS, STEP, DECAY = 600, 0.05, 1e-4
+POSITIVES = 6_000
+ROUNDS, SETTLED = 25, 1e-5
+RIDGE = 10.0  # strength of the weights' pull to zero, divided by the positives
 SLICE_BYTES = 1 << 20
 
 _KINDS = (
@@ -93,39 +96,88 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(value, -60, 60)))
 
 
-def _slopes(value: np.ndarray) -> np.ndarray:
-    """Derivative of the logistic loss of calling a row positive."""
-    return -1 / (1 + np.exp(np.clip(value, -60, 60)))
+#: Sums a measure, which maps rows to so many numbers, over all unlabelled rows.
+Sums = Callable[[Callable[[np.ndarray], np.ndarray], int], np.ndarray]
 
 
-def _descend(x: np.ndarray, gradient) -> tuple[np.ndarray, float]:
-    """Adam on a linear model; ``gradient`` maps values to the risk's slope at each row."""
-    theta = np.zeros(x.shape[1] + 1)
-    first, second = np.zeros_like(theta), np.zeros_like(theta)
-    for t in range(1, ROUNDS + 1):
-        slope = gradient(x @ theta[:-1] + theta[-1])
-        g = np.append(x.T @ slope + DECAY * theta[:-1], slope.sum())
-        first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
-        theta -= STEP * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    return theta[:-1], theta[-1]
+def _sigmoid(value: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(value, -60, 60)))
 
 
-def _held(n: int) -> np.ndarray:
-    return np.arange(n) % 2 == 1
+def _with_one(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([x, np.ones((len(x), 1))], axis=1)
 
 
-def _first_model(x: np.ndarray, is_positive: np.ndarray) -> tuple[np.ndarray, float]:
-    """Tells positives from unlabelled rows, learnt from the rows not held back."""
-    held = _held(len(x))
-    p, u = is_positive & ~held, ~is_positive & ~held
+def _as_negatives(theta: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Number of rows and, of their loss as negatives, the sum, the slope and the upper half of the curvature."""
+    upper = np.triu_indices(len(theta))
+
+    def measure(x: np.ndarray) -> np.ndarray:
+        x = _with_one(x)
+        value = x @ theta
+        share = _sigmoid(value)
+        curve = (x * (share * (1 - share))[:, None]).T @ x
+        return np.concatenate([[len(x), np.logaddexp(0, value).sum()], share @ x, curve[upper]])
+
+    return measure
+
+
+def _symmetric(upper: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((n, n))
+    out[np.triu_indices(n)] = upper
+    return out + np.triu(out, 1).T
+
+
+@dataclass
+class Point:
+    """The risk at some weights, its part that must not be negative, and its slope and curvature."""
+
+    theta: np.ndarray
+    risk: float
+    negative: float
+    slope: np.ndarray
+    curve: np.ndarray
 
-    def gradient(value: np.ndarray) -> np.ndarray:
-        slope = np.zeros(len(value))
-        slope[p] = _slopes(value[p]) / max(1, p.sum())
-        slope[u] = -_slopes(-value[u]) / max(1, u.sum())
-        return slope
 
-    return _descend(x, gradient)
+def risk_at(theta: np.ndarray, sums: Sums, positive: np.ndarray, alike: float, unalike: float) -> Point:
+    """The non-negative risk: ``alike`` * positives as such + max(0, unlabelled - ``unalike`` * positives as negatives).
+
+    ``alike`` = ``unalike`` = prior is the positive-unlabelled risk; 1 and 0 tell the two apart.
+    """
+    k = len(theta)
+    n, loss, *rest = sums(_as_negatives(theta), 2 + k + k * (k + 1) // 2)
+    slope_u, curve_u = np.array(rest[:k]) / n, _symmetric(np.array(rest[k:]), k) / n
+    x = _with_one(positive)
+    value = x @ theta
+    share = _sigmoid(value)
+    curve_p = (x * (share * (1 - share))[:, None]).T @ x / len(x)
+    negative = loss / n - unalike * np.logaddexp(0, value).mean()
+    ridge = np.append(np.full(k - 1, RIDGE / len(x)), 1e-9)
+    return Point(
+        theta,
+        alike * np.logaddexp(0, -value).mean() + max(0.0, negative) + (ridge * theta * theta).sum() / 2,
+        negative,
+        alike * (share - 1) @ x / len(x) + slope_u - unalike * share @ x / len(x) + ridge * theta,
+        (alike - unalike) * curve_p + curve_u + np.diag(ridge),
+    )
+
+
+def minimise(sums: Sums, positive: np.ndarray, alike: float, unalike: float) -> np.ndarray:
+    """Weights and bias of the least risk, by Newton steps; each round is one pass over the unlabelled rows."""
+    at = risk_at(np.zeros(positive.shape[1] + 1), sums, positive, alike, unalike)
+    step = -np.linalg.solve(at.curve, at.slope)
+    for _ in range(ROUNDS):
+        there = risk_at(at.theta + step, sums, positive, alike, unalike)
+        if there.risk > at.risk or there.negative < 0:
+            step = step / 2  # too far, or into the negative: back towards the last good point
+            if np.abs(step).max() < SETTLED:
+                break
+            continue
+        gain, at = at.risk - there.risk, there
+        if gain < SETTLED * max(at.risk, SETTLED):
+            break
+        step = -np.linalg.solve(at.curve, at.slope)
+    return at.theta
 
 
 def _cuts(ps: np.ndarray) -> np.ndarray:
@@ -141,68 +193,40 @@ def _least_ratio(ps: np.ndarray, cuts: np.ndarray, below_u: np.ndarray, n_u: int
     return float(np.clip(above_u[best] / above_p[best], 0.05, 0.95))
 
 
-def estimate_prior(x: np.ndarray, is_positive: np.ndarray, below=None) -> float:
-    """Share of positives among unlabelled rows, by the best bin of held-back rows.
-
-    ``below`` maps weights, bias and cuts to the numbers of unlabelled rows under each cut and
-    in all, those of ``x`` among them; without it the held-back rows of ``x`` are counted.
-    """
-    held = _held(len(x))
-    weights, bias = _first_model(x, is_positive)
-    value = x @ weights + bias
-    ps, us = np.sort(value[is_positive & held]), np.sort(value[~is_positive & held])
-    if not len(ps) or not len(us):
-        return 0.5
+def prior_of(learn: Sums, held: Sums, positive: np.ndarray, held_positive: np.ndarray) -> float:
+    """Share of positives among unlabelled rows, by the best bin of rows held back from the first model."""
+    theta = minimise(learn, positive, 1.0, 0.0)
+    ps = np.sort(_with_one(held_positive) @ theta)
     cuts = _cuts(ps)
-    below_u, n_u = np.searchsorted(us, cuts), len(us)
-    if below:
-        learnt = np.sort(value[~is_positive & ~held])
-        below_u, n_u = below(weights, bias, cuts)
-        below_u, n_u = below_u - np.searchsorted(learnt, cuts), n_u - len(learnt)
-    return _least_ratio(ps, cuts, below_u, n_u)
 
+    def below(x: np.ndarray) -> np.ndarray:
+        value = np.sort(_with_one(x) @ theta)
+        return np.append(np.searchsorted(value, cuts), len(value))
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, moments=None, below=None) -> Model:
-    """``moments`` and ``below`` give mean, deviation and counts of all rows instead of the sample's."""
-    if not len(positive) or not len(unlabelled):
-        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
-    mean, scale = moments or (unlabelled.mean(axis=0), unlabelled.std(axis=0))
-    scale = scale + 1e-3
-    x = np.clip((np.concatenate([positive, unlabelled]).astype(np.float64) - mean) / scale, -8, 8)
-    is_positive = np.arange(len(x)) < len(positive)
-    shuffled = np.random.default_rng(7).permutation(len(x))
+    *counts, n = held(below, len(cuts) + 1)
+    return _least_ratio(ps, cuts, np.array(counts), int(n))
 
-    def counted(weights: np.ndarray, bias: float, cuts: np.ndarray) -> tuple[np.ndarray, int]:
-        return below(mean, scale, weights, bias, cuts)
 
-    prior = estimate_prior(x[shuffled], is_positive[shuffled], counted if below else None)
-    n_p, n_u = len(positive), len(unlabelled)
+def estimate_prior(x: np.ndarray, is_positive: np.ndarray) -> float:
+    """The prior from rows in memory, every second of them held back."""
+    held = np.arange(len(x)) % 2 == 1
 
-    def gradient(value: np.ndarray) -> np.ndarray:
-        vp, vu = value[:n_p], value[n_p:]
-        negative_risk = np.logaddexp(0, vu).mean() - prior * np.logaddexp(0, vp).mean()
-        as_positive = prior * _slopes(vp) / n_p
-        as_negative_u, as_negative_p = -_slopes(-vu) / n_u, prior * _slopes(-vp) / n_p
-        if negative_risk < 0:
-            return np.concatenate([-as_negative_p, -as_negative_u])
-        return np.concatenate([as_positive + as_negative_p, as_negative_u])
+    def over(rows: np.ndarray) -> Sums:
+        return lambda measure, _: measure(rows)
 
-    weights, bias = _descend(x, gradient)
-    return Model(mean, scale, weights, bias, prior)
+    p, q = is_positive & ~held, is_positive & held
+    return prior_of(over(x[~is_positive & ~held]), over(x[~is_positive & held]), x[p], x[q])
 
 
 def _unpacked(packed: list[bytes]) -> np.ndarray:
     return np.array([np.frombuffer(f, dtype=np.float32) for f in packed]).reshape(-1, N_FEATURES)
 
 
-def _share(row: str, bound: int, total: int) -> Column:
-    return F.pmod(F.col(row), F.lit(1_000_000)) < 1_000_000 * min(1.0, bound / max(1, total))
-
-
 def _sampled(rows: DataFrame, bound: int) -> np.ndarray:
     """Features of about ``bound`` rows, chosen by the hash of id and text, in its order."""
-    found = rows.where(_share("row", bound, rows.count())).select("row", "f").collect()
-    return _unpacked([r["f"] for r in sorted(found)])
+    share = 1_000_000 * min(1.0, bound / max(1, rows.count()))
+    chosen = rows.where(F.pmod(F.col("row"), F.lit(1_000_000)) < share).select("row", "f").collect()
+    return _unpacked([r["f"] for r in sorted(chosen)]).astype(np.float64)
 
 
 def _summed(rows: DataFrame, measure, width: int) -> np.ndarray:
@@ -211,13 +235,14 @@ def _summed(rows: DataFrame, measure, width: int) -> np.ndarray:
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
         for batch in batches:
-            total += measure(_unpacked(batch.column(0).to_pylist()).astype(np.float64))
+            for at in range(0, batch.num_rows, 4096):
+                total += measure(_unpacked(batch.column(0).slice(at, 4096).to_pylist()).astype(np.float64))
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(total)], ["k", "v"])
 
     summed = rows.select("f").mapInArrow(sums, "k int, v double").groupBy("k").agg(F.sum("v").alias("v"))
+    found = summed.toArrow()
     out = np.zeros(width)
-    for k, v in summed.collect():
-        out[k] = v
+    out[found["k"].to_numpy()] = found["v"].to_numpy()
     return out
 
 
@@ -232,17 +257,6 @@ def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.sqrt(np.maximum(0.0, square - mean * mean))
 
 
-def _below(rows: DataFrame, mean, scale, weights, bias, cuts) -> tuple[np.ndarray, int]:
-    """How many of all rows the first model places under each cut, and their number."""
-
-    def measure(x: np.ndarray) -> np.ndarray:
-        value = np.sort(np.clip((x - mean) / scale, -8, 8) @ weights + bias)
-        return np.append(np.searchsorted(value, cuts), len(value))
-
-    *below, n = _summed(rows, measure, len(cuts) + 1)
-    return np.array(below), int(n)
-
-
 def feature_column(text: Column) -> Column:
     """The features as packed 32-bit floats."""
 
@@ -253,6 +267,49 @@ def feature_column(text: Column) -> Column:
     return pack(text)
 
 
+def featured(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", carry: Sequence[str] = ()
+) -> DataFrame:
+    """The written features: doc_id, ``carry``, row (a hash of id and text) and f, for every document."""
+    return written(
+        docs.select(
+            quoted(doc_id).alias("doc_id"),
+            *map(quoted, carry),
+            F.xxhash64(quoted(doc_id), quoted(text)).alias("row"),
+            feature_column(quoted(text)).alias("f"),
+        ),
+        "features",
+    )
+
+
+def fit_features(rows: DataFrame, trusted: DataFrame, *, doc_id: str = "doc_id", positives: int = POSITIVES) -> Model:
+    """The model from ``featured`` rows, all of them unlabelled; ``trusted`` has the ids of positives."""
+    ids = trusted.select(quoted(doc_id).alias("doc_id")).distinct()
+    share = 1_000_000 * min(1.0, 2 * positives / max(1, ids.count()))
+    few = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    positive = _sampled(rows.join(few, "doc_id", "left_semi"), positives)
+    if len(positive) < 2:
+        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.5)
+    mean, scale = _moments(rows)
+    scale = scale + 1e-3
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        return np.clip((x - mean) / scale, -8, 8)
+
+    def over(part: DataFrame) -> Sums:
+        return lambda measure, width: _summed(part, lambda x: measure(scaled(x)), width)
+
+    positive, half = scaled(positive), F.pmod("row", F.lit(2))
+    learn, held = over(rows.where(half == 0)), over(rows.where(half == 1))
+    shuffled = np.random.default_rng(7).permutation(len(positive))
+    cut = (len(positive) + 1) // 2
+    prior = 0.5
+    if not rows.where(half == 0).isEmpty() and not rows.where(half == 1).isEmpty():
+        prior = prior_of(learn, held, positive[shuffled[:cut]], positive[shuffled[cut:]])
+    theta = minimise(over(rows), positive, prior, prior)
+    return Model(mean, scale, theta[:-1], float(theta[-1]), prior)
+
+
 def fit(
     docs: DataFrame,
     trusted: DataFrame,
@@ -260,19 +317,21 @@ def fit(
     text: str = "text",
     doc_id: str = "doc_id",
     positives: int = POSITIVES,
-    unlabelled: int = UNLABELLED,
 ) -> Model:
     """``trusted`` has the ids of positives; all documents together are the unlabelled text."""
-    ids = trusted.select(quoted(doc_id).alias("doc_id")).distinct()
-    total = ids.count()
-    few = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * min(1.0, 2 * positives / max(1, total)))
-    named = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).where("text IS NOT NULL")
-    row = F.xxhash64("doc_id", "text").alias("row")
-    rows = written(named.select("doc_id", row, feature_column(F.col("text")).alias("f")), "features")
-    good = rows.join(few, "doc_id", "left_semi")
-    return train(
-        _sampled(good, positives), _sampled(rows, unlabelled), _moments(rows), partial(_below, rows)
-    )
+    rows = featured(docs, text=text, doc_id=doc_id)
+    return fit_features(rows, trusted, doc_id=doc_id, positives=positives)
+
+
+def score_features(docs: DataFrame, model: Model, f: str = "f") -> Column:
+    """The probability that a text with these features is of high quality."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(packed: pa.Array) -> pa.Array:
+        return pa.array(shared.value.scores(_unpacked(packed.to_pylist())), pa.float64())
+
+    return score(quoted(f))
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text") -> Column:
@@ -280,9 +339,8 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text") -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = np.array([features(t.as_py()) for t in texts]).reshape(-1, N_FEATURES)
-            yield pa.array(shared.value.scores(rows), pa.float64())
+    def score(texts: pa.Array) -> pa.Array:
+        rows = np.array([features(t.as_py()) for t in texts]).reshape(-1, N_FEATURES)
+        return pa.array(shared.value.scores(rows), pa.float64())
 
     return score(quoted(text))

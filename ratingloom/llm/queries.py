@@ -59,19 +59,26 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False))
     trusted = table(spark, sf_dir, "labels").where(~held_out & (F.col("quality") == 1))
-    model = pu.fit(docs, trusted.select("doc_id"))
-    scores = docs.select("doc_id", held_out.alias("held_out"), pu.scored(docs, model).alias("score"))
+    rows = pu.featured(docs)
+    model = pu.fit_features(rows, trusted.select("doc_id"))
+    scores = rows.select("doc_id", held_out.alias("held_out"), pu.score_features(rows, model).alias("score"))
     return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+# Words that spam pages name themselves or their site by.
+SPAM_WORDS = ("adult", "casino", "pills", "spam")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's outcome is bad if its text holds more than one symbol for ten words."""
+    """A page's outcome is bad if its address or markup holds a spam word, or its text more than one
+    symbol for ten words."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     text = F.regexp_replace("html", "<[^>]*>", " ")
     symbols = F.regexp_count(text, F.lit("[#*$%&|<>!]"))
-    bad = 10 * symbols > F.size(quality.split_words(text))
+    marked = F.concat_ws(" ", F.lower("url"), F.lower("html")).rlike("|".join(SPAM_WORDS))
+    bad = marked | (10 * symbols > F.size(quality.split_words(text)))
     judged = reputation.judge_urls(pages, URL_RULES, bad)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n", "bad", "lower_bound")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +95,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 24)
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), 24, carry=["doc_id"])
     return placed.select(
         "doc_id",
         "size",
@@ -273,8 +280,9 @@ WITH p AS (
   SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
-    regexp_replace(html, '<[^>]*>', ' ', 'g') AS t FROM pages),
-o AS (SELECT *, 10 * len(regexp_extract_all(t, '[#*$%&|<>!]'))
+    regexp_replace(html, '<[^>]*>', ' ', 'g') AS t, url, html FROM pages),
+o AS (SELECT *, regexp_matches(concat_ws(' ', lower(url), lower(html)), 'adult|casino|pills|spam')
+    OR 10 * len(regexp_extract_all(t, '[#*$%&|<>!]'))
     > len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS bad FROM p),
 hosts AS (SELECT host, count(bad) AS n, count(*) FILTER (bad) AS bad,
     array_to_string(string_split(host, '.')[-2:], '.') AS domain,
@@ -292,16 +300,17 @@ units AS (SELECT h.host, h.n, h.bad, (d.bad + k * d.prior) / (d.n + k) AS prior
   FROM hosts h JOIN domains d USING (domain), domains_k),"""
     + _LEVEL.format(name="units")
     + """,
-means AS (SELECT host, (bad + k * prior) / (n + k) AS mean, n + k AS weight FROM units, units_k),
-bounds AS (SELECT host, greatest(0, mean - 1.96 * sqrt(mean * (1 - mean) / (weight + 1))) > 0.2
-  AS blocked FROM means),
-r AS (SELECT page_id, host, path, blocked, CASE
+means AS (SELECT host, n, bad, (bad + k * prior) / (n + k) AS mean, n + k AS weight FROM units, units_k),
+bounds AS (SELECT host, n, bad, greatest(0, mean - 1.96 * sqrt(mean * (1 - mean) / (weight + 1))) AS lower_bound
+  FROM means),
+r AS (SELECT page_id, host, path, n, bad, lower_bound,
+  lower_bound > 2 * (SELECT sum(bad) / sum(n) FROM hosts) AS blocked, CASE
   WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
   WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
   WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
   WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM p JOIN bounds USING (host))
-SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+SELECT page_id, host, path, rule, n, bad, lower_bound, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
   WHEN rule IS NOT NULL THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 )

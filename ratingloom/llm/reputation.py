@@ -4,12 +4,13 @@ Outcomes of labelled pages are counted per host. From the whole down to the suff
 registered domain and the host, each level's bad rates are shrunk towards the level
 above: the strength of a level's beta prior comes from the spread of its own rates
 beyond binomial noise (a moment estimate over all units). A host is blocked if the lower
-bound of its posterior bad rate exceeds a threshold; a host with no labelled page takes
+bound of its posterior bad rate exceeds a multiple of the rate of all pages; a host with no labelled page takes
 the posterior of its domain, suffix or the whole only if one of its pages is judged, and
 with the same bound.
 
 Results: a null url, or one without ``://``, has an empty host and path, fits no rule
-and is judged like any host. An outcome that is null is no label. Rows that repeat count
+and is judged like any host. Ports are part of the host, but not of its domain; an address is a
+domain of its own. An outcome that is null is no label. Rows that repeat count
 as often as they occur. Without any outcome nothing is blocked.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm.common import free_names, lookup_join, lowered, quoted, without, written
 
-BOUND = 0.2
+BOUND = 2.0  # times the rate of all pages
 DEVIATIONS = 1.96
 LEAST_SPREAD, MOST_SPREAD = 1e-4, 0.5
 
@@ -60,14 +61,33 @@ def matching_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> Colum
     return found
 
 
-def host_suffix(host: Column) -> Column:
-    """The last label."""
-    return F.substring_index(host, ".", -1)
+def bare_host(host: Column) -> Column:
+    """Without a port."""
+    return F.regexp_replace(host, r":[0-9]*$", "")
 
 
-def host_domain(host: Column) -> Column:
-    """The last two labels."""
-    return F.substring_index(host, ".", -2)
+def is_address(bare: Column) -> Column:
+    """An IPv4 address or one in brackets: it has no domain above it."""
+    return bare.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$|^\[.*\]$")
+
+
+def host_suffix(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The longest listed suffix, else the last label; an address is its own."""
+    bare = bare_host(host)
+    found = F.when(is_address(bare), bare)
+    for suffix in sorted(suffixes, key=lambda x: (-x.count("."), x)):
+        found = found.when((bare == suffix) | bare.endswith("." + suffix), F.lit(suffix))
+    return found.otherwise(F.substring_index(bare, ".", -1))
+
+
+def host_domain(host: Column, suffixes: Sequence[str] = ()) -> Column:
+    """The suffix with one label before it; an address is its own."""
+    bare, by_labels = bare_host(host), F.substring_index(bare_host(host), ".", -2)
+    found = F.when(is_address(bare), bare)
+    for suffix in sorted(suffixes, key=lambda x: (-x.count("."), x)):
+        listed = (bare == suffix) | bare.endswith("." + suffix)
+        found = found.when(listed, F.substring_index(bare, ".", -(suffix.count(".") + 2)))
+    return found.otherwise(by_labels)
 
 
 def _strength(units: DataFrame) -> float:
@@ -90,24 +110,30 @@ def _shrunk(units: DataFrame, strength: float) -> Column:
 
 
 def host_reputation(
-    outcomes: DataFrame, *, host: str = "host", bad: str = "bad", deviations: float = DEVIATIONS
+    outcomes: DataFrame,
+    *,
+    host: str = "host",
+    bad: str = "bad",
+    deviations: float = DEVIATIONS,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
-    """One line per host: n, bad, prior mean, posterior mean and its lower bound.
+    """One line per host: n, bad, prior mean, posterior mean, its lower bound, and the rate of all pages.
 
     ``outcomes``: one row per page with its host and a boolean, null where not labelled.
+    ``suffixes``: those of several labels (like ``co.uk``) under which domains are registered.
     """
     hosts = written(
         outcomes.groupBy(quoted(host).alias("host")).agg(
             F.count(quoted(bad)).alias("n"), F.count_if(quoted(bad)).alias("bad")
         ),
         "host-outcomes",
-    ).withColumns({"domain": host_domain(F.col("host")), "suffix": host_suffix(F.col("host"))})
+    ).withColumns({"domain": host_domain(F.col("host"), suffixes), "suffix": host_suffix(F.col("host"), suffixes)})
     total = hosts.agg(F.sum("n"), F.sum("bad")).first()
     rate = total[1] / total[0] if total[0] else 0.0
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
 
-    suffixes = hosts.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(rate))
-    above = suffixes.select("suffix", _shrunk(suffixes, _strength(suffixes)).alias("prior"))
+    tops = hosts.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(rate))
+    above = tops.select("suffix", _shrunk(tops, _strength(tops)).alias("prior"))
     domains = written(hosts.groupBy("domain", "suffix").agg(*sums), "domain-outcomes")
     domains = lookup_join(domains, written(above, "suffix-rates"), "suffix", "domain")
     above = domains.select("domain", _shrunk(domains, _strength(domains)).alias("prior"))
@@ -117,7 +143,7 @@ def host_reputation(
     strength = _strength(units)
     mean, weight = _shrunk(units, strength), F.col("n") + strength
     lower = F.greatest(F.lit(0.0), mean - deviations * F.sqrt(mean * (1 - mean) / (weight + 1)))
-    return units.select("host", "n", "bad", "prior", mean.alias("posterior"), lower.alias("lower_bound"))
+    return units.select("host", "n", "bad", "prior", mean.alias("posterior"), lower.alias("lower_bound"), F.lit(rate).alias("rate"))
 
 
 def judge_urls(
@@ -128,23 +154,27 @@ def judge_urls(
     url: str = "url",
     page_id: str = "page_id",
     bound: float = BOUND,
+    suffixes: Sequence[str] = (),
 ) -> DataFrame:
-    """The pages with host, path, rule, verdict and the host's lower bound.
+    """The pages with host, path, rule, verdict and their host's n, bad, posterior and lower_bound.
 
-    ``bad`` is the outcome of a page (null: not labelled).
+    ``bad`` is the outcome of a page (null: not labelled). A host without a rule is blocked if
+    its lower bound exceeds ``bound`` times the rate of all pages.
     """
     (outcome,) = free_names(pages, "outcome")
     address = quoted(url)
     reputation = host_reputation(
-        pages.select(url_host(address).alias("host"), bad.alias(outcome)), bad=outcome
-    ).select("host", "lower_bound")
-    kept = pages.select(*map(quoted, without(pages, "host", "path", "rule", "verdict", "lower_bound")))
-    (match,) = free_names(kept, "matched_rule")
+        pages.select(url_host(address).alias("host"), bad.alias(outcome)), bad=outcome, suffixes=suffixes
+    )
+    added = ("host", "path", "rule", "verdict", "n", "bad", "posterior", "lower_bound")
+    kept = pages.select(*map(quoted, without(pages, *added)))
+    match, rate = free_names(kept, "matched_rule", "page_rate")
+    reputation = reputation.select("host", "n", "bad", "posterior", "lower_bound", F.col("rate").alias(rate))
     parsed = kept.withColumns({"host": url_host(address), "path": url_path(address)}).withColumn(
         match, matching_rule(F.col("host"), F.col("path"), rules)
     )
     joined = lookup_join(parsed, reputation, "host", page_id)
-    blocked = F.coalesce(F.col("lower_bound") > bound, F.lit(False))
+    blocked = F.coalesce(F.col("lower_bound") > bound * F.col(rate), F.lit(False))
     return joined.select(
         *map(quoted, kept.columns),
         "host",
@@ -153,5 +183,8 @@ def judge_urls(
         F.coalesce(
             F.col(f"{match}.verdict"), F.when(blocked, F.lit("block")).otherwise(F.lit("allow"))
         ).alias("verdict"),
+        "n",
+        "bad",
+        "posterior",
         "lower_bound",
     )

@@ -1,8 +1,10 @@
 """Sharding by histogram sort: shards of near equal bytes, rows in one global order.
 
-The order is by a 63-bit key: the CRC-32 of the text, then 31 bits of the hashed id. So
-equal texts stand together, and a text that holds a third of all rows can still be cut
-between its rows. Each round counts, exactly and over all partitions, the bytes and rows
+The digests are written once, and each row gets a number with them. The order is by a
+63-bit key: the CRC-32 of the text, then 31 bits of the hashed row number. So equal texts
+stand together, and a text that holds a third of all rows, or one row that repeats as
+often, can still be cut between its rows. Each round counts, exactly and over all
+partitions, the bytes and rows
 below candidate boundaries and keeps for each wanted boundary the two candidates around
 it; the next candidates lie between them. When every boundary is near enough, or no row
 lies between its two candidates, the rows are exchanged once.
@@ -10,14 +12,14 @@ lies between its two candidates, the rows are exchanged once.
 A shard is cut into pieces of about ``piece_bytes``, so that no task holds a whole
 shard; the counts of the pieces give each one its first slot.
 
-Results: a null text has size 8 and CRC-32 0. Rows with one id and one text have one
-key and stay together. Fewer rows than shards leave shards empty; an empty table has no
-rows. Columns named size, text_crc32, shard or slot are replaced.
+Results: a null text has size 8 and CRC-32 0. Rows that are equal in id and text are
+interchangeable and get places of their own. Fewer rows than shards leave shards empty; an
+empty table has no rows. Columns named size, text_crc32, shard or slot are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratingloom.llm.common import free_names, quoted, written
+from ratingloom.llm.common import free_names, quoted, without, written
 
 KEY_END = 2**63 - 1
 ROW_BYTES = 8
@@ -99,20 +101,31 @@ def shard(
     shards: int,
     *,
     text: str = "text",
-    doc_id: str = "doc_id",
+    carry: Sequence[str] | None = None,
     tolerance: float = 0.0005,
     piece_bytes: int = 1 << 26,
 ) -> DataFrame:
     """The documents with size, text_crc32, shard and slot (gapless in each shard, from 0).
 
-    ``tolerance``: share of a shard's bytes by which a boundary may be off. The driver
-    holds one boundary per piece and at most ROUND_PROBES counts; no row.
+    ``carry``: the columns that the result has besides, all by default; they are written
+    with the row numbers. ``tolerance``: share of a shard's bytes by which a boundary may be
+    off. The driver holds one boundary per piece and at most ROUND_PROBES counts; no row.
     """
-    (key,) = free_names(docs, "shard_key")
+    kept = without(docs, "size", "text_crc32", "shard", "slot") if carry is None else list(carry)
+    row, key, at = free_names(docs.select(*map(quoted, kept)), "shard_row", "shard_key", "shard_place")
     crc = F.coalesce(F.crc32(quoted(text)), F.lit(0).cast("long"))
     size = F.coalesce(F.octet_length(quoted(text)), F.lit(0)).cast("long") + ROW_BYTES
-    order = F.shiftleft(crc, 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64(quoted(doc_id)), 33))
-    digests = written(docs.select(order.alias("key"), size.alias("size")), "shard-keys")
+    fixed = written(
+        docs.select(
+            *map(quoted, kept),
+            size.alias("size"),
+            crc.alias("text_crc32"),
+            F.monotonically_increasing_id().alias(row),
+        ),
+        "shard-rows",
+    )
+    order = F.shiftleft("text_crc32", 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64(row), 33))
+    digests = fixed.select(order.alias("key"), "size")
     total = digests.agg(F.sum("size")).first()[0] or 0
     pieces = max(1, -(-total // (shards * piece_bytes)))
     n = shards * pieces
@@ -134,15 +147,8 @@ def shard(
             {"piece": at.astype(np.int32), "shard": (at // pieces).astype(np.int32), "base": bases[at]}
         )
 
-    (at,) = free_names(docs.withColumn(key, F.lit(0)), "shard_place")
-    kept = [c for c in docs.columns if c.lower() not in ("size", "text_crc32", "shard", "slot")]
-    placed = docs.select(
-        *map(quoted, kept),
-        size.alias("size"),
-        crc.alias("text_crc32"),
-        order.alias(key),
-    ).withColumn(at, place(F.col(key)))
-    within = Window.partitionBy(f"{at}.piece").orderBy(key, quoted(doc_id))
+    placed = fixed.withColumn(key, order).withColumn(at, place(F.col(key)))
+    within = Window.partitionBy(f"{at}.piece").orderBy(key, row)
     return placed.select(
         *map(quoted, kept),
         "size",

@@ -16,13 +16,15 @@ whose id an earlier turn of the conversation has taken; ``cycle`` (level null) f
 that wait on themselves; ``linked`` or ``orphan`` results. A dependency on an unknown
 call is passed over. Null ids, names, arguments and contents are allowed: a call without
 id is ``unanswered`` and a result without id an ``orphan``; null arguments are ``{}``;
-arguments that are no JSON object are invalid and kept as text. Rows that repeat give
-repeated rows.
+arguments that are no JSON object are invalid and kept as text, and so is what only lenient
+readers take for JSON (NaN, repeated keys, half surrogates, numbers beyond the doubles, endless
+nesting). Rows that repeat give repeated rows. Other columns of the tables are not looked at.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Iterator, Mapping
 
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm.common import lookup_join, shared_root, written
 
-#: Parameter name to (type, required); types as in JSON schema.
-Schema = Mapping[str, tuple[str, bool]]
+#: Either parameter name to (type, required), or a JSON schema of the arguments. Of JSON
+#: schema: type, properties, required, additionalProperties, items, enum, minimum, maximum.
+Schema = Mapping[str, object]
 _TYPES = {
     "string": str,
     "integer": int,
@@ -41,32 +44,110 @@ _TYPES = {
     "boolean": bool,
     "array": list,
     "object": dict,
+    "null": type(None),
 }
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def _finite(text: str) -> float:
+    if not math.isfinite(value := float(text)):
+        raise ValueError(f"{text} is no finite number")
+    return value
+
+
+def _refused(text: str) -> None:
+    raise ValueError(f"{text} is no JSON")
+
+
+def _distinct(pairs: list[tuple[str, object]]) -> dict:
+    found = dict(pairs)
+    if len(found) < len(pairs):
+        raise ValueError("a key repeats")
+    return found
+
+
+def parsed(text: str) -> tuple[object, str]:
+    """The value of strict JSON and its canonical form; ValueError for anything else.
+
+    No NaN or infinity, no number beyond the doubles, no repeated key, no half of a
+    surrogate pair, and no nesting deeper than Python can follow.
+    """
+    try:
+        value = json.loads(text, parse_float=_finite, parse_constant=_refused, object_pairs_hook=_distinct)
+        form = canonical(value)
+    except RecursionError:
+        raise ValueError("nested too deep") from None
+    form.encode()
+    return value, form
+
+
+def _rule(schema: Schema) -> Mapping[str, object]:
+    """The schema as JSON schema; names with (type, required) take no other names."""
+    if not all(isinstance(value, tuple) for value in schema.values()):
+        return schema
+    return {
+        "type": "object",
+        "properties": {name: {"type": kind} for name, (kind, _) in schema.items()},
+        "required": [name for name, (_, required) in schema.items() if required],
+        "additionalProperties": False,
+    }
+
+
+def _is(value: object, kind: str) -> bool:
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, _TYPES[kind]) and (kind == "boolean" or not isinstance(value, bool))
+
+
+def faults(value: object, rule: Mapping[str, object], at: str = "") -> list[str]:
+    """What the rule finds wrong, with the place of each fault as a path."""
+    name, kinds = at or "arguments", rule.get("type")
+    if kinds is not None:
+        kinds = [kinds] if isinstance(kinds, str) else kinds
+        if not any(_is(value, kind) for kind in kinds):
+            return [f"{name} is not {' or '.join(kinds)}"]
+    found = []
+    if "enum" in rule and canonical(value) not in map(canonical, rule["enum"]):
+        found.append(f"{name} is not one of {canonical(rule['enum'])}")
+    if _is(value, "number"):
+        if "minimum" in rule and value < rule["minimum"]:
+            found.append(f"{name} is below {rule['minimum']}")
+        if "maximum" in rule and value > rule["maximum"]:
+            found.append(f"{name} is above {rule['maximum']}")
+    if isinstance(value, dict):
+        known, below = rule.get("properties", {}), f"{at}." if at else ""
+        for key in sorted({*known, *rule.get("required", ())}):
+            if key in value:
+                found += faults(value[key], known.get(key, {}), below + key)
+            elif key in rule.get("required", ()):
+                found.append(f"missing {below}{key}")
+        others = rule.get("additionalProperties", True)
+        for key in sorted(set(value) - set(known)):
+            if others is False:
+                found.append(f"unexpected {below}{key}")
+            elif others is not True:
+                found += faults(value[key], others, below + key)
+    if isinstance(value, list) and "items" in rule:
+        for i, item in enumerate(value):
+            found += faults(item, rule["items"], f"{at}[{i}]")
+    return found
 
 
 def check_arguments(name: str | None, arguments: str | None, schemas: Mapping[str, Schema]) -> tuple[str, str]:
     """The arguments in canonical form and what is wrong with them (empty: nothing)."""
     try:
-        value = json.loads(arguments or "{}")
+        value, form = parsed(arguments or "{}")
     except ValueError:
         return arguments or "", "not JSON"
     if not isinstance(value, dict):
-        return canonical(value), "not an object"
+        return form, "not an object"
     schema = schemas.get(name or "")
     if schema is None:
-        return canonical(value), "unknown tool"
-    faults = []
-    for key, (kind, required) in sorted(schema.items()):
-        if key not in value:
-            faults += [f"missing {key}"] * required
-        elif not isinstance(value[key], _TYPES[kind]) or (isinstance(value[key], bool) and kind != "boolean"):
-            faults.append(f"{key} is not {kind}")
-    faults += [f"unexpected {key}" for key in sorted(value) if key not in schema]
-    return canonical(value), "; ".join(faults)
+        return form, "unknown tool"
+    return form, "; ".join(faults(value, _rule(schema)))
 
 
 def _node(call_id: Column | str) -> Column:
@@ -210,7 +291,9 @@ def format_messages(
     arguments, depends_on (array of call ids), content. ``results``: conv_id, turn,
     call_id, content. Messages take the level of their turn: null.
     """
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "depends_on", "content")
     calls = written(calls.withColumn("node", _node("call_id")), "calls")
+    results = results.select("conv_id", "turn", "call_id", "content")
     results = written(results.withColumn("node", _node("call_id")), "results")
     known = written(
         calls.where("node IS NOT NULL").groupBy("node").agg(F.min("turn").alias("first_turn")), "known-calls"

@@ -1,6 +1,6 @@
 """Near-duplicate vectors by an inverted multi-index, every link verified in double precision.
 
-1. Unit vectors that are equal bit by bit become one class, which counts once from here on.
+1. Vectors that are equal bit by bit become one class, which counts once from here on.
 2. Each half of the vectors has a codebook of its own, fitted by k-means on about
    FIT_VECTORS classes chosen by hash. The two nearest centroids name a class's cell in the
    product grid; the number of centroids follows the number of classes, so that a cell
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratingloom.llm.common import lookup_join, quoted, written
 from ratingloom.llm.components import components
@@ -45,40 +46,46 @@ MEMBER_BLOCK, VISITOR_BLOCK = 2048, 8192  # classes that meet in one task
 SLICE = 512  # visitors that are compared with a block of members at once
 
 
-def _decoded(vectors: list[bytes], length: int) -> np.ndarray:
-    """Unit vectors as rows, shorter ones filled up with zeros."""
+def _decoded(vectors: list[bytes], length: int, kind: str) -> np.ndarray:
+    """Unit vectors as rows, in doubles, shorter ones filled up with zeros."""
     rows = np.zeros((len(vectors), length))
     for row, held in zip(rows, vectors):
-        values = np.frombuffer(held, dtype=np.float64)
+        values = np.frombuffer(held, dtype=kind)
         row[: len(values)] = values
-    return rows
+    rows /= np.abs(rows).max(axis=1, keepdims=True)  # else squares of tiny or huge components leave the doubles
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def signed(vectors: DataFrame, vector_id: str, embedding: str) -> DataFrame:
-    """vec_id, vec_key (null if the vector cannot link) and the unit vector's bytes."""
+def signed(vectors: DataFrame, vector_id: str, embedding: str) -> tuple[DataFrame, str]:
+    """vec_id, vec_key (null if the vector cannot link) and the vector's bytes; how the bytes are to be read.
+
+    The bytes are those of the table: floats stay floats, anything else becomes doubles.
+    """
     id_type = vectors.schema[vector_id].dataType.simpleString()
+    held_type = vectors.schema[embedding].dataType
+    floats = isinstance(held_type, T.ArrayType) and isinstance(held_type.elementType, T.FloatType)
+    kind = "float32" if floats else "float64"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, units = [], []
+            keys, held = [], []
             for value in batch.column(1):
-                key = unit = None
+                key = body = None
                 if value.is_valid and len(value) and not value.values.null_count:
                     raw = value.values.to_numpy(zero_copy_only=False)
-                    largest = np.abs(raw).max()
-                    if np.isfinite(raw).all() and largest > 0:
-                        scaled = raw / largest  # else tiny or huge components would leave the doubles
-                        unit = (scaled / np.sqrt(scaled @ scaled)).tobytes()
-                        key = blake2b(raw.tobytes(), digest_size=16).digest()
+                    if np.isfinite(raw).all() and raw.any():
+                        body = raw.tobytes()
+                        key = blake2b(body, digest_size=16).digest()
                 keys.append(key)
-                units.append(unit)
+                held.append(body)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(units, pa.binary())],
-                ["vec_id", "vec_key", "unit"],
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array(held, pa.binary())],
+                ["vec_id", "vec_key", "vec"],
             )
 
-    rows = vectors.select(quoted(vector_id).alias("vec_id"), quoted(embedding).cast("array<double>").alias("vec"))
-    return rows.mapInArrow(sign, f"vec_id {id_type}, vec_key binary, unit binary")
+    listed = quoted(embedding) if floats else quoted(embedding).cast("array<double>")
+    rows = vectors.select(quoted(vector_id).alias("vec_id"), listed.alias("vec"))
+    return rows.mapInArrow(sign, f"vec_id {id_type}, vec_key binary, vec binary"), kind
 
 
 @dataclass
@@ -87,8 +94,12 @@ class Grid:
 
     codebooks: tuple[np.ndarray, np.ndarray]
     length: int
+    kind: str = "float64"
     reach: float = 0.0
 
+    def rows(self, vectors: list[bytes]) -> np.ndarray:
+        return _decoded(vectors, self.length, self.kind)
+
     def excess(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per half and centroid: the squared distance less that of the nearest centroid."""
         cut, found = self.length // 2, []
@@ -155,9 +166,9 @@ def _turned(rows: np.ndarray, cosine: float, random: np.random.Generator) -> np.
 
 
 def _sampled(classes: DataFrame, share: float, salt: int) -> list[bytes]:
-    """Unit vectors of a share of the classes, chosen by hash."""
+    """Vectors of a share of the classes, chosen by hash."""
     chosen = F.pmod(F.xxhash64("vec_key", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    return [bytes(r.unit) for r in classes.where(chosen).orderBy("vec_key").select("unit").collect()]
+    return [bytes(r.vec) for r in classes.where(chosen).orderBy("vec_key").select("vec").collect()]
 
 
 def real_distances(classes: DataFrame, grid: Grid, probes: np.ndarray, cosine: float) -> np.ndarray:
@@ -171,7 +182,7 @@ def real_distances(classes: DataFrame, grid: Grid, probes: np.ndarray, cosine: f
         farthest = np.full(len(probes), -1.0)
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
-                rows = _decoded([u.as_py() for u in batch.column(0).slice(at, SLICE)], grid.length)
+                rows = grid.rows(batch.column(0).slice(at, SLICE).to_pylist())
                 p, r = np.nonzero(probes @ rows.T >= cosine)
                 if len(p):
                     there = grid.distance(probes[p], grid.cells(rows)[r])
@@ -180,28 +191,29 @@ def real_distances(classes: DataFrame, grid: Grid, probes: np.ndarray, cosine: f
         seen = np.flatnonzero(farthest >= 0)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(farthest[seen])], ["probe", "far"])
 
-    found = classes.select("unit").mapInArrow(measure, "probe long, far double")
+    found = classes.select("vec").mapInArrow(measure, "probe long, far double")
     rows = found.groupBy("probe").agg(F.max("far").alias("far")).collect()
     return np.array([r.far for r in rows])
 
 
-def fit(classes: DataFrame, cosine: float, target: float) -> Grid | None:
+def fit(classes: DataFrame, kind: str, cosine: float, target: float) -> Grid | None:
     """The grid, calibrated for the target recall; None for an empty table."""
-    n, longest = classes.agg(F.count("*"), F.max(F.octet_length("unit"))).first()
+    n, longest = classes.agg(F.count("*"), F.max(F.octet_length("vec"))).first()
     if not n:
         return None
-    length = longest // 8
-    sample = _decoded(_sampled(classes, FIT_VECTORS / n, 1), length)
-    sample = sample if len(sample) else _decoded([bytes(classes.first().unit)], length)
+    length = longest // np.dtype(kind).itemsize
+    sample = _sampled(classes, FIT_VECTORS / n, 1) or [bytes(classes.first().vec)]
+    sample = _decoded(sample, length, kind)
     size = int(np.clip(np.sqrt(n / CELL_VECTORS), 1, min(MOST_CENTROIDS, len(sample))))
     random, cut = np.random.default_rng(13), length // 2
-    grid = Grid((_codebook(sample[:, :cut], size, random), _codebook(sample[:, cut:], size, random)), length)
+    books = (_codebook(sample[:, :cut], size, random), _codebook(sample[:, cut:], size, random))
+    grid = Grid(books, length, kind)
     turned = _turned(sample, cosine, random)
-    made = grid.distance(sample, grid.cells(turned))
-    probes = _decoded(_sampled(classes, PROBED_VECTORS / n, 2), length)
-    real = real_distances(classes, grid, probes, cosine) if len(probes) else np.zeros(0)
-    wanted = [np.quantile(far, target) for far in (made, real) if len(far)]
-    grid.reach = float(max(wanted)) + 1e-9
+    # A link is found from either side: the shorter of both walks counts.
+    made = np.minimum(grid.distance(sample, grid.cells(turned)), grid.distance(turned, grid.cells(sample)))
+    probes = _sampled(classes, PROBED_VECTORS / n, 2)
+    real = real_distances(classes, grid, grid.rows(probes), cosine) if probes else np.zeros(0)
+    grid.reach = float(max(np.quantile(far, target) for far in (made, real) if len(far))) + 1e-9
     return grid
 
 
@@ -223,17 +235,17 @@ def _forest(edges: np.ndarray) -> np.ndarray:
     return edges[kept]
 
 
-def block_links(members: pa.Table, visitors: pa.Table, length: int, cosine: float):
+def block_links(members: pa.Table, visitors: pa.Table, grid: Grid, cosine: float):
     """Links of each class that the block counts, and forest edges, both by vec_key.
 
     A visitor counts all its links with members. A member counts a link if its own walk
     does not reach the visitor's cell, where the link would be found from its side.
     """
     m_keys, v_keys = members["vec_key"].to_pylist(), visitors["vec_key"].to_pylist()
-    m_units, v_units = members["unit"].to_pylist(), visitors["unit"].to_pylist()
-    m_rows, m_len = _decoded(m_units, length), np.array([len(u) for u in m_units])
+    m_vecs, v_vecs = members["vec"].to_pylist(), visitors["vec"].to_pylist()
+    m_rows, m_len = grid.rows(m_vecs), np.array([len(v) for v in m_vecs])
     m_held, v_held = members["held"].to_numpy(), visitors["held"].to_numpy()
-    v_len, v_cell = np.array([len(u) for u in v_units]), visitors["own"].to_numpy()
+    v_len, v_cell = np.array([len(v) for v in v_vecs]), visitors["own"].to_numpy()
     walks = members["walk"].to_pylist()
     # One number per (member, cell of its walk), in order.
     span = 1 + max(int(v_cell.max()), *(max(w) for w in walks))
@@ -243,7 +255,7 @@ def block_links(members: pa.Table, visitors: pa.Table, length: int, cosine: floa
     edges = []
     for at in range(0, len(v_keys), SLICE):
         part = slice(at, min(at + SLICE, len(v_keys)))
-        near = _decoded(v_units[part], length) @ m_rows.T >= cosine
+        near = grid.rows(v_vecs[part]) @ m_rows.T >= cosine
         near &= v_len[part, None] == m_len[None]
         for i, key in enumerate(v_keys[part]):
             if key in place:
@@ -274,16 +286,15 @@ def links(classes: DataFrame, grid: Grid, cosine: float) -> tuple[DataFrame, Dat
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                rows = _decoded(part.column(2).to_pylist(), grid.length)
-                walks = grid.visited(rows)
+                walks = grid.visited(grid.rows(part.column(2).to_pylist()))
                 own = [w[0] for w in walks]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(own, pa.int64()), pa.array(walks, pa.list_(pa.int64()))],
                     [*part.schema.names, "own", "walk"],
                 )
 
-    walked = classes.select("vec_key", "held", "unit").mapInArrow(
-        walk, "vec_key binary, held long, unit binary, own long, walk array<long>"
+    walked = classes.select("vec_key", "held", "vec").mapInArrow(
+        walk, "vec_key binary, held long, vec binary, own long, walk array<long>"
     )
     walked = written(walked, "walks")
     visits = walked.select(F.explode("walk").alias("cell"))
@@ -298,24 +309,24 @@ def links(classes: DataFrame, grid: Grid, cosine: float) -> tuple[DataFrame, Dat
         ),
         "cells",
     )
-    visiting = walked.select("vec_key", "held", "unit", "own", F.explode("walk").alias("cell"))
+    visiting = walked.select("vec_key", "held", "vec", "own", F.explode("walk").alias("cell"))
     visitors = (
         lookup_join(visiting, cells, "cell", "vec_key", how="inner")
         .withColumn("v", F.pmod(F.xxhash64("vec_key", F.lit(3)), F.col("v_blocks")))
         .withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1)))
-        .select("cell", "m", "v", "vec_key", "held", "unit", "own")
+        .select("cell", "m", "v", "vec_key", "held", "vec", "own")
     )
     members = (
         lookup_join(walked.withColumn("cell", F.col("own")), cells, "cell", "vec_key", how="inner")
         .withColumn("m", F.pmod(F.xxhash64("vec_key", F.lit(4)), F.col("m_blocks")))
         .withColumn("v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("v_blocks") - 1)))
-        .select("cell", "m", "v", "vec_key", "held", "unit", "walk")
+        .select("cell", "m", "v", "vec_key", "held", "vec", "walk")
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         counted, joined = [], []
         if len(left) and len(right):
-            counted, joined = block_links(left, right, grid.length, cosine)
+            counted, joined = block_links(left, right, grid, cosine)
         u = [k for k, _ in counted] + [a for a, _ in joined]
         v = [None] * len(counted) + [b for _, b in joined]
         n = [x for _, x in counted] + [None] * len(joined)
@@ -339,15 +350,16 @@ def near_vectors(
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
-    ``target``: share of the links at the wanted cosine that the walks must reach from one
-    side; from both sides together they reach more.
+    ``target``: share of the links at exactly the wanted cosine that the walks must find;
+    closer links are found more often.
     """
-    rows = written(signed(vectors, vector_id, embedding), "vectors")
+    signed_rows, kind = signed(vectors, vector_id, embedding)
+    rows = written(signed_rows, "vectors")
     classes = rows.where("vec_key IS NOT NULL").groupBy("vec_key").agg(
-        F.count("*").alias("held"), F.min("vec_id").alias("least_id"), F.first("unit").alias("unit")
+        F.count("*").alias("held"), F.min("vec_id").alias("least_id"), F.first("vec").alias("vec")
     )
     classes = written(classes, "vector-classes")
-    grid = fit(classes, cosine, target)
+    grid = fit(classes, kind, cosine, target)
     labelled = classes.select("vec_key", "held", "least_id")
     if grid is None:
         labelled = labelled.select("*", F.lit(0).cast("long").alias("links"), F.col("vec_key").alias("component"))

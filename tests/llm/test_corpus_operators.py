@@ -233,7 +233,7 @@ def test_dense_cell_is_dealt_over_blocks(spark, monkeypatch):
 def test_walk_is_in_order_and_complete():
     random = np.random.default_rng(5)
     rows = random.normal(size=(20, 8))
-    grid = vectors.Grid((random.normal(size=(7, 4)), random.normal(size=(7, 4))), 8, 4.0)
+    grid = vectors.Grid((random.normal(size=(7, 4)), random.normal(size=(7, 4))), 8, reach=4.0)
     first, second = grid.excess(rows)
     for i, walk in enumerate(grid.visited(rows)):
         far = first[i][:, None] + second[i][None]
@@ -241,5 +241,13 @@ def test_walk_is_in_order_and_complete():
         assert (np.diff(far.ravel()[walk]) >= 0).all()
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(9,6)", "int"])
+def test_vectors_of_other_types(spark, kind):
+    rows = [(1, [100.0, 20.0]), (2, [101.0, 20.0]), (3, [-7.0, 1.0]), (4, [200.0, 40.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    docs = docs.withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    assert Counter(tuple(r) for r in vectors.near_vectors(docs).collect()) == brute_vectors(rows)
+
+
 def test_no_vectors(spark):
     assert vectors.near_vectors(spark.createDataFrame([], VECTORS)).collect() == []

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables, clashing names: every operator."""
 
+import json
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +96,68 @@ def test_toolchat_odd(spark):
     assert none.collect() == []
 
 
+STRICT = [
+    ('{"n":"\\ud800"}', "not JSON"),
+    ("[" * 100_000, "not JSON"),
+    ('{"n":NaN}', "not JSON"),
+    ('{"n":-Infinity}', "not JSON"),
+    ('{"n":1e400}', "not JSON"),
+    ('{"n":1,"n":2}', "not JSON"),
+    ('{"n":' + "9" * 5000 + "}", "not JSON"),
+    ('{"n":1.0}', ""),
+    ('{"n":true}', "n is not integer"),
+    ('{"n":1,"o":{"p":1,"p":1}}', "not JSON"),
+]
+NESTED = {
+    "type": "object",
+    "properties": {
+        "a": {
+            "type": "object",
+            "properties": {"b": {"type": "array", "items": {"type": "integer", "minimum": 1}}},
+            "required": ["b"],
+        },
+        "k": {"enum": ["x", "y", 1]},
+        "z": {"type": ["string", "null"]},
+    },
+    "additionalProperties": False,
+}
+RULES = [
+    ('{"a":{"b":[1,2]},"k":"x","z":null}', ""),
+    ('{"a":{"b":[1,0,"q"]},"k":"w","v":1}', 'a.b[1] is below 1; a.b[2] is not integer; k is not one of ["x","y",1]; unexpected v'),
+    ('{"a":{}}', "missing a.b"),
+    ('{"a":[],"z":1}', "a is not object; z is not string or null"),
+]
+
+
+def test_arguments_are_strict_json_of_any_size(spark):
+    """Broken Unicode, depth, NaN, repeated keys, nested rules, long texts and clashing columns."""
+    cases = [(k, "f", a, e) for k, (a, e) in enumerate(STRICT)]
+    cases += [(100 + k, "g", a, e) for k, (a, e) in enumerate(RULES)]
+    cases.append((200, "h", json.dumps({"t": "\u00e9" * 300_000}), ""))
+    calls = spark.createDataFrame(
+        [(1, k, f"c{k}", name, a, [], None) for k, name, a, _ in cases],
+        "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>, content string",
+    )
+    clash = [F.lit(c).alias(c) for c in ("level", "node", "answered", "first_turn", "status", "kind", "json", "role")]
+    results = calls.selectExpr("conv_id", "turn", "call_id", "content")
+    messages = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, content string")
+    schemas = {"f": {"n": ("integer", True)}, "g": NESTED, "h": {"t": ("string", True)}}
+    found = toolchat.format_messages(
+        messages.select("*", *clash[:-1]), calls.select("*", *clash), results.select("*", *clash), schemas
+    ).collect()
+    errors = {r.turn: r.arguments_error for r in found if r.kind == "call"}
+    assert errors == {k: e for k, _, _, e in cases}
+    for r in found:
+        json.loads(r.json, parse_constant=lambda _: pytest.fail("no JSON"))
+        r.json.encode()
+
+
+def test_clean_documents_with_clashing_columns(spark, odd_docs):
+    docs = odd_docs.select("*", *[F.lit(n).alias(n) for n in ("doc_key_hit", "hit_key", "hit_id", "gone_key_id", "gone_id")])
+    assert decontaminate.clean_documents(docs, bench(spark)).columns == docs.columns
+    assert minhash.keep_one(docs).columns == docs.columns
+
+
 def test_toolchat_long_chain(spark):
     calls = spark.range(12).selectExpr(
         "1L AS conv_id", "12 - id AS turn", "concat('c', id) AS call_id", "'f' AS name", "'{}' AS arguments",

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import struct
@@ -97,6 +98,31 @@ def test_minhash_equals_brute_force(spark, sf_dir, rows):
         assert r.kept == (r.component_id == r.doc_id)
 
 
+def test_long_words_with_equal_polynomials_are_told_apart(spark):
+    """1,024 bytes in Thue-Morse order and its complement have one value modulo 2^64, whatever the base."""
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    other = morse.translate(str.maketrans("ab", "ba"))
+    found = minhash.near_duplicates(spark.createDataFrame([(1, morse), (2, other)], "doc_id long, text string"))
+    assert all(r.kept for r in found.collect())
+
+
+def test_one_row_stays_of_each_component(spark):
+    """Ids that repeat or are null; rows without words are no component."""
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join(words[:58] + [f"x{k}"]) for k in range(3)]
+    far = " ".join(f"f{k}" for k in range(40))
+    for ids in ([5, 5, 5], [None, None, None], [None, 5, 5], [9, 5, None]):
+        rows = [(i, t) for i, t in zip(ids, near)] + [(ids[1], near[1])] * 4 + [(1, None), (1, ""), (1, "")]
+        rows += [(ids[0], far), (ids[0], far), (2, "short one")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone_id", F.lit("x"))
+        found = sorted(((r.doc_id, r.text) for r in minhash.keep_one(docs).collect()), key=repr)
+        kept = [r for r in found if r[1] in near]
+        known = [i for i in ids if i is not None]
+        assert len(kept) == 1 and kept[0][0] == (min(known) if known else None)
+        assert [r for r in found if r[1] == far] == [(ids[0], far)]
+        assert [r for r in found if r[1] in ("", None, "short one")] == sorted([(1, None), (1, ""), (1, ""), (2, "short one")], key=repr)
+
+
 def test_minhash_of_a_large_group(spark):
     """Copies of one text with more and more words replaced: hubs, leftovers and cells."""
     base = [f"w{k}" for k in range(120)]
@@ -234,9 +260,8 @@ def test_windows_and_fingerprints(spark):
     draw = random.Random(8)
     texts = [(k, "\n".join(numbered_line(f"l{draw.randrange(9)}", draw.choice((1, 3, 8, 25))) for _ in range(60))) for k in range(20)]
     units = linededup.line_units(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
-    ahead = units.select("units", linededup.windows(F.col("units"), 20).alias("ahead"))
-    marks = linededup.fingerprints(F.col("units"), F.col("ahead"), 20)
-    for r in ahead.select("*", marks.alias("marks")).collect():
+    ahead = units.select("doc_id", "units", linededup.windows(F.col("units"), 20).alias("ahead"))
+    for r in ahead.join(linededup.fingerprints(units, 20).select("doc_id", "marks"), "doc_id").collect():
         wanted = {}
         for i in range(len(r.units)):
             n, held = 0, 0
@@ -271,7 +296,7 @@ def test_classifier_counts_every_document(spark):
 
     texts = [(k, f"text {k} of many, {'!' * (k % 7)} {k * k}" if k % 3 else "the same words. " * 9) for k in range(3000)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")
-    model = pu.fit(docs, docs.where("doc_id < 900").select("doc_id"), positives=300, unlabelled=300)
+    model = pu.fit(docs, docs.where("doc_id < 900").select("doc_id"), positives=300)
     every = np.array([pu.features(t) for _, t in texts]).astype(float)
     assert np.allclose(model.mean, every.mean(axis=0), atol=1e-6)
     assert np.allclose(model.scale, every.std(axis=0) + 1e-3, atol=1e-4)
@@ -298,6 +323,62 @@ def test_shards_of_a_hot_text_and_many_pieces(spark):
     assert per.b.max() - per.b.min() < 0.01 * per.b.mean()
 
 
+@pytest.mark.parametrize("doc_id", ["7L", "CAST(NULL AS BIGINT)"])
+def test_shards_of_equal_rows(spark, doc_id):
+    """A third of the rows are one row: the law holds, and each copy has a place of its own."""
+    df = spark.range(0, 30_000, 1, 6).selectExpr(
+        f"if(id % 3 = 0, {doc_id}, id) AS doc_id", "if(id % 3 = 0, repeat('hot ', 20), concat('text ', id)) AS text"
+    )
+    found = sharding.shard(df, 6, carry=["doc_id"]).toPandas()
+    per = found.groupby("shard").agg(n=("slot", "size"), slots=("slot", "nunique"), last=("slot", "max"), b=("size", "sum"))
+    assert len(found) == 30_000 and (per.n == per.slots).all() and (per["last"] == per.n - 1).all()
+    assert len(per) == 6 and per.b.max() - per.b.min() < 0.01 * per.b.mean()
+
+
+def test_no_language_is_lost(spark):
+    """Texts beyond the bound are cut, copies count once, and each language keeps a text at least."""
+    rows = [("the quick brown fox and the dog " * 50, "en")] * 3
+    rows += [(f"der schnelle braune fuchs und der hund {k} " * 4000, "de") for k in range(2)]
+    rows += [("le renard brun et le chien " * 40, "fr")] * 500 + [("el zorro y el perro " * 40, "es")]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample_bytes=5000)
+    assert model.languages == ["de", "en", "es", "fr"]
+    assert model.predict(["der hund und der fuchs", "the dog and the fox"])[0] == ["de", "en"]
+
+
+def brute_bits(texts, text):
+    """PPM C with frozen counts, context by context, in plain Python."""
+    order = langid.ORDER
+    counts = [collections.defaultdict(collections.Counter) for _ in range(order + 1)]
+    for t in texts:
+        data = b"\n" * order + t.encode().lower()
+        for at in range(order, len(data)):
+            for k in range(order + 1):
+                counts[k][data[at - k : at]][data[at]] += 1
+    data, total = b"\n" * order + text.encode().lower(), 0.0
+    for at in range(order, len(data)):
+        for k in range(order, -1, -1):
+            seen = counts[k].get(data[at - k : at])
+            if not seen:
+                continue
+            n, kinds = sum(seen.values()), len(seen)
+            if data[at] in seen:
+                total -= math.log2(seen[data[at]] / (n + kinds))
+                break
+            total -= math.log2(kinds / (n + kinds))
+        else:
+            total += 8
+    return total
+
+
+def test_code_lengths_equal_brute_force(spark):
+    texts = {"en": ["the quick brown fox", "and the lazy dog, the end"], "de": ["der schnelle fuchs", "und ein hund"]}
+    rows = [(t, lang) for lang, listed in texts.items() for t in listed]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    for text in ("the fox", "der Hund", "zzz 123", "x", "quick und fast, the schnelle dog"):
+        found = model.text_bits([langid._bytes(text)])[0]
+        assert found == pytest.approx([brute_bits(texts[name], text) for name in model.languages], rel=1e-5)
+
+
 def test_language_of_held_out_texts(spark, sf_dir, rows):
     truth = {i: lang for i, _, lang in rows}
     found = QUERIES["op3_language_id"](spark, sf_dir).collect()
@@ -342,6 +423,33 @@ def test_quality_of_held_out_labels(spark, sf_dir):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
 
 
+def test_risk_equals_its_definition():
+    """Value, slope and curvature of the non-negative risk against plain Python and differences."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    p, u, theta, prior = rng.normal(1, 1, (30, 3)), rng.normal(0, 1, (50, 3)), rng.normal(size=4), 0.3
+
+    def risk(theta):
+        loss = lambda x, sign: math.log1p(math.exp(-sign * (sum(a * b for a, b in zip(x, theta)) + theta[3])))
+        as_negative = sum(loss(x, -1) for x in u) / len(u) - prior * sum(loss(x, -1) for x in p) / len(p)
+        ridge = pu.RIDGE / len(p) * sum(t * t for t in theta[:3]) / 2 + 1e-9 * theta[3] ** 2 / 2
+        return prior * sum(loss(x, 1) for x in p) / len(p) + max(0, as_negative) + ridge, as_negative
+
+    sums = lambda measure, _: measure(u[:20]) + measure(u[20:])
+    at = pu.risk_at(theta, sums, p, prior, prior)
+    assert np.allclose((at.risk, at.negative), risk(theta)) and at.negative > 0
+    ahead = [pu.risk_at(theta + 1e-5 * np.eye(4)[k], sums, p, prior, prior) for k in range(4)]
+    assert np.allclose([(a.risk - at.risk) / 1e-5 for a in ahead], at.slope, atol=1e-4)
+    assert np.allclose([(a.slope - at.slope) / 1e-5 for a in ahead], at.curve, atol=1e-4)
+    best = pu.risk_at(pu.minimise(sums, p, prior, prior), sums, p, prior, prior)
+    assert best.negative >= 0
+    for _ in range(200):
+        other = best.theta + rng.normal(size=4) * rng.choice([0.01, 0.1, 1])
+        value, as_negative = risk(other)
+        assert as_negative < 0 or value >= best.risk - 1e-4
+
+
 def test_prior_is_near_the_truth():
     import numpy as np
 
@@ -387,6 +495,28 @@ def test_bad_hosts_are_blocked(spark):
     assert found[900].lower_bound > found[901].lower_bound and found[902].host == ""
 
 
+def test_reputation_decides_in_the_query(spark):
+    """Pages without a rule are blocked by their hosts' bounds, and only on the bad hosts."""
+    judged = QUERIES["op4_url_filters"](spark, "/root/testdata/sf0.1").where("rule IS NULL")
+    blocked = {r.host for r in judged.where("verdict = 'block'").collect()}
+    assert len(blocked) >= 2 and all(any(w in host for w in ("casino", "spam", "pills", "adult")) for host in blocked)
+    by = judged.groupBy("verdict").agg(F.min("lower_bound"), F.max("lower_bound")).collect()
+    low = {r[0]: (r[1], r[2]) for r in by}
+    assert low["block"][0] > low["allow"][1]
+
+
+def test_domains_of_ports_addresses_and_listed_suffixes(spark):
+    hosts = ["a.b.co.uk", "b.co.uk:8080", "co.uk", "10.0.0.1", "10.0.0.1:80", "[::1]:80", "x.y.com:8080", "com", "", "a.org."]
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    found = df.select(
+        reputation.host_domain(F.col("h"), ["co.uk", "uk"]), reputation.host_suffix(F.col("h"), ["co.uk", "uk"])
+    ).collect()
+    assert [tuple(r) for r in found] == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("10.0.0.1", "10.0.0.1"), ("10.0.0.1", "10.0.0.1"),
+        ("[::1]", "[::1]"), ("y.com", "com"), ("com", "com"), ("", ""), ("org.", ""),
+    ]
+
+
 def test_rules_before_reputation(spark):
     rules = [reputation.UrlRule("net", "/", "block"), reputation.UrlRule("example.net", "/en/", "allow")]
     urls = ["HTTP://A.Example.NET/en/1?q", "http://x.net", "http://x.net/", "http://xnet/", "a://b://c", None]
