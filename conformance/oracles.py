@@ -272,6 +272,8 @@ ORACLES: dict[str, str] = {
         "select cast(appid as int) appid, " + ", ".join(list(RAW_COLUMNS)[1:]) + " from raw"
     ),
     "curated_roundtrip": _games(CLEAN),
+    "curated_increment": _games(CLEAN),
+    "tag_votes_bucketed": _votes("select * from tag_votes"),
     "result_csv_roundtrip": _games(YEARLY),
     "summary_json_roundtrip": _summary("select * from summary"),
     "clean_catalog": _games(CLEAN),

@@ -28,7 +28,7 @@ from ratingloom.operators.reshape import (
     unpivot_votes,
     wide_vote_totals,
 )
-from ratingloom.plans import full_run, sql_reports
+from ratingloom.plans import full_run, incremental, sql_reports
 from ratingloom.plans import presentation as P
 from ratingloom.plans import reports as R
 from ratingloom.plans import summary as S
@@ -133,6 +133,25 @@ def curated_roundtrip(spark, sf_dir):
     return readers.read_curated(spark, path).select(*CLEAN_COLUMNS)
 
 
+@query("curated_increment")
+def curated_increment(spark, sf_dir):
+    """A table of some rows, to which the others come: new keys, and copies that win over held ones."""
+    path = scratch_path(spark, "curated")
+    raw = B.raw_catalog(spark, sf_dir)
+    first = "ver = 2 OR (appid % 3 != 0 AND appid % 20 != 0)"
+    writers.write_curated(clean_catalog(raw.where(first), order=["ver"]), path)
+    incremental.add_raw(spark, raw.where(f"NOT ({first})"), path, ["ver"])
+    return readers.read_curated(spark, path).select(*CLEAN_COLUMNS)
+
+
+@query("tag_votes_bucketed")
+def tag_votes_bucketed(spark, sf_dir):
+    """Votes and ratings from a table that is laid out by item."""
+    path = scratch_path(spark, "ratings")
+    writers.write_bucketed(B.games(spark, sf_dir).select("appid", "rating_pct"), path, buckets=8)
+    return rated_votes(B.wide_votes(spark, sf_dir), readers.read_bucketed(spark, path))
+
+
 @query("result_csv_roundtrip")
 def result_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "result")

@@ -110,25 +110,41 @@ class Publication:
     def publish(self, rows: Mapping[str, Mapping[str, int]]) -> None:
         """Swap every target. ``rows``: of each target the rows of its tables, by relative path."""
         for target, path in self.staged.items():
-            files = self.files.listing(path)
-            tables = {name: {"rows": n} for name, n in sorted(rows.get(target, {}).items())}
-            text = json.dumps({"run": self.run, "tables": tables, "files": files}, indent=1)
-            self.files.write(f"{path}/{MANIFEST}", text)
-        journal = _beside(self.targets[0], "journal")
-        self.files.write(journal, json.dumps([[path, target] for target, path in self.staged.items()]))
-        _carry_out(self.files, journal)
+            self.files.write(f"{path}/{MANIFEST}", manifest_text(self.run, rows.get(target, {}), self.files.listing(path)))
+        swap(self.files, self.targets[0], {target: path for target, path in self.staged.items()}, {})
+
+
+def manifest_text(run: str, rows: Mapping[str, int], files: Mapping[str, int]) -> str:
+    tables = {name: {"rows": n} for name, n in sorted(rows.items())}
+    return json.dumps({"run": run, "tables": tables, "files": dict(sorted(files.items()))}, indent=1)
+
+
+def swap(files: Files, first: str, moves: Mapping[str, str | None], texts: Mapping[str, str]) -> None:
+    """Replace each target folder by its staged one (None: remove it), then write small files.
+
+    All or nothing, by a journal beside the folder ``first``: an ended swap is completed by
+    ``recover`` with that folder.
+    """
+    journal = _beside(first, "journal")
+    listed = [[staged, target] for target, staged in moves.items()]
+    files.write(journal, json.dumps({"moves": listed, "texts": list(texts.items())}))
+    _carry_out(files, journal)
 
 
 def _carry_out(files: Files, journal: str) -> None:
-    """Every move of a journal, from wherever an earlier attempt was ended."""
-    for staged, target in json.loads(files.read(journal)):
+    """Every step of a journal, from wherever an earlier attempt was ended."""
+    steps = json.loads(files.read(journal))
+    for staged, target in steps["moves"]:
         old = _beside(target, "old")
-        if files.exists(staged):
+        if staged is None or files.exists(staged):
             if files.exists(target):
                 files.delete(old)
                 files.rename(target, old)
-            files.rename(staged, target)
+            if staged is not None:
+                files.rename(staged, target)
         files.delete(old)
+    for path, text in steps["texts"]:
+        files.write(path, text)
     files.delete(journal)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.defaults import CATALOG_SCHEMA, DATE_FORMAT
+from ratingloom.sources.publish import Files
 from ratingloom.sources.workspace import default_file_system, require_disjoint
+from ratingloom.sources.writers import LAYOUT, bucketed_name
 
 
 def _csv_options(multi_line: bool) -> dict[str, object]:
@@ -83,6 +86,22 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``writers.write_bucketed`` with its layout, in this or a later session."""
+    layout = json.loads(Files(spark).read(f"{path}/{LAYOUT}"))
+    name, key = bucketed_name(path), f"`{layout['key']}`"
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(layout["schema"]))
+    )
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    location = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {layout['buckets']} BUCKETS LOCATION '{location}'"
+    )
+    return spark.table(name)
+
+
 def read_result(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ WRITES = {
     "land_raw", "read_catalog_csv", "read_wide_votes", "curated_roundtrip", "result_csv_roundtrip",
     "summary_json_roundtrip", "top_n_of_result", "full_run_reports", "rerun_idempotent",
     "read_catalog_reordered", "read_votes_folder", "full_run_contents", "run_checks",
-    "full_run_repeated_votes", "run_manifest",
+    "full_run_repeated_votes", "run_manifest", "curated_increment", "tag_votes_bucketed",
 }
 
 
