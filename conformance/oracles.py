@@ -103,6 +103,12 @@ def _repeated_votes(body: str) -> str:
     return f"with {RAW},{GAMES},{VOTES},{REPEATED_VOTES}\n{body}"
 
 
+# Of the untyped catalogue the cells with text that is no number or date; a reader of CSV takes
+# Java's type suffixes for numbers.
+_BAD_CELLS = f"""select cast(appid as int) appid, "column", text from (
+    select appid, 'price' as "column", {UNTYPED_COLUMNS['price']} as text from raw where appid % 50 = 0
+    union all select appid, 'release_date', {UNTYPED_COLUMNS['release_date']} from raw where appid % 40 = 0)"""
+
 CLEAN = """select appid, name, release_date, developer, publisher, platforms, categories, genres,
   community_tags, positive_ratings, negative_ratings, owners, price, total_reviews, rating_pct,
   wilson_score, release_year, price_band, owner_lower, owner_upper, owner_midpoint,
@@ -529,6 +535,10 @@ ORACLES: dict[str, str] = {
         'lower_bound_holds', 'group_total', 'label_domain', 'label_order']) as "check",
       cast(0 as bigint) violations, true passed""",
     "full_run_reports": _run("select * from counts"),
+    "rejected_cells": _raw(f"select * from ({_BAD_CELLS})"),
+    "full_run_audit": _raw(
+        f'select "column", count(*) cells, count(*) listed from ({_BAD_CELLS}) group by "column"'
+    ),
     "run_manifest": _run(
         """select report, "rows", true as whole from counts
         union all select 'curated', count(*), true from games"""

@@ -701,6 +701,35 @@ def full_run_repeated_votes(spark, sf_dir):
     )
 
 
+def untyped_file(spark: SparkSession, sf_dir: str) -> str:
+    """The catalogue with cells that are no number or date."""
+    path = scratch_path(spark, "untyped-csv")
+    raw = B.raw_catalog(spark, sf_dir)
+    cells = raw.selectExpr(
+        *[f"{B.UNTYPED_COLUMNS[c]} as {c}" if c in B.UNTYPED_COLUMNS else c for c in raw.columns if c != "ver"]
+    )
+    writers.write_catalog_csv(cells, path)
+    return path
+
+
+@query("rejected_cells")
+def rejected_cells(spark, sf_dir):
+    """Cells that have text and no value, with their raw line."""
+    audited = readers.read_audited(spark, untyped_file(spark, sf_dir))
+    cells = readers.rejected_cells(audited)
+    return cells.select(F.regexp_extract("line", "^([0-9]+)", 1).cast("int").alias("appid"), "column", "text")
+
+
+@query("full_run_audit")
+def full_run_audit(spark, sf_dir):
+    """The bad cells that a run counts by column, and those that it lists."""
+    curated, output = scratch_path(spark, "curated"), scratch_path(spark, "results")
+    written = full_run.run_all(spark, untyped_file(spark, sf_dir), curated, output, thresholds=T, audit=True)
+    counts = readers.read_result(spark, written["bad_cells"], "column STRING, cells BIGINT")
+    listed = spark.read.parquet(written["rejects"]).groupBy("column").agg(F.count("*").alias("listed"))
+    return counts.join(listed, "column", "left")
+
+
 @query("run_manifest")
 def run_manifest(spark, sf_dir):
     catalog, votes = catalog_file(spark, sf_dir), votes_file(spark, sf_dir)

@@ -82,6 +82,7 @@ def run_all(
     sort_unrounded: bool = False,
     unique_votes: bool | None = None,
     at_once: int = 4,
+    audit: bool = False,
 ) -> dict[str, str]:
     """Clean, curate and report; returns the path of each written result.
 
@@ -93,14 +94,17 @@ def run_all(
     list, its filters and the year partitions prune the scan; a shared cache would
     read everything. ``at_once`` reports run side by side. Without a tag file the tag
     report is left out. ``unique_votes``: whether items have one row in the vote matrix
-    each; None finds out.
+    each; None finds out. ``audit`` adds two results: ``bad_cells``, the cells that have text but
+    no value, counted by column in the same pass, and ``rejects``, a table of them with file
+    and raw line, for which the raw file is read again only if there are any.
     """
     inputs = [path for path in (catalog_path, tags_path) if path]
     require_disjoint(inputs, [curated_path, output_path], default_file_system(spark))
     t = thresholds or Thresholds()
     with Publication(spark, [curated_path, output_path]) as publication:
         curated, output = publication.staged.values()
-        raw = readers.read_catalog(spark, catalog_path, names=names, multi_line=multi_line)
+        read = readers.read_audited if audit else readers.read_catalog
+        raw = read(spark, catalog_path, names=names, multi_line=multi_line)
         curating = O.CuratedPass(raw, order=order, zero_positive=zero_positive)
         with O.attempts(spark) as attempts:
             writers.write_curated(curating.rows, curated, observe=(curating.clean, O.clean_metrics()))
@@ -116,6 +120,10 @@ def run_all(
                 lambda g: R.top_tags_from_totals(tag_totals(votes, g, unique_key=unique_votes), t),
                 at_most=t.top_tags,
             )
+        if audit:
+            listed = sorted(curating.bad_cells.items())
+            bad = spark.createDataFrame(listed, "column string, cells long")
+            planned["bad_cells"] = Report(lambda g: bad, ("column",), len(listed))
         counted = {name: Observation() for name in [*planned, "summary"]}
 
         def write(name: str) -> None:
@@ -130,6 +138,11 @@ def run_all(
         with ThreadPoolExecutor(at_once) as pool:
             list(pool.map(inheritable_thread_target(spark)(write), counted))
         rows = {name: found.get["rows"] for name, found in counted.items()}
+        if audit and curating.bad_cells:
+            counted["rejects"] = Observation()
+            rejects = readers.rejected_cells(raw).observe(counted["rejects"], F.count("*").alias("rows"))
+            rejects.write.parquet(f"{output}/rejects")
+            rows["rejects"] = counted["rejects"].get["rows"]
         publication.publish(
             {publication.targets[0]: {".": metrics["clean_rows"]}, publication.targets[1]: rows}
         )

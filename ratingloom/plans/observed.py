@@ -19,6 +19,13 @@ def raw_metrics(raw: DataFrame, key: str) -> list[Column]:
     return [F.count("*").alias("raw_rows"), F.count_if(F.col(key).isNull()).alias("without_key"), *missing]
 
 
+def bad_metrics(raw: DataFrame) -> list[Column]:
+    """Bad cells by column, of rows from ``readers.read_audited``."""
+    columns = [f.name for f in raw.schema if not f.name.startswith("_")] + ["*"]
+    one = lambda name: F.exists("_bad", lambda cell: cell["column"] == name)
+    return [F.count_if(F.coalesce(one(name), F.lit(False))).alias(f"bad:{name}") for name in columns]
+
+
 def clean_metrics() -> list[Column]:
     return [
         F.count("*").alias("clean_rows"),
@@ -42,10 +49,14 @@ class CuratedPass:
         self, raw: DataFrame, *, key: str = "appid", name: str = "name", order: Sequence[Column | str] | None = None, **options
     ) -> None:
         self.raw, self.key, self.clean = raw, key, Observation()
+        self.bad_cells: dict[str, int] = {}
         self._raw, self._keys = Observation(), Observation()
         # Named rows first: they win over nameless copies, as if those had been left out before.
-        order = [F.col(name).isNull(), *(order or content_order(raw, [key]))]
-        seen = raw.observe(self._raw, *raw_metrics(raw, key)).where(F.col(key).isNotNull())
+        order = [F.col(name).isNull(), *(order or content_order(raw, [key, "_file", "_line", "_bad"]))]
+        self.measures = raw_metrics(raw, key)
+        if "_bad" in raw.columns:
+            self.measures += bad_metrics(raw)
+        seen = raw.observe(self._raw, *self.measures).drop("_file", "_line", "_bad").where(F.col(key).isNotNull())
         firsts = first_per_key(seen, (key,), order).observe(self._keys, F.count("*").alias("keys"))
         self.rows = clean_rows(firsts.where(F.col(name).isNotNull()), **options)
 
@@ -59,8 +70,10 @@ class CuratedPass:
             found = self._raw.get | self._keys.get | self.clean.get
         else:
             keys = F.count_distinct(self.key).alias("keys")
-            found = self.raw.agg(*raw_metrics(self.raw, self.key), keys).first().asDict() | self.clean.get
+            found = self.raw.agg(*self.measures, keys).first().asDict() | self.clean.get
         # Rows without a key count as copies of one another.
+        self.bad_cells = {name[4:]: n for name, n in found.items() if name.startswith("bad:") and n}
+        found = {name: n for name, n in found.items() if not name.startswith("bad:")}
         copies = found["raw_rows"] - found["keys"] - min(1, found["without_key"])
         return found | {"duplicate_appids_removed": copies}
 

@@ -14,6 +14,8 @@ from ratingloom.sources.publish import Files
 from ratingloom.sources.workspace import default_file_system, require_disjoint
 from ratingloom.sources.writers import LAYOUT, bucketed_name
 
+CORRUPT = "_corrupt_record"
+
 
 def _csv_options(multi_line: bool) -> dict[str, object]:
     # A quote inside a quoted field is written twice, hence the escape character.
@@ -60,6 +62,68 @@ def read_catalog(
     return table.select(*[F.col(f"`{in_file[f.name]}`").alias(f.name) for f in declared])
 
 
+def read_audited(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str = CATALOG_SCHEMA,
+    *,
+    names: Mapping[str, str] | None = None,
+    date_format: str = DATE_FORMAT,
+    multi_line: bool = False,
+) -> DataFrame:
+    """As ``read_catalog``, but no cell becomes null in silence.
+
+    ``_file`` and ``_line`` are the file and the raw text of a row that holds a bad cell, else
+    null, and ``_bad`` lists those cells: struct of column and text. A cell is bad if it has text
+    and no value of its type. A row with too many or too few fields is listed under column
+    ``*`` with its whole text.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    in_file = {f.name: (names or {}).get(f.name, f.name) for f in declared}
+    types = {in_file[f.name]: f.dataType for f in declared}
+    options = _csv_options(multi_line) | {"dateFormat": date_format}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [name for name in types if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    with_line = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    table = (
+        spark.read.schema(with_line)
+        .options(**options, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT, columnPruning=False)
+        .csv(path)
+        .withColumn("_file", F.col("_metadata.file_path"))
+    )
+    plain = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+    cells = F.from_csv(F.col(CORRUPT), plain.simpleString()[7:-1].replace(":", " "), {"escape": '"'})
+    table = table.withColumn("_cells", F.when(F.col(CORRUPT).isNotNull(), cells))
+    bad = [
+        F.when(
+            F.col(f"`{name}`").isNull() & (F.col(f"_cells.c{i}") != ""),
+            F.struct(F.lit(name).alias("column"), F.col(f"_cells.c{i}").alias("text")),
+        )
+        for i, name in enumerate(header)
+        if not isinstance(types.get(name, T.StringType()), T.StringType)
+    ]
+    listed = F.filter(F.array(*bad), lambda cell: cell.isNotNull())
+    whole = F.array(F.struct(F.lit("*").alias("column"), F.col(CORRUPT).alias("text")))
+    found = F.when(F.col(CORRUPT).isNotNull(), F.when(F.size(listed) > 0, listed).otherwise(whole))
+    return table.select(
+        *[F.col(f"`{in_file[f.name]}`").alias(f.name) for f in declared],
+        F.when(F.col(CORRUPT).isNotNull(), F.col("_file")).alias("_file"),
+        F.col(CORRUPT).alias("_line"),
+        found.alias("_bad"),
+    )
+
+
+def rejected_cells(audited: DataFrame) -> DataFrame:
+    """One row per bad cell of ``read_audited`` rows: file, line, column and text."""
+    rows = audited.where("_line IS NOT NULL").select("_file", "_line", F.explode("_bad").alias("cell"))
+    return rows.select(
+        F.col("_file").alias("file"), F.col("_line").alias("line"), "cell.column", F.col("cell.text").alias("text")
+    )
+
+
 def read_text_table(
     spark: SparkSession, path: str | list[str], *, multi_line: bool = False
 ) -> DataFrame:

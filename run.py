@@ -35,6 +35,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     votes.add_argument(
         "--repeated-votes", dest="unique_votes", action="store_false", help="combine matrix rows by item, unchecked"
     )
+    parser.add_argument("--audit", action="store_true", help="count cells that do not parse, and list them")
     parser.add_argument("--check", action="store_true", help="check the written results; exit 1 on a violation")
     parser.set_defaults(unique_votes=None)
     for field in fields(Thresholds):
@@ -61,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         exact_median=args.exact_median,
         sort_unrounded=args.sort_unrounded,
         unique_votes=args.unique_votes,
+        audit=args.audit,
     )
     for name, path in written.items():
         print(f"{name}: {path}")
