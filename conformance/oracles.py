@@ -408,6 +408,16 @@ ORACLES: dict[str, str] = {
         order by mean_rating_pct desc nulls last, {_BY_BAND} limit 1"""
     ),
     "publisher_report": _games(PUBLISHERS),
+    "sketched_medians": _games(
+        """select price_band, count(*) games, true as within from games
+        where release_year between 1996 and 1998 group by price_band"""
+    ),
+    "sketched_items_by_genre": _labels(
+        """select genre, count(*) games, count(distinct appid) items, count(distinct publisher) publishers,
+          true as within
+        from game_genres join (select appid, publisher, release_year from games) using (appid)
+        where release_year between 1996 and 1998 group by genre"""
+    ),
     "top_tags": _votes(_top_tags("tag_votes")),
     "top_tags_left": _votes(_top_tags("all_tag_votes")),
     "top_tags_repeated": _repeated_votes(_top_tags("repeated_votes")),

@@ -12,7 +12,7 @@ from conformance.scratch import scratch_path
 from ratingloom.defaults import BAND_EDGES, BAND_LABELS
 from ratingloom.functions import measures as M
 from ratingloom.functions import text as X
-from ratingloom.operators import checks, ranking
+from ratingloom.operators import checks, ranking, sketches
 from ratingloom.operators.cleaning import (
     clean_catalog,
     coerce_types,
@@ -462,6 +462,52 @@ def top_tags_wide(spark, sf_dir):
     return R.top_tags_from_totals(wide_vote_totals(rated, columns=B.VOTE_TAGS), T)
 
 
+def _written_states(spark, df, by, **options) -> DataFrame:
+    path = scratch_path(spark, "states")
+    sketches.group_states(df, by, **options).write.partitionBy("release_year").parquet(path)
+    return spark.read.parquet(path).where("release_year BETWEEN 1996 AND 1998")
+
+
+@query("sketched_medians")
+def sketched_medians(spark, sf_dir):
+    """Medians per band over three years, from states per year and band, and whether their exact
+    rank is within the documented error."""
+    games = B.games(spark, sf_dir)
+    states = _written_states(spark, games, ["release_year", "price_band"], quantiles=["rating_pct"])
+    medians = sketches.merged_states(states, ["price_band"], quantiles={"rating_pct": 0.5})
+    medians = medians.withColumnsRenamed({"rating_pct": "median"})
+    within = games.where("release_year BETWEEN 1996 AND 1998").join(medians, "price_band")
+    ranked = within.withColumn("below", (F.col("rating_pct") < F.col("median")).cast("int")).withColumn(
+        "upto", (F.col("rating_pct") <= F.col("median")).cast("int")
+    )
+    return ranked.groupBy("price_band", F.col("rows").alias("games")).agg(
+        ((F.avg("below") <= 0.51) & (F.avg("upto") >= 0.49)).alias("within")
+    )
+
+
+@query("sketched_items_by_genre")
+def sketched_items_by_genre(spark, sf_dir):
+    """Distinct items and publishers per genre over three years, from states per year and genre;
+    whether the estimates are within four standard errors of the exact counts."""
+    games = B.games(spark, sf_dir)
+    genres = explode_labels(games, "genres", "genre", keep=("publisher", "release_year"))
+    states = _written_states(spark, genres, ["release_year", "genre"], distinct=["appid", "publisher"])
+    found = sketches.merged_states(states, ["genre"], distinct=["appid", "publisher"])
+    exact = (
+        genres.where("release_year BETWEEN 1996 AND 1998")
+        .groupBy("genre")
+        .agg(F.count_distinct("appid").alias("items"), F.count_distinct("publisher").alias("publishers"))
+    )
+    near = lambda name, n: F.abs(F.col(name) - F.col(n)) <= F.greatest(F.lit(0.5), 0.065 * F.col(n))
+    return found.join(exact, "genre").select(
+        "genre",
+        F.col("rows").alias("games"),
+        "items",
+        "publishers",
+        (near("distinct_appid", "items") & near("distinct_publisher", "publishers")).alias("within"),
+    )
+
+
 # -- rankings ---------------------------------------------------------------
 
 
