@@ -22,6 +22,14 @@ def unique_key(df: DataFrame, key: str = "appid") -> DataFrame:
     return _verdict(copies, "unique_key", F.count_if(F.col("copies") > 1))
 
 
+def _unlike_totals(p: Column, n: Column, t: Column) -> Column:
+    """How many of the two rules on sums of outcomes are broken: they add up, at a rate in (0, 100]."""
+    rate = F.try_divide(100.0 * p, t)
+    wrong_total = F.when((p + n).eqNullSafe(t), 0).otherwise(1)
+    wrong_rate = F.when((rate > 0) & (rate <= 100), 0).otherwise(1)
+    return wrong_total + wrong_rate
+
+
 def consistent_totals(
     df: DataFrame,
     positive: str = "positive_ratings",
@@ -29,11 +37,41 @@ def consistent_totals(
     total: str = "total_reviews",
 ) -> DataFrame:
     """Outcome totals that disagree, plus a weighted rate outside (0, 100]."""
-    p, n, t = F.sum(positive), F.sum(negative), F.sum(total)
-    rate = F.try_divide(100.0 * p, t)
-    wrong_total = F.when((p + n).eqNullSafe(t), 0).otherwise(1)
-    wrong_rate = F.when((rate > 0) & (rate <= 100), 0).otherwise(1)
-    return _verdict(df, "consistent_totals", wrong_total + wrong_rate)
+    return _verdict(df, "consistent_totals", _unlike_totals(F.sum(positive), F.sum(negative), F.sum(total)))
+
+
+def run_battery(
+    games: DataFrame, top: DataFrame, bands: DataFrame, *, min_reviews: int, tolerance: float, key: str = "appid"
+) -> DataFrame:
+    """unique_key, consistent_totals, group_total, meets_threshold and lower_bound_holds in one pass.
+
+    The fact is read once, for its key and three counts, and summed by key, map side
+    first; the other tables are results of a few rows. The parts are one-row aggregates, stacked
+    and folded.
+    """
+    outcomes = ("positive_ratings", "negative_ratings", "total_reviews")
+    by_key = games.groupBy(key).agg(F.count("*").alias("copies"), *[F.sum(c).alias(c) for c in outcomes])
+    no = F.lit(0).cast("long")
+    from_fact = by_key.agg(
+        F.count_if(F.col("copies") > 1).alias("unique_key"),
+        _unlike_totals(*[F.sum(c) for c in outcomes]).cast("long").alias("consistent_totals"),
+        F.coalesce(F.sum("copies"), no).alias("_rows"),
+    )
+    from_top = top.agg(
+        F.count_if(F.col("total_reviews") < min_reviews).alias("meets_threshold"),
+        F.count_if(F.col("wilson_pct") > F.col("rating_pct") + tolerance).alias("lower_bound_holds"),
+    )
+    from_bands = bands.agg(F.coalesce(F.sum("games"), no).alias("_listed"))
+    stacked = from_fact.unionByName(from_top, True).unionByName(from_bands, True)
+    names = ["unique_key", "consistent_totals", "meets_threshold", "lower_bound_holds"]
+    folded = stacked.agg(
+        *[F.max(name).alias(name) for name in names], F.abs(F.max("_listed") - F.max("_rows")).alias("group_total")
+    )
+    listed = F.array(
+        *[F.struct(F.lit(n).alias("check"), F.col(n).alias("violations")) for n in [*names, "group_total"]]
+    )
+    rows = folded.select(F.explode(listed).alias("one")).select("one.*")
+    return rows.withColumn("passed", F.col("violations") == 0)
 
 
 def ranking_order(

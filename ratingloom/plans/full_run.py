@@ -162,7 +162,7 @@ def run_manifest(spark: SparkSession, curated_path: str, output_path: str) -> Da
 def check_run(
     spark: SparkSession, written: Mapping[str, str], curated_path: str, t: Thresholds | None = None
 ) -> DataFrame:
-    """One row per check over the files of a run: (check, violations, passed)."""
+    """One row per check over the files of a run: (check, violations, passed). The curated table is read once."""
     t = t or Thresholds()
     games = readers.read_curated(spark, curated_path)
     top = readers.read_result(
@@ -179,13 +179,9 @@ def check_run(
     place = F.monotonically_increasing_id()
     numbered = bands.withColumn("position", (place + 1).cast("int"))
     found = [
-        checks.unique_key(games),
-        checks.consistent_totals(games),
+        # Both rounded figures of the ranking have two digits.
+        checks.run_battery(games, top, bands, min_reviews=t.min_reviews, tolerance=0.01),
         checks.ranking_order(top.withColumn("place", place), "wilson_pct", ["place"], at_most=t.top_items),
-        checks.meets_threshold(top, "total_reviews", t.min_reviews),
-        # Both figures are rounded to two digits.
-        checks.lower_bound_holds(top, "wilson_pct", "rating_pct", 0.01),
-        checks.group_total(bands, "games", games),
         checks.label_domain(bands),
         checks.label_order(numbered),
     ]
