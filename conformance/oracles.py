@@ -269,6 +269,13 @@ ORACLES: dict[str, str] = {
         f"cast(count_if(event_type = '{tag}') - {VOTE_OFFSET} as bigint) as {tag}" for tag in VOTE_TAGS
     )
     + " from events group by user_id",
+    "read_votes_by_header": "select cast(user_id * 20 as int) appid, "
+    + ", ".join(
+        f"cast(case when (user_id * 20 % 40 = 0) = {first} then count_if(event_type = '{tag}') - {VOTE_OFFSET} "
+        f"else 0 end as bigint) as {tag}"
+        for tag, first in (("click", "true"), ("error", "true"), ("purchase", "false"), ("signup", "false"))
+    )
+    + f", cast(count_if(event_type = 'view') - {VOTE_OFFSET} as bigint) as view from events group by user_id",
     "read_votes_folder": "select cast(user_id * 20 as int) appid, "
     + ", ".join(
         f"cast(count_if(event_type = '{tag}') - {VOTE_OFFSET} as bigint) as {tag}" for tag in VOTE_TAGS

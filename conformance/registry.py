@@ -126,6 +126,18 @@ def read_votes_folder(spark, sf_dir):
     return readers.read_wide_votes(spark, [f"{path}/first", f"{path}/second"])
 
 
+@query("read_votes_by_header")
+def read_votes_by_header(spark, sf_dir):
+    """Two files that share a tag and name others."""
+    path = scratch_path(spark, "votes-headers")
+    votes = B.wide_votes(spark, sf_dir)
+    first = votes.where("appid % 40 = 0").select("appid", "click", "error", "view")
+    second = votes.where("appid % 40 != 0").select("purchase", "view", "appid", "signup")
+    writers.write_catalog_csv(first.coalesce(1), f"{path}/first")
+    writers.write_catalog_csv(second.coalesce(1), f"{path}/second")
+    return readers.read_votes_by_header(spark, [f"{path}/first", f"{path}/second"])
+
+
 @query("curated_roundtrip")
 def curated_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "curated")

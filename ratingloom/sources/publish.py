@@ -54,6 +54,21 @@ class Files:
         finally:
             stream.close()
 
+    def data_files(self, path: str) -> list[str]:
+        """The path itself if it is a file, else the data files below it."""
+        system, found = self._at(path)
+        if system.getFileStatus(found).isFile():
+            return [path]
+        return [f"{path.rstrip('/')}/{name}" for name in self.listing(path)]
+
+    def first_line(self, path: str) -> str:
+        system, found = self._at(path)
+        reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(system.open(found), "UTF-8"))
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
     def write(self, path: str, text: str) -> None:
         """The whole text or nothing: written under another name, then renamed."""
         system, found = self._at(path)

@@ -145,6 +145,40 @@ def read_wide_votes(
     return _by_header(spark, path, types, options)
 
 
+def read_votes_by_header(
+    spark: SparkSession, path: str | list[str], *, key: str = "appid", multi_line: bool = False
+) -> DataFrame:
+    """Vote matrices whose files do not list the same tags: one table with all of them.
+
+    Files are grouped by their header line, which the driver reads from each; a group is one
+    scan. A tag that a file does not list has zero votes there, while a cell that a file
+    leaves empty stays null, as in ``read_wide_votes``. Tags come in the order in which the
+    files, by name, list them first. A file without the key is an error.
+    """
+    files, groups = Files(spark), {}
+    for one in [path] if isinstance(path, str) else path:
+        for file in files.data_files(one):
+            groups.setdefault(files.first_line(file).lstrip("\ufeff"), []).append(file)
+    groups.pop("", None)  # empty files
+    tables = [read_wide_votes(spark, held, key=key, multi_line=multi_line) for held in groups.values()]
+    without = [held[0] for held, table in zip(groups.values(), tables) if key not in table.columns]
+    if without or not tables:
+        raise ValueError(f"{without[0] if without else path} has no column {key}")
+    tags = list(dict.fromkeys(c for table in tables for c in table.columns if c != key))
+    zero = F.lit(0).cast("long")
+    aligned = [
+        table.select(
+            F.col(f"`{key}`"),
+            *[F.col(f"`{tag}`") if tag in table.columns else zero.alias(tag) for tag in tags],
+        )
+        for table in tables
+    ]
+    union = aligned[0]
+    for table in aligned[1:]:
+        union = union.unionByName(table)
+    return union
+
+
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """Curated Parquet; the partition column comes back last, from the folder names."""
     return spark.read.parquet(path)

@@ -67,6 +67,23 @@ def test_cleaned_file(spark, catalog_csv):
     assert games[8]["price"] is None and games[8]["has_missing_core"]
 
 
+def test_vote_files_of_different_headers(spark, tmp_path):
+    folder = tmp_path / "votes"
+    folder.mkdir()
+    (folder / "a.csv").write_text("appid,x,a.b\n1,5,\n")
+    (folder / "b.csv").write_text('a.b,appid,"new ""tag"""\n7,2,8\n')
+    (folder / "c.csv").write_text("appid,x,a.b\n3,1,2\n")
+    (folder / "empty.csv").write_text("")
+    df = readers.read_votes_by_header(spark, str(folder))
+    assert df.columns == ["appid", "x", "a.b", 'new "tag"']
+    assert sorted(map(tuple, df.collect())) == [(1, 5, None, 0), (2, 0, 7, 8), (3, 1, 2, 0)]
+    one = readers.read_votes_by_header(spark, str(folder / "a.csv"))
+    assert one.collect() == readers.read_wide_votes(spark, str(folder / "a.csv")).collect()
+    (folder / "d.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="d.csv has no column appid"):
+        readers.read_votes_by_header(spark, str(folder))
+
+
 def test_line_break_inside_quotes(spark, tmp_path):
     path = tmp_path / "catalog.csv"
     path.write_text("\n".join([HEADER, line("1", name='"two\nlines"'), line("2")]) + "\n")
