@@ -415,6 +415,12 @@ ORACLES: dict[str, str] = {
         order by mean_rating_pct desc nulls last, {_BY_BAND} limit 1"""
     ),
     "publisher_report": _games(PUBLISHERS),
+    "shared_reports": _games(
+        f"""select 'yearly' as report, cast(release_year as varchar) as "key", games, mean_rating_pct,
+          cast(null as double) as other from ({YEARLY})
+        union all select 'band', price_band, games, mean_rating_pct, mean_price from ({BANDS})
+        union all select 'publisher', publisher, games, null, mean_wilson_pct from ({PUBLISHERS})"""
+    ),
     "sketched_medians": _games(
         """select price_band, count(*) games, true as within from games
         where release_year between 1996 and 1998 group by price_band"""

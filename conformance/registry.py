@@ -417,6 +417,22 @@ def publisher_report(games):
     return R.publisher_report(games, T)
 
 
+@query("shared_reports")
+def shared_reports(spark, sf_dir):
+    """The yearly, band and publisher reports from one scan of the catalogue."""
+    path = scratch_path(spark, "totals")
+    R.shared_totals(B.games(spark, sf_dir)).write.parquet(path)
+    totals = spark.read.parquet(path)
+    none = F.lit(None).cast("double")
+    yearly = R.yearly_of(totals, T).select(
+        F.lit("yearly").alias("report"), F.col("release_year").cast("string").alias("key"), "games", "mean_rating_pct",
+        none.alias("other"),
+    )
+    bands = R.bands_of(totals).select(F.lit("band"), "price_band", "games", "mean_rating_pct", "mean_price")
+    publishers = R.publishers_of(totals, T).select(F.lit("publisher"), "publisher", "games", none, "mean_wilson_pct")
+    return yearly.union(bands).union(publishers)
+
+
 @query("top_tags")
 def top_tags(spark, sf_dir):
     totals = tag_totals(B.wide_votes(spark, sf_dir), B.games(spark, sf_dir), unique_key=False)

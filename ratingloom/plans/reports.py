@@ -166,6 +166,61 @@ def best_price_band(report: DataFrame, labels: Sequence[str] = BAND_LABELS) -> D
     )
 
 
+# -- several reports from one scan ------------------------------------------
+
+SHARED = ("release_year", "price_band", "publisher")
+
+
+def shared_totals(games: DataFrame, *, accuracy: int = 10000) -> DataFrame:
+    """The totals per year, per band and per publisher, by grouping sets over one scan.
+
+    ``grouped_by`` names the column that a row is grouped by; the others are null. Sums
+    and counts are kept beside the means, so that rows can be ordered by the unrounded mean. Write the
+    table (or let one report use it) before deriving several reports: each reads it again.
+    """
+    keys = [F.col(c) for c in SHARED]
+    which = F.grouping_id(*SHARED)
+    names = {3: "release_year", 5: "price_band", 6: "publisher"}
+    named = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    totals = games.select(*SHARED, "total_reviews", "rating_pct", "wilson_score", "price").groupingSets(
+        [[key] for key in keys], *keys
+    )
+    return totals.agg(
+        which.cast("int").alias("_which"),
+        items(),
+        reviews(),
+        mean_rating(),
+        mean_wilson(),
+        F.avg("wilson_score").alias("exact_wilson"),
+        mean_of("price", "mean_price"),
+        F.percentile_approx("total_reviews", 0.5, accuracy).cast("long").alias("median_reviews"),
+    ).select(F.element_at(named, F.col("_which")).alias("grouped_by"), *SHARED, *[
+        "games", "total_reviews", "mean_rating_pct", "mean_wilson_pct", "exact_wilson", "mean_price", "median_reviews",
+    ])
+
+
+def yearly_of(totals: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """The yearly report from shared totals."""
+    rows = totals.where(F.col("grouped_by") == "release_year")
+    in_range = rows.filter(F.col("release_year").between(t.first_year, t.last_year))
+    return in_range.select("release_year", "games", "total_reviews", "mean_rating_pct").orderBy("release_year")
+
+
+def bands_of(totals: DataFrame) -> DataFrame:
+    """The price band report, with the approximate median, from shared totals."""
+    rows = totals.where(F.col("grouped_by") == "price_band")
+    return rows.select("price_band", "games", "mean_price", "mean_rating_pct", "median_reviews")
+
+
+def publishers_of(totals: DataFrame, t: Thresholds = DEFAULTS, *, sort_unrounded: bool = False) -> DataFrame:
+    """The publisher report from shared totals."""
+    rows = totals.where((F.col("grouped_by") == "publisher") & F.col("publisher").isNotNull() & (F.col("publisher") != ""))
+    scale = at_least(rows, "games", t.min_publisher_items)
+    scale = at_least(scale, "total_reviews", t.min_publisher_reviews)
+    order = _ordered(scale, "mean_wilson_pct", "exact_wilson", "publisher", sort_unrounded)
+    return scale.orderBy(*order).limit(t.top_publishers).select("publisher", "games", "total_reviews", "mean_wilson_pct")
+
+
 # -- rankings ---------------------------------------------------------------
 
 

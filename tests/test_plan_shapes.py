@@ -9,7 +9,7 @@ WRITES = {
     "summary_json_roundtrip", "top_n_of_result", "full_run_reports", "rerun_idempotent",
     "read_catalog_reordered", "read_votes_folder", "full_run_contents", "run_checks",
     "full_run_repeated_votes", "run_manifest", "curated_increment", "tag_votes_bucketed",
-    "rejected_cells", "full_run_audit", "read_votes_by_header", "sketched_medians", "sketched_items_by_genre",
+    "rejected_cells", "full_run_audit", "shared_reports", "read_votes_by_header", "sketched_medians", "sketched_items_by_genre",
 }
 
 

@@ -180,3 +180,22 @@ def test_checks_pass_and_fail(spark, games):
     assert verdict(checks.label_domain(report.withColumn("price_band", F.lit("odd"))))[1] > 6
     placed = spark.createDataFrame([(1, "Free"), (2, "5-10")], "position int, price_band string")
     assert verdict(checks.label_order(placed))[1:] == (1, False)
+
+
+def test_shared_totals_equal_the_single_reports(spark, sf_dir):
+    """One scan for three reports; a null year, band or publisher is a group like any other."""
+    from conformance import bindings as B
+
+    games = B.games(spark, sf_dir)
+    games = games.withColumn("price_band", F.when(F.col("appid") % 17 != 0, F.col("price_band")))
+    totals = R.shared_totals(games)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand [") == 1 and plan.count("part.parquet") == R.yearly_report(games)._jdf.queryExecution().executedPlan().toString().count("part.parquet")
+    t = B.THRESHOLDS
+    assert R.yearly_of(totals, t).collect() == R.yearly_report(games, t).collect()
+    assert R.publishers_of(totals, t).collect() == R.publisher_report(games, t).collect()
+    assert R.publishers_of(totals, t, sort_unrounded=True).collect() == R.publisher_report(games, t, sort_unrounded=True).collect()
+    bands = R.bands_of(totals)
+    assert sorted(bands.collect(), key=str) == sorted(R.price_band_report(games).collect(), key=str)
+    missing = totals.where("grouped_by = 'release_year' AND release_year IS NULL").first()
+    assert missing.games == games.where("release_year IS NULL").count()
