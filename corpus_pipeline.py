@@ -24,12 +24,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later repeats of line runs; documents that this leaves empty go.
 
-    n_chars follows the text.
+    n_chars, if the table has it, follows the text.
     """
     renamed, back = set_aside(docs, *linededup.ADDED)
     cleaned = linededup.dedup_lines(renamed).where("n_removed_lines = 0 OR text != ''")
-    length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    return cleaned.withColumn("n_chars", length).select(*back)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*back)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
